@@ -100,7 +100,13 @@ def build_gold(
     if None in right:
         left = {None: _customers_without_account(tables, found["metrics"].rows, right[None], policy)}
     return outer_join(
-        accounts, transactions, "account_id", "left", hot_of(left, right, policy), policy
+        accounts,
+        transactions,
+        "account_id",
+        "left",
+        hot_of(left, right, policy),
+        policy,
+        null_safe=null_keys == "match",
     ).select(GOLD_COLUMNS)
 
 

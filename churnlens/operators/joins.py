@@ -152,8 +152,10 @@ def outer_join(
     how: str = "full",
     hot: list[HotKey] | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    null_safe: bool = True,
 ) -> DataFrame:
     """``left`` or ``full`` join on a null-safe key; only ``key`` may be in both sides.
+    With plain equality (``null_safe=False``) tables bucketed by the key join without a shuffle.
 
     ``hot`` lists the hot keys; left out, they are looked for in both inputs. For a full join
     the counts must tell whether a key is present on each side, for a left join on the right.
@@ -162,16 +164,18 @@ def outer_join(
         hot = exact_hot_keys(left, right, key, policy)
     columns = left.columns + [c for c in right.columns if c != key]
     right = right.withColumnRenamed(key, "_key")
+    lkey, rkey = F.col(key), F.col("_key")
+    same_key = lkey.eqNullSafe(rkey) if null_safe else lkey == rkey
     if not hot:
-        joined = left.join(right, F.col(key).eqNullSafe(F.col("_key")), how)
+        joined = left.join(right, same_key, how)
     else:
-        joined = _salted(left, right, key, how, hot, policy)
+        joined = _salted(left, right, key, same_key, how, hot, policy)
     if how == "full":
         joined = joined.withColumn(key, F.coalesce(key, "_key"))
     return joined.select(columns)
 
 
-def _salted(left, right, key, how, hot, policy):
+def _salted(left, right, key, same_key, how, hot, policy):
     grid = {k.value: k.grid(policy) for k in hot}
     # A left join needs the left count for balance only, never to decide on copies.
     paired = {k.value for k in hot if k.right_rows and (k.left_rows or how == "left")}
@@ -186,7 +190,7 @@ def _salted(left, right, key, how, hot, policy):
     a, b = a.withColumn("_in_left", F.lit(True)), b.withColumn("_in_right", F.lit(True))
     joined = a.join(
         b,
-        lkey.eqNullSafe(rkey) & (F.col("_ls") == F.col("_ls2")) & (F.col("_rs") == F.col("_rs2")),
+        same_key & (F.col("_ls") == F.col("_ls2")) & (F.col("_rs") == F.col("_rs2")),
         how,
     )
     if not paired:
