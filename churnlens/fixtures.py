@@ -100,7 +100,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     names = ("customer", "closed", "account", "metrics", "transactions")
-    return Tables(**{n: view(spark, sf_dir, n) for n in names})
+    # Each file's schema is looked up once, though several views may use it.
+    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in {VIEWS[n][0] for n in names}}
+    return Tables(**{n: spark.sql(VIEWS[n][1], **{VIEWS[n][0]: read[VIEWS[n][0]]}) for n in names})
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ class SkewPolicy:
     """When a key counts as hot, in rows (or joined pairs) for a single task."""
 
     rows_per_task: int = 1_000_000
-    pairs_per_task: int = 50_000_000
+    pairs_per_task: int = 5_000_000
     top: int = 1_000
     tracked: int = 50_000
 
@@ -54,28 +54,43 @@ class HotKey:
 DEFAULT_POLICY = SkewPolicy()
 
 
+def _collect_all(frames: list[DataFrame]) -> list:
+    """The rows of several small results, in one job."""
+    return reduce(DataFrame.unionByName, frames).collect()
+
+
 def heavy_keys(
     sides: Iterable[tuple[str, DataFrame, str]], policy: SkewPolicy = DEFAULT_POLICY
 ) -> dict[str, KeyLoad]:
-    """Estimated row counts of the most frequent keys (exact for NULL), per named side.
+    """Row counts of the most frequent keys (estimated; exact for NULL), per named side.
 
-    One job over the key columns alone; the driver receives at most ``policy.top`` counts a side.
+    Rows are counted first. A side that would fit one task has no key worth a sketch. The
+    sketch reads the key column alone and sends at most ``policy.top`` counts to the driver.
     """
-    sketches = [
-        side.agg(
-            F.lit(name).alias("side"),
-            F.expr(f"approx_top_k(`{key}`, {policy.top}, {policy.tracked})").alias("top"),
-            F.count_if(F.isnull(key)).alias("nulls"),
-            F.count("*").alias("rows"),
-        )
-        for name, side, key in sides
-    ]
-    found = {}
-    for row in reduce(DataFrame.unionByName, sketches).collect():
-        counts = {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None}
-        if row["nulls"]:
-            counts[None] = row["nulls"]
-        found[row["side"]] = KeyLoad(row["rows"], counts)
+    sides = list(sides)
+    counted = _collect_all(
+        [
+            side.agg(
+                F.lit(name).alias("side"),
+                F.count("*").alias("rows"),
+                F.count_if(F.isnull(key)).alias("nulls"),
+            )
+            for name, side, key in sides
+        ]
+    )
+    found = {r["side"]: KeyLoad(r["rows"], {None: r["nulls"]} if r["nulls"] else {}) for r in counted}
+    large = [s for s in sides if found[s[0]].rows > policy.rows_per_task]
+    if large:
+        sketched = [
+            side.agg(
+                F.lit(name).alias("side"),
+                F.expr(f"approx_top_k(`{key}`, {policy.top}, {policy.tracked})").alias("top"),
+            )
+            for name, side, key in large
+        ]
+        for row in _collect_all(sketched):
+            top = {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None}
+            found[row["side"]].counts.update(top)
     return found
 
 
@@ -101,15 +116,14 @@ def exact_hot_keys(
     if not hot:
         return []
     values = [k.value for k in hot]
-    counted = reduce(
-        DataFrame.unionByName,
+    counted = _collect_all(
         [
-            side.where(_is_one_of(F.col(key), values)).groupBy(key).agg(
-                F.lit(name).alias("side"), F.count("*").alias("n")
-            )
+            side.where(_is_one_of(F.col(key), values))
+            .groupBy(key)
+            .agg(F.lit(name).alias("side"), F.count("*").alias("n"))
             for name, side in (("left", left), ("right", right))
-        ],
-    ).collect()
+        ]
+    )
     exact = {(r["side"], r[key]): r["n"] for r in counted}
     return [HotKey(v, exact.get(("left", v), 0), exact.get(("right", v), 0)) for v in values]
 
