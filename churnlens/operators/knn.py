@@ -80,17 +80,18 @@ def knn_neighbours(
 
     train_subs = {c: math.ceil(s["n"] / block_rows) for c, s in train_cells.items()}
     query_subs = {c: math.ceil(n / block_rows) for c, n in query_sizes.items()}
-    copies = max(1, math.ceil(sum(query_subs.values()) / BLOCKS_PER_COPY))
+    copies = _copies(placed_queries, query_subs)
 
     train_blocks = (
         _blocks(train, train_subs, [])
         .select("cell", "sub", *[F.col(c).alias(f"t_{c}") for c in ("ids", "labels", "vecs")])
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), _number_of("cell", copies) - 1)))
     )
     query_blocks = (
         _blocks(placed_queries, query_subs, ["reach"])
-        .withColumn("copy", F.pmod(F.xxhash64("cell", "sub"), F.lit(copies)).cast("int"))
-        .select("ids", "vecs", "copy", F.explode("reach").alias("cell"))
+        .withColumn("spread", F.xxhash64("cell", "sub"))
+        .select("ids", "vecs", "spread", F.explode("reach").alias("cell"))
+        .withColumn("copy", F.pmod("spread", _number_of("cell", copies)).cast("int"))
         .withColumn("sub", F.explode(F.sequence(F.lit(0), _number_of("cell", train_subs) - 1)))
     )
     pairs = query_blocks.join(train_blocks, ["cell", "sub", "copy"])
@@ -130,6 +131,18 @@ def _cell_sizes(train: DataFrame, k: int) -> dict[int, dict[str, float]]:
     return {r["cell"]: {c: r[c] for c in ("n", "low", "high", "kth")} for r in rows}
 
 
+def _copies(queries: DataFrame, query_subs: dict[int, int]) -> dict[int, int]:
+    """Copies of a cell's blocks, by the number of query blocks that will visit them. At most
+    pivots x pivots distinct pairs are summed up, and a row per pivot comes back."""
+    visits = (
+        queries.select("cell", F.explode("reach").alias("reached"))
+        .distinct()
+        .groupBy("reached")
+        .agg(F.sum(_number_of("cell", query_subs)).alias("blocks"))
+    )
+    return {r["reached"]: math.ceil(r["blocks"] / BLOCKS_PER_COPY) for r in visits.collect()}
+
+
 def _blocks(placed: DataFrame, subs: dict[int, int], extra: list[str]) -> DataFrame:
     """Rows packed into arrays in key order, about ``block_rows`` at a time."""
     sub = F.pmod(F.xxhash64("id"), _number_of("cell", subs)).cast("int")
