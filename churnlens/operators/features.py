@@ -18,7 +18,7 @@ from ..schemas import (
     NUMERIC_FEATURES,
     dummy_names,
 )
-from ..session import col
+from ..session import col, literal, quoted
 from .projection import project
 
 # Which row of a customer comes first; missing values last.
@@ -48,13 +48,13 @@ def discover_domains(df: DataFrame, columns: list[str], limit: int = 1_000) -> d
 def one_hot(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
     """Replace each categorical column by one 0/1 column per category, appended at the end.
     A missing value has 0 in all of them."""
-    kept = [col(c) for c in df.columns if c not in domains]
+    kept = [quoted(c) for c in df.columns if c not in domains]
     dummies = [
-        F.coalesce((col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+        f"coalesce(cast({quoted(c)} = {literal(v)} as int), 0) as {quoted(f'{c}_{v}')}"
         for c, values in domains.items()
         for v in values
     ]
-    return df.select(*kept, *dummies)
+    return df.selectExpr(*kept, *dummies)
 
 
 def add_monthly_spend(df: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ training rows only. Scored tables hold key, label, prediction and, where there i
 
 from __future__ import annotations
 
-import math
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -25,11 +24,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import hash_order
 from ..schemas import LABEL, MODEL_FEATURES
-from ..session import col, shared_dir
+from ..session import col, literal, quoted, shared_dir, with_row
 from .quality import value_counts
 
 SEED = 42
@@ -69,9 +68,9 @@ def features_target(
 
 def fit_scaler(train: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
     """Mean and population deviation of each feature, one row."""
-    return train.agg(
+    return train.selectExpr(
         *[
-            F.struct(F.avg(col(c)).alias("mean"), F.stddev_pop(col(c)).alias("dev")).alias(c)
+            f"named_struct('mean', avg({quoted(c)}), 'dev', stddev_pop({quoted(c)})) as {quoted(c)}"
             for c in features
         ]
     )
@@ -79,12 +78,14 @@ def fit_scaler(train: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFr
 
 def zscore(df: DataFrame, scaler: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
     """(x - mean) / deviation for every feature; a constant feature is only centred."""
-    s = scaler.select(F.struct(*[col(c) for c in features])).scalar()
+    names = df.columns
     scaled = {
-        c: (col(c) - s[c]["mean"]) / F.when(s[c]["dev"] == 0, 1.0).otherwise(s[c]["dev"])
+        c: f"({quoted(c)} - _s.{quoted(c)}.mean) / if(_s.{quoted(c)}.dev = 0, 1D, _s.{quoted(c)}.dev)"
         for c in features
     }
-    return df.withColumns(scaled)
+    return with_row(df, scaler, "_s").selectExpr(
+        *[f"{scaled[c]} as {quoted(c)}" if c in scaled else quoted(c) for c in names]
+    )
 
 
 @contextmanager
@@ -196,22 +197,21 @@ def fit_gaussian_nb(
 ) -> DataFrame:
     """One row: per class the prior and each feature's mean and variance, the variances raised
     by a small share of the largest one."""
-    def of_class(y: int) -> list[Column]:
-        inside = col(label) == y
+    y = quoted(label)
+
+    def of_class(k: int) -> str:
         stats = [
-            F.struct(
-                F.avg(F.when(inside, col(c))).alias("mean"),
-                F.var_pop(F.when(inside, col(c))).alias("var"),
-            ).alias(c)
+            f"{literal(c)}, named_struct('mean', avg({quoted(c)}) filter (where {y} = {k}),"
+            f" 'var', var_pop({quoted(c)}) filter (where {y} = {k}))"
             for c in features
         ]
-        return [F.try_divide(F.count_if(inside), F.count("*")).alias("prior"), *stats]
+        prior = f"'prior', try_divide(count_if({y} = {k}), count(*))"
+        return f"named_struct({prior}, {', '.join(stats)}) as class_{k}"
 
-    largest = F.greatest(*[F.var_pop(col(c)) for c in features])
-    return train.agg(
-        F.struct(*of_class(0)).alias("class_0"),
-        F.struct(*of_class(1)).alias("class_1"),
-        (largest * VAR_SMOOTHING).alias("raise"),
+    largest = ", ".join(f"var_pop({quoted(c)})" for c in features)
+    # greatest needs two arguments.
+    return train.selectExpr(
+        of_class(0), of_class(1), f"greatest({largest}, 0D) * {VAR_SMOOTHING!r} as raised"
     )
 
 
@@ -223,19 +223,21 @@ def predict_gaussian_nb(
     label: str = LABEL,
 ) -> DataFrame:
     """(key, label, prediction, score), the score being the difference of log likelihoods."""
-    m = fitted.select(F.struct("class_0", "class_1", "raise")).scalar()
 
-    def log_likelihood(y: int) -> Column:
-        out = F.log(m[f"class_{y}"]["prior"])
+    def log_likelihood(k: int) -> str:
+        out = f"ln(_m.class_{k}.prior)"
         for c in features:
-            mean, var = m[f"class_{y}"][c]["mean"], m[f"class_{y}"][c]["var"] + m["raise"]
-            out = out - 0.5 * F.log(2 * math.pi * var) - 0.5 * F.pow(col(c) - mean, 2) / var
+            of = f"_m.class_{k}.{quoted(c)}"
+            var = f"({of}.var + _m.raised)"
+            out += f" - 0.5D * ln(2D * pi() * {var}) - 0.5D * power({quoted(c)} - {of}.mean, 2) / {var}"
         return out
 
-    score = log_likelihood(1) - log_likelihood(0)
-    return df.select(col(key), col(label).alias("label"), score.alias("score")).select(
-        key, "label", F.when(F.col("score") > 0, 1).otherwise(0).alias("prediction"), "score"
+    scored = with_row(df, fitted, "_m").selectExpr(
+        quoted(key),
+        f"{quoted(label)} as label",
+        f"({log_likelihood(1)}) - ({log_likelihood(0)}) as score",
     )
+    return scored.selectExpr(quoted(key), "label", "if(score > 0, 1, 0) as prediction", "score")
 
 
 # -- tuning -------------------------------------------------------------------------------

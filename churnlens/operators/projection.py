@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import col
+from ..session import col, quoted
 
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[col(c) for c in columns])
+    return df.selectExpr(*[quoted(c) for c in columns])
 
 
 def drop_columns(df: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
@@ -39,7 +39,7 @@ def select_existing(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def filter_null_rows(df: DataFrame, column: str, n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows whose column is missing."""
-    return head_n(df.where(is_missing(df, column)), n, order)
+    return head_n(df.where(missing_sql(df, [column])[column]), n, order)
 
 
 def drop_null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -76,12 +76,15 @@ def axis_projection(
     return df.select(col(x).alias("x"), col(y).alias("y"))
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    """NULL, or NaN for a floating column."""
-    value = col(column)
-    if dict(df.dtypes)[column] in ("double", "float"):
-        return value.isNull() | F.isnan(value)
-    return value.isNull()
+def missing_sql(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Per column a test for NULL, or NaN in a floating column, as SQL text."""
+    kinds = dict(df.dtypes)
+    return {
+        c: f"({quoted(c)} is null or isnan({quoted(c)}))"
+        if kinds[c] in ("double", "float")
+        else f"({quoted(c)} is null)"
+        for c in columns
+    }
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..schemas import ACCOUNT_GRAIN_COLUMNS, TRANSACTION_COLUMNS
-from ..session import col
-from .projection import is_missing
+from ..schemas import ACCOUNT_GRAIN_COLUMNS, GOLD_COLUMNS, TRANSACTION_COLUMNS
+from ..session import col, quoted
+from .projection import missing_sql
 from .quantiles import median_value
 
 
@@ -20,15 +20,19 @@ def long_form(row: DataFrame, records: list[dict[str, Column]]) -> DataFrame:
 
 
 def _null_totals(df: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
-    def count_where(test: Column) -> Column:
-        if weight is None:
-            return F.count_if(test)
-        return F.coalesce(F.sum(F.when(test, F.col(weight)).otherwise(0)), F.lit(0))
-
-    everything = F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
-    return df.agg(
-        everything.alias("_rows"), *[count_where(is_missing(df, c)).alias(c) for c in columns]
-    )
+    """One row: all rows, and the missing values of each column."""
+    w = "1" if weight is None else quoted(weight)
+    counts = [
+        f"coalesce(sum(case when {test} then {w} else 0 end), 0) as {quoted(c)}"
+        for c, test in missing_sql(df, columns).items()
+    ]
+    return df.selectExpr(f"coalesce(sum({w}), 0) as _rows", *counts)
+
+
+def _per_column(row: DataFrame, columns: list[str], value: str) -> DataFrame:
+    """A one-row frame as (column, value), other columns kept."""
+    others = [c for c in row.columns if c not in columns]
+    return row.unpivot(others, [quoted(c) for c in columns], "column", value)
 
 
 def null_counts(
@@ -36,29 +40,24 @@ def null_counts(
 ) -> DataFrame:
     """(column, nulls) for every column, in one pass; ``weight`` counts a row that often."""
     columns = columns or df.columns
-    totals = _null_totals(df, columns, weight)
-    return long_form(totals, [{"column": F.lit(c), "nulls": col(c)} for c in columns])
+    return _per_column(_null_totals(df, columns, weight), columns, "nulls").drop("_rows")
 
 
 def null_percent(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, null_percent)."""
     columns = columns or df.columns
-    totals = _null_totals(df, columns, None)
-    share = {c: F.try_divide(col(c) * 100.0, F.col("_rows")) for c in columns}
-    return long_form(totals, [{"column": F.lit(c), "null_percent": share[c]} for c in columns])
+    counts = _per_column(_null_totals(df, columns, None), columns, "nulls")
+    return counts.selectExpr("column", "try_divide(nulls * 100D, _rows) as null_percent")
 
 
 def gold_null_counts(weighted: DataFrame) -> DataFrame:
-    """Null counts of the denormalised table from its weighted account grain."""
-    totals = _null_totals(weighted, ACCOUNT_GRAIN_COLUMNS, "gold_rows")
-    present = weighted.agg(*[F.sum(f"n_{c}").alias(c) for c in TRANSACTION_COLUMNS])
-    both = present.select(F.struct(*TRANSACTION_COLUMNS)).scalar()
-    records = [{"column": F.lit(c), "nulls": col(c)} for c in ACCOUNT_GRAIN_COLUMNS]
-    records += [
-        {"column": F.lit(c), "nulls": F.col("_rows") - F.coalesce(both[c], F.lit(0))}
-        for c in TRANSACTION_COLUMNS
-    ]
-    return long_form(totals, records)
+    """Null counts of the denormalised table from its weighted account grain. There, a
+    transaction column is missing wherever it was not counted."""
+    missing = [f"gold_rows - n_{c} as {c}" for c in TRANSACTION_COLUMNS]
+    tests = missing_sql(weighted, ACCOUNT_GRAIN_COLUMNS)
+    lost = [f"case when {t} then gold_rows else 0 end as {c}" for c, t in tests.items()]
+    sums = [f"coalesce(sum({c}), 0) as {c}" for c in GOLD_COLUMNS]
+    return _per_column(weighted.selectExpr(*lost, *missing).selectExpr(*sums), GOLD_COLUMNS, "nulls")
 
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:

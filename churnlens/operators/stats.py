@@ -10,8 +10,16 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import col
-from .quality import long_form
+from ..session import col, quoted
+
+
+def _long(df: DataFrame, columns: list[str], keep: list[str] = []) -> DataFrame:
+    """(keep..., column, x): a row per column. Grouped by column this is far cheaper to compile,
+    and faster to run, than one aggregate for each of many columns; only one partial row per
+    column and task is shuffled. ``keep`` is SQL text with an alias."""
+    wide = df.selectExpr(*keep, *[f"cast({quoted(c)} as double) as {quoted(c)}" for c in columns])
+    kept = [quoted(c) for c in wide.columns[: len(keep)]]
+    return wide.unpivot(kept, [quoted(c) for c in columns], "column", "x")
 
 
 def _bias_corrected(skew: Column, n: Column) -> Column:
@@ -30,47 +38,40 @@ def skew_profile(
     of ``pilot`` (any frame of about the same values; default the frame itself), which keeps
     them free of cancellation.
     """
+    n = F.col("n")
     if weight is None:
-        row = df.agg(
-            F.struct(*[F.skewness(col(c)).alias(c) for c in columns]).alias("skew"),
-            F.struct(*[F.count(col(c)).cast("double").alias(c) for c in columns]).alias("n"),
+        moments = (
+            _long(df, columns)
+            .groupBy("column")
+            .agg(F.skewness("x").alias("skew"), F.count("x").cast("double").alias("n"))
         )
-        records = [
-            {
-                "column": F.lit(c),
-                "skew": _bias_corrected(F.col("skew")[c], F.col("n")[c]),
-            }
-            for c in columns
-        ]
-        return long_form(row, records)
-
-    source = df if pilot is None else pilot
-    shift = source.agg(F.struct(*[F.avg(col(c)).alias(c) for c in columns])).scalar()
-    w = F.col(weight).cast("double")
-    sums = []
-    for c in columns:
-        d = col(c) - shift[c]
-        parts = [F.when(col(c).isNotNull(), w), w * d, w * d * d, w * d * d * d]
-        sums.append(F.struct(*[F.sum(x).alias(f"s{i}") for i, x in enumerate(parts)]).alias(c))
-    row = df.agg(*sums)
-    records = []
-    for c in columns:
-        n, s1, s2, s3 = (col(c)[f"s{i}"] for i in range(4))
-        mean = s1 / n
-        m2 = s2 / n - mean * mean
-        m3 = s3 / n - 3 * mean * (s2 / n) + 2 * mean * mean * mean
-        skew = F.try_divide(m3, F.pow(m2, 1.5))
-        records.append({"column": F.lit(c), "skew": _bias_corrected(skew, n)})
-    return long_form(row, records)
-
-
-def _long(df: DataFrame, columns: list[str], keep: list[Column] = []) -> DataFrame:
-    """(keep..., column, x): a row per column. Grouped by column this is far cheaper to compile,
-    and faster to run, than one aggregate for each of many columns; only one partial row per
-    column and task is shuffled."""
-    wide = df.select(*keep, *[col(c).cast("double").alias(c) for c in columns])
-    kept = wide.columns[: len(keep)]
-    return wide.unpivot(kept, [col(c) for c in columns], "column", "x")
+        return moments.select("column", _bias_corrected(F.col("skew"), n).alias("skew"))
+
+    shift = _long(df if pilot is None else pilot, columns).groupBy("column").agg(
+        F.avg("x").alias("shift")
+    )
+    sums = (
+        _long(df, columns, [f"cast({quoted(weight)} as double) as w"])
+        # One row per column.
+        .join(F.broadcast(shift), "column")
+        .selectExpr("column", "if(x is null, 0D, w) as w", "x - shift as d")
+        .groupBy("column")
+        .agg(
+            F.sum("w").alias("n"),
+            *[
+                F.expr(f"try_divide(sum(w * {' * '.join(['d'] * p)}), sum(w))").alias(f"m{p}")
+                for p in (1, 2, 3)
+            ],
+        )
+    )
+    central = sums.selectExpr(
+        "column",
+        "n",
+        "m2 - m1 * m1 as c2",
+        "m3 - 3 * m1 * m2 + 2 * m1 * m1 * m1 as c3",
+    )
+    skew = F.expr("try_divide(c3, power(c2, 1.5))")
+    return central.select("column", _bias_corrected(skew, n).alias("skew"))
 
 
 def mean_variance_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -121,7 +122,7 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
     Rows are reduced to one per class; what follows has classes x features rows.
     """
     rows = (
-        _long(df.where(col(label).isNotNull()), features, [col(label).alias("class")])
+        _long(df.where(col(label).isNotNull()), features, [f"{quoted(label)} as class"])
         .where(F.col("x").isNotNull())
         .groupBy(F.col("column").alias("feature"), "class")
         .agg(
@@ -162,7 +163,7 @@ def select_k_best_values(
     df: DataFrame, key: str, features: list[str], label: str, k: int = 4
 ) -> DataFrame:
     """The same, lazily and in long form: (key, feature, value)."""
-    long = _long(df, features, [col(key)]).withColumnsRenamed({"column": "feature", "x": "value"})
+    long = _long(df, features, [quoted(key)]).withColumnsRenamed({"column": "feature", "x": "value"})
     # At most k rows.
     return long.join(F.broadcast(top_features(df, features, label, k)), "feature").drop("f_score")
 
@@ -186,7 +187,7 @@ def _contingency(df: DataFrame, features: list[str], label: str) -> DataFrame:
     shuffle) and have a row per feature, whatever the data.
     """
     cells = (
-        _long(df.where(col(label).isNotNull()), features, [col(label).alias("_label")])
+        _long(df.where(col(label).isNotNull()), features, [f"{quoted(label)} as _label"])
         .where(F.col("x").isNotNull())
         .groupBy(F.col("column").alias("feature"), F.col("x").alias("value"))
         .agg(

@@ -23,7 +23,7 @@ from ..operators import (
     split,
     stats,
 )
-from ..session import col, new_work_path
+from ..session import col, new_work_path, quoted
 from ..sources import csv, inline, landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,8 +85,14 @@ def vectors(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
     """Fractional columns rounded, so that engines that add in another order agree."""
-    doubles = [c for c, t in df.dtypes if t == "double" and (only is None or c in only)]
-    return df.withColumns({c: F.round(col(c), digits) for c in doubles})
+    return df.selectExpr(
+        *[
+            f"round({quoted(c)}, {digits}) as {quoted(c)}"
+            if t == "double" and (only is None or c in only)
+            else quoted(c)
+            for c, t in df.dtypes
+        ]
+    )
 
 
 # -- sources and sinks --------------------------------------------------------------------
@@ -433,13 +439,11 @@ def mean_variance_wide(spark, sf_dir):
 def _significant(df, names):
     """Rounded to nine significant digits: variances of money have many before the point."""
     def digits(c):
-        size = F.floor(F.log10(F.abs(col(c))))
-        return F.when(
-            col(c) != 0,
-            F.round(col(c) / F.pow(F.lit(10.0), size), 8),
-        ).otherwise(0.0)
+        x = quoted(c)
+        size = f"power(10D, floor(log10(abs({x}))))"
+        return f"case when {x} <> 0 then round({x} / {size}, 8) when {x} = 0 then 0D end as {x}"
 
-    return df.withColumns({c: digits(c) for c in names})
+    return df.selectExpr(*[digits(c) if c in names else quoted(c) for c in df.columns])
 
 
 @query

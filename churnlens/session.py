@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,6 +25,21 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text; names may hold spaces, dashes or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string as SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def col(name: str) -> Column:
-    """Column by literal name; names may hold spaces, dashes or dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Adds a one-row frame as a struct column. It is a scalar subquery: evaluated once, then a
+    constant of the plan, with no join."""
+    return df.withColumn(name, row.select(F.struct("*")).scalar())
