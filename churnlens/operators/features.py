@@ -89,7 +89,8 @@ def monthly_txn_counts_by_account(accounts: DataFrame, transactions: DataFrame)
     )
     owners = accounts.where(F.col("customer_id").isNotNull()).select("customer_id", "account_id")
     return (
-        owners.join(monthly, F.col("account_id").eqNullSafe(F.col("_account")))
+        # As many rows as transactions at worst, so not for broadcasting.
+        owners.join(monthly.hint("merge"), F.col("account_id").eqNullSafe(F.col("_account")))
         .groupBy("customer_id", "year", "month")
         .agg(F.sum("n").alias("num_transactions"))
     )

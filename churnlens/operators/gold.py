@@ -107,6 +107,8 @@ def build_gold(
         hot_of(left, right, policy),
         policy,
         null_safe=null_keys == "match",
+        # Never broadcast the transactions, however small they look compressed.
+        hint="merge",
     ).select(GOLD_COLUMNS)
 
 

@@ -167,9 +167,11 @@ def outer_join(
     hot: list[HotKey] | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
     null_safe: bool = True,
+    hint: str | None = None,
 ) -> DataFrame:
     """``left`` or ``full`` join on a null-safe key; only ``key`` may be in both sides.
     With plain equality (``null_safe=False``) tables bucketed by the key join without a shuffle.
+    ``hint`` names a join strategy.
 
     ``hot`` lists the hot keys; left out, they are looked for in both inputs. For a full join
     the counts must tell whether a key is present on each side, for a left join on the right.
@@ -181,15 +183,15 @@ def outer_join(
     lkey, rkey = F.col(key), F.col("_key")
     same_key = lkey.eqNullSafe(rkey) if null_safe else lkey == rkey
     if not hot:
-        joined = left.join(right, same_key, how)
+        joined = left.join(right.hint(hint) if hint else right, same_key, how)
     else:
-        joined = _salted(left, right, key, same_key, how, hot, policy)
+        joined = _salted(left, right, key, same_key, how, hot, policy, hint)
     if how == "full":
         joined = joined.withColumn(key, F.coalesce(key, "_key"))
     return joined.select(columns)
 
 
-def _salted(left, right, key, same_key, how, hot, policy):
+def _salted(left, right, key, same_key, how, hot, policy, hint):
     grid = {k.value: k.grid(policy) for k in hot}
     # A left join needs the left count for balance only, never to decide on copies.
     paired = {k.value for k in hot if k.right_rows and (k.left_rows or how == "left")}
@@ -203,7 +205,7 @@ def _salted(left, right, key, same_key, how, hot, policy):
     b = _copies(_own_salt(right, "_rs2", rkey, right_salts), "_ls2", rkey, right_copies)
     a, b = a.withColumn("_in_left", F.lit(True)), b.withColumn("_in_right", F.lit(True))
     joined = a.join(
-        b,
+        b.hint(hint) if hint else b,
         same_key & (F.col("_ls") == F.col("_ls2")) & (F.col("_rs") == F.col("_rs2")),
         how,
     )
