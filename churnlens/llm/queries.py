@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import vectors
+from . import lines, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
+    "op5_line_dedup": op5_line_dedup,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
-ORACLE = {}
+ORACLE = {
+    "op5_line_dedup": """
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from documents),
+k as (
+  select doc_id, i, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l),
+c as (select key from k where key <> '' group by key having count(distinct doc_id) >= 10)
+select k.doc_id, count(*) as n_lines, count(c.key) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (c.key is null), '')) as kept_sha256
+from k left join c on k.key = c.key group by k.doc_id""",
+}
