@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import lines, vectors
+from . import langid, lines, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +16,27 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def _remainder(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus``; the id may be null."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, _remainder(4) != 2)
+    held_out = (_remainder(4) == 2).alias("held_out")
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out, "lang_pred", "score", "ambiguous"
+    )
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
