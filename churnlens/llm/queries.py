@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, lines, vectors
+from . import html, langid, lines, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -35,6 +40,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
