@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html, langid, lines, vectors
+from . import html, langid, lines, minmax, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 

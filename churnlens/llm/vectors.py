@@ -147,7 +147,7 @@ def near_duplicate_vectors(
     Pairs are missed with probability ``1 - recall`` at the threshold and less above it; no pair
     below it is linked, and equal vectors always are. Vectors of different lengths are never
     compared. Null or zero vectors and those with null or non-finite components link with
-    nothing. A row without an id links with nothing and has a null component and is not kept.
+    nothing. A row without an id links with nothing, has a null component and is kept.
     Repeated rows count as copies of each other. Other columns are ignored; an empty table gives
     an empty result.
     """
@@ -217,5 +217,5 @@ def near_duplicate_vectors(
         F.col("id").alias("vec_id"),
         "n_links",
         F.col("component").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
