@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html, langid, lines, minmax, vectors
+from . import html, langid, lines, minmax, packing, tokenfiles, vectors
+from .tokens import public_vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,13 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_vocabulary("word_bpe_49k.json"), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -39,15 +47,23 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    read = tokenfiles.token_ids(docs, public_vocabulary("byte_bpe_50k.json"), end_id=2)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_packing": op2_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_token_ids": op8_token_ids,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
