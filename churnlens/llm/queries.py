@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html, langid, lines, minmax, packing, tokenfiles, vectors
+from . import html, langid, lines, minmax, packing, quality, tokenfiles, vectors
 from .tokens import public_vocabulary
 
 
@@ -12,6 +12,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus``; the id may be null."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
+
+
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages).select("page_id", "url", "text", "n_chars")
@@ -24,16 +29,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), _remainder(3) != 1)
+    held_out = (_remainder(3) == 1).alias("held_out")
+    return quality.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-def _remainder(modulus: int):
-    """crc32 of doc_id as text, modulo ``modulus``; the id may be null."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
-
-
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs, _remainder(4) != 2)
@@ -60,6 +67,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
+    "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
