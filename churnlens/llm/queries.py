@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html, langid, lines, minmax, packing, quality, tokenfiles, vectors
+from . import html, langid, lbl, lines, minmax, packing, quality, tokenfiles, vectors
 from .tokens import public_vocabulary
 
 
@@ -60,6 +60,10 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score_texts(_table(spark, sf_dir, "documents"), _remainder(7) == 2)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_token_ids": op8_token_ids,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
