@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html, langid, lbl, lines, minmax, packing, quality, tokenfiles, vectors
+from . import decontam, html, langid, lbl, lines, minmax, packing, quality, tokenfiles, vectors
 from .tokens import public_vocabulary
 
 
@@ -29,6 +29,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.flag(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, _table(spark, sf_dir, "labels"), _remainder(3) != 1)
@@ -71,6 +75,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
