@@ -1,13 +1,61 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from churnlens.llm import decontam, langid, lines, minmax, packing
 from churnlens.llm.stages import staged
+from churnlens.llm.tokens import public_vocabulary
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what is in no known language, or in none clearly; ``lang`` becomes the language found."""
+    model = langid.train(docs, F.lit(True))
+    found = langid.identify(docs.drop("lang_pred", "score", "ambiguous"), model).where("not ambiguous")
+    return found.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops lines found in many documents, and documents of which nothing but white space is left."""
+    kept = lines.dedup_lines(docs)
+    gone = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = kept.where(~gone)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group of near-duplicates."""
+    groups = minmax.near_duplicates(docs)
+    dropped = groups.where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    return decontam.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: a row per piece, with its ids."""
+    return packing.pack(docs, public_vocabulary("word_bpe_49k.json"), end_id=1)
+
 
-STAGES = []
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packed),
+]
 
+#: The language classifier and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
