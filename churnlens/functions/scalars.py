@@ -25,8 +25,8 @@ def bool_label(flag: Column) -> Column:
 
 
 def threshold_label(probability: Column, threshold: float = 0.5) -> Column:
-    """1 strictly above the threshold, else 0."""
-    return F.when(probability > threshold, 1).otherwise(0)
+    """1 strictly above the threshold, else 0; NaN and NULL are not above it."""
+    return F.when((probability > threshold) & ~F.isnan(probability), 1).otherwise(0)
 
 
 def monthly_spend() -> Column:
@@ -36,7 +36,8 @@ def monthly_spend() -> Column:
 def hash_order(key: Column, seed: int = 42) -> Column:
     """A number below 2**52 that looks random but depends on key and seed alone.
 
-    It gives shuffles, samples and splits that any engine with md5 can repeat.
+    It gives shuffles, samples and splits that any engine with md5 can repeat. NULL counts as
+    an empty text.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
     return F.conv(F.substr(digest, F.lit(1), F.lit(13)), 16, 10).cast("bigint")

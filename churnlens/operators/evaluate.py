@@ -102,9 +102,11 @@ def classification_report(
 def log_loss(
     df: DataFrame, label: str = "label", score: str = "score", epsilon: float = 1e-15
 ) -> DataFrame:
-    p = F.least(F.greatest(F.col(score), F.lit(epsilon)), F.lit(1 - epsilon))
-    y = F.col(label).cast("double")
-    return df.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
+    """Mean negative log-likelihood of the rows that have both a label and a score."""
+    y, s = F.col(label).cast("double"), F.col(score).cast("double")
+    p = F.least(F.greatest(s, F.lit(epsilon)), F.lit(1 - epsilon))
+    known = y.isNotNull() & ~F.isnan(y) & s.isNotNull() & ~F.isnan(s)
+    return df.where(known).agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
 
 
 def roc_auc_score(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..fixtures import Tables
 from ..schemas import ACCOUNT_GRAIN_COLUMNS, GOLD_COLUMNS, OPEN_STATUS
 from .joins import DEFAULT_POLICY, HotKey, SkewPolicy, heavy_keys, hot_of, outer_join
-from .projection import fill_constant
+from .projection import fill_constant, missing_sql
 
 
 # -- the four full outer joins, one by one ------------------------------------------------
@@ -58,7 +58,8 @@ def gold_accounts(
     customer_id; as full joins each would shuffle the previous result again.
     """
     hot = _customer_hot_keys(tables, policy) if hot is None else hot
-    out = tables.metrics.where(F.col("total_relationship_count").isNotNull())
+    count = "total_relationship_count"
+    out = tables.metrics.where(~F.expr(missing_sql(tables.metrics, [count])[count]))
     sides = {
         "customer": tables.customer,
         "closed": tables.closed.drop("account_id"),
@@ -98,7 +99,7 @@ def build_gold(
     right = found["transactions"].counts
     left = {}
     if None in right:
-        left = {None: _customers_without_account(tables, found["metrics"].rows, right[None], policy)}
+        left = {None: _customers_without_account(tables)}
     return outer_join(
         accounts,
         transactions,
@@ -112,16 +113,8 @@ def build_gold(
     ).select(GOLD_COLUMNS)
 
 
-def _customers_without_account(
-    tables: Tables, customers: int, partners: int, policy: SkewPolicy
-) -> int:
-    """Rows of the account grain whose account_id is NULL.
-
-    Only the layout of the join depends on it, so the number of metrics rows will do while
-    even that many could not make the block too large.
-    """
-    if customers * partners <= policy.pairs_per_task and customers <= policy.rows_per_task:
-        return customers
+def _customers_without_account(tables: Tables) -> int:
+    """Rows of the account grain whose account_id is NULL, for the layout of the join."""
     owners = tables.account.where(F.col("account_id").isNotNull()).select("customer_id").distinct()
     return tables.metrics.join(owners, "customer_id", "left_anti").count()
 

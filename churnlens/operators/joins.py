@@ -15,20 +15,34 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import quoted
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot, in rows (or joined pairs) for a single task."""
+    """When a key counts as hot, in rows (or joined pairs) for a single task.
+
+    Keys with more than ``share`` of a side's rows are looked for. There are at most 1/share of
+    them, so none is cut off, and the sketch is sized to tell them from the rest.
+    """
 
     rows_per_task: int = 1_000_000
     pairs_per_task: int = 5_000_000
-    top: int = 1_000
-    tracked: int = 50_000
+    share: float = 1e-4
+
+    @property
+    def top(self) -> int:
+        return math.ceil(1 / self.share)
+
+    @property
+    def tracked(self) -> int:
+        """Counters of the sketch; its error is at most rows/tracked, a twentieth of the share."""
+        return min(1_000_000, 20 * self.top)
 
 
 @dataclass(frozen=True)
 class KeyLoad:
-    """Rows of one join side, in all and (estimated) for its most frequent keys."""
+    """Rows of one join side, in all and (estimated from above) for its most frequent keys."""
 
     rows: int
     counts: dict[object, int]
@@ -62,35 +76,27 @@ def _collect_all(frames: list[DataFrame]) -> list:
 def heavy_keys(
     sides: Iterable[tuple[str, DataFrame, str]], policy: SkewPolicy = DEFAULT_POLICY
 ) -> dict[str, KeyLoad]:
-    """Row counts of the most frequent keys (estimated; exact for NULL), per named side.
+    """Row counts of the most frequent keys (estimated from above; exact for NULL), per named side.
 
-    Rows are counted first. A side that would fit one task has no key worth a sketch. The
-    sketch reads the key column alone and sends at most ``policy.top`` counts to the driver.
+    One pass over the key column of each side, in one job; at most 1/share counts a side reach
+    the driver.
     """
-    sides = list(sides)
     counted = _collect_all(
         [
             side.agg(
                 F.lit(name).alias("side"),
                 F.count("*").alias("rows"),
                 F.count_if(F.isnull(key)).alias("nulls"),
+                F.expr(f"approx_top_k({quoted(key)}, {policy.top}, {policy.tracked})").alias("top"),
             )
             for name, side, key in sides
         ]
     )
-    found = {r["side"]: KeyLoad(r["rows"], {None: r["nulls"]} if r["nulls"] else {}) for r in counted}
-    large = [s for s in sides if found[s[0]].rows > policy.rows_per_task]
-    if large:
-        sketched = [
-            side.agg(
-                F.lit(name).alias("side"),
-                F.expr(f"approx_top_k(`{key}`, {policy.top}, {policy.tracked})").alias("top"),
-            )
-            for name, side, key in large
-        ]
-        for row in _collect_all(sketched):
-            top = {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None}
-            found[row["side"]].counts.update(top)
+    found = {}
+    for row in counted:
+        least = policy.share * row["rows"]
+        counts = {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None and t["count"] > least}
+        found[row["side"]] = KeyLoad(row["rows"], counts | ({None: row["nulls"]} if row["nulls"] else {}))
     return found
 
 
@@ -175,9 +181,12 @@ def outer_join(
 
     ``hot`` lists the hot keys; left out, they are looked for in both inputs. For a full join
     the counts must tell whether a key is present on each side, for a left join on the right.
+    Under plain equality NULL meets nothing and is never salted.
     """
     if hot is None:
         hot = exact_hot_keys(left, right, key, policy)
+    if not null_safe:
+        hot = [k for k in hot if k.value is not None]
     columns = left.columns + [c for c in right.columns if c != key]
     right = right.withColumnRenamed(key, "_key")
     lkey, rkey = F.col(key), F.col("_key")

@@ -1,9 +1,10 @@
 """Exact k-nearest-neighbour classification as a blocked join.
 
-Training rows are grouped around a bounded number of pivots and cut into blocks of bounded
+Training rows are grouped around pivots and cut into blocks of bounded
 size; query rows likewise. From the distances to the pivots the triangle inequality tells which
 groups can hold a neighbour of a query, and only those blocks meet. Blocks travel as arrays and
-each pair of blocks gives at most k rows per query, so pairs of rows are never shuffled.
+each task keeps the best k rows per query over all its pairs of blocks, so pairs of rows are never
+shuffled.
 (The idea is the partition-based kNN join of Lu, Shen, Chen and Ooi, VLDB 2012.)
 """
 
@@ -19,9 +20,12 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import new_work_path
+from ..sources.sinks import sink_stage_table
 from .split import sample_n
 
-MAX_PIVOTS = 1_024
+# Pivots grow with the square root of the number of training blocks.
+PIVOTS_PER_ROOT = 8
 # Query blocks that one copy of a training block may meet before it is copied again.
 BLOCKS_PER_COPY = 64
 
@@ -37,7 +41,12 @@ def knn_classify(
 ) -> DataFrame:
     """(key, prediction): the majority label of the k nearest training rows by Euclidean
     distance. Equal distances go to the smaller key, equal votes to the smaller label.
-    ``vector`` is an array<double> without NULLs; ``key`` is unique."""
+    ``vector`` is an array<double>; ``key`` is unique. Rows whose vector is NULL or holds NULL,
+    NaN or infinity are nobody's neighbours and get no prediction.
+
+    In many dimensions no exact method prunes: on the 64-dimensional test vectors every query
+    reaches every cell, so all blocks meet. What is then bounded is the traffic: k rows per query
+    and task leave the search."""
     nearest = knn_neighbours(train, queries, key, vector, label, k, block_rows)
     votes = nearest.groupBy(key, "label").agg(F.count("*").alias("votes"))
     return votes.groupBy(key).agg(
@@ -61,16 +70,21 @@ def knn_neighbours(
     )
     queries = queries.select(F.col(key).alias("id"), F.lit(0).alias("label"), F.col(vector).alias("vec"))
 
-    n_pivots = min(MAX_PIVOTS, max(1, train.count() // block_rows))
+    usable = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    train, queries = train.where(usable), queries.where(usable)
+    n_pivots = max(1, math.ceil(math.sqrt(train.count() / block_rows) * PIVOTS_PER_ROOT))
     pivots = np.array([r["vec"] for r in sample_n(train, "id", n_pivots).collect()], dtype=float)
     if not len(pivots):
         return _no_neighbours(queries, key, key_type)
     placed = f"id {key_type}, label int, vec array<double>, cell int, distance double"
-    train = train.mapInArrow(partial(_place, pivots=pivots), placed)
+    train = _stage(train.mapInArrow(partial(_place, pivots=pivots), placed), "knn-train")
     train_cells = _cell_sizes(train, k)
-    placed_queries = queries.mapInArrow(
-        partial(_place_queries, pivots=pivots, cells=train_cells, k=k),
-        placed + ", reach array<int>",
+    placed_queries = _stage(
+        queries.mapInArrow(
+            partial(_place_queries, pivots=pivots, cells=train_cells, k=k),
+            placed + ", reach array<int>",
+        ),
+        "knn-queries",
     )
     query_sizes = {
         r["cell"]: r["n"] for r in placed_queries.groupBy("cell").agg(F.count("*").alias("n")).collect()
@@ -103,6 +117,11 @@ def knn_neighbours(
     return found.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k).drop("_rank")
 
 
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """Placed rows are read several times; they are computed once."""
+    return sink_stage_table(df, new_work_path(df.sparkSession, name))
+
+
 def _no_neighbours(queries: DataFrame, key: str, key_type: str) -> DataFrame:
     return queries.sparkSession.createDataFrame(
         [], f"`{key}` {key_type}, neighbour {key_type}, label int, distance double"
@@ -224,26 +243,51 @@ def _place_queries(batches, pivots, cells, k):
         yield _with(batch, **_placement(all_distances), reach=lists)
 
 
+HELD_ROWS = 2_000_000
+
+
 def _search(batches, k, width):
+    """The k nearest rows of each query over all pairs of blocks of the task. What is held is
+    bounded: beyond it the best so far are sent on and the search starts anew."""
+    held: dict[tuple, tuple[np.ndarray, ...]] = {}
+    size = 0
     for batch in batches:
         for i in range(batch.num_rows):
             q_ids, t_ids = batch.column("ids")[i].values, batch.column("t_ids")[i].values
             q = batch.column("vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
             t = batch.column("t_vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
-            labels = batch.column("t_labels")[i].values
+            labels = batch.column("t_labels")[i].values.to_numpy()
+            names = np.array(t_ids.to_pylist())
+            block = tuple(q_ids.to_pylist())
             # Some query rows at a time, to bound the distance matrix.
             step = max(1, 4_000_000 // max(1, len(t)))
+            parts = [held.pop(block)] if block in held else []
+            size -= sum(len(x[0]) for x in parts)
             for start in range(0, len(q), step):
                 rows, cols, distance = _nearest(q[start : start + step], t, k)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        q_ids.take(pa.array(rows + start)),
-                        t_ids.take(pa.array(cols)),
-                        labels.take(pa.array(cols)),
-                        pa.array(distance),
-                    ],
-                    names=["query", "neighbour", "label", "distance"],
-                )
+                parts.append((rows + start, names[cols], labels[cols], distance))
+            held[block] = _best(parts, k)
+            size += len(held[block][0])
+            if size > HELD_ROWS:
+                yield from _send(held)
+                held, size = {}, 0
+    yield from _send(held)
+
+
+def _best(parts, k):
+    rows, names, labels, distance = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((names, distance, rows))
+    rows, names, labels, distance = (x[order] for x in (rows, names, labels, distance))
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], names[keep], labels[keep], distance[keep]
+
+
+def _send(held):
+    for block, (rows, names, labels, distance) in held.items():
+        columns = [[block[i] for i in rows], names.tolist(), labels, distance]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], names=["query", "neighbour", "label", "distance"]
+        )
 
 
 def _nearest(q: np.ndarray, t: np.ndarray, k: int):

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.scalars import hash_order
 from ..schemas import LABEL, MODEL_FEATURES
 from ..session import col, literal, quoted, shared_dir, with_row
+from .projection import missing_sql
 from .quality import value_counts
 
 SEED = 42
@@ -43,6 +44,8 @@ FOREST_GRID = {
     "minInstancesPerNode": [1, 2, 4],
 }
 GRID_FOLDS = 5
+# Labelled rows that the search and boosting of the registered queries are fitted on.
+FIT_ROWS = 2_000
 IMPORTANCE_TREES = 12
 KNN_NEIGHBOURS = 265
 VAR_SMOOTHING = 1e-9
@@ -160,6 +163,11 @@ def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def bounded_sample(df: DataFrame, key: str = "customer_id", rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """At most ``rows`` labelled rows to fit a classifier on, the first by a hash of the key."""
+    return df.orderBy(hash_order(col(key), seed), col(key)).limit(rows)
+
+
 def feature_importance(model: Model, spark: SparkSession, features: list[str] = MODEL_FEATURES) -> DataFrame:
     """(feature, importance), most important first."""
     values = [float(x) for x in model.featureImportances.toArray()]
@@ -222,17 +230,22 @@ def predict_gaussian_nb(
     features: list[str] = MODEL_FEATURES,
     label: str = LABEL,
 ) -> DataFrame:
-    """(key, label, prediction, score), the score being the difference of log likelihoods."""
+    """(key, label, prediction, score), the score being the difference of log likelihoods: plus
+    or minus infinity if training saw one class. Rows with a missing feature are left out."""
 
     def log_likelihood(k: int) -> str:
-        out = f"ln(_m.class_{k}.prior)"
+        # A class that training never saw has prior 0: likelihood minus infinity.
+        out = f"if(_m.class_{k}.prior > 0, ln(_m.class_{k}.prior), double('-infinity'))"
         for c in features:
             of = f"_m.class_{k}.{quoted(c)}"
             var = f"({of}.var + _m.raised)"
-            out += f" - 0.5D * ln(2D * pi() * {var}) - 0.5D * power({quoted(c)} - {of}.mean, 2) / {var}"
+            term = f"0.5D * ln(2D * pi() * {var}) + 0.5D * power({quoted(c)} - {of}.mean, 2) / {var}"
+            out += f" - coalesce({term}, 0D)"
         return out
 
-    scored = with_row(df, fitted, "_m").selectExpr(
+    missing = missing_sql(df, features)
+    complete = df.where(" and ".join(f"not {missing[c]}" for c in features))
+    scored = with_row(complete, fitted, "_m").selectExpr(
         quoted(key),
         f"{quoted(label)} as label",
         f"({log_likelihood(1)}) - ({log_likelihood(0)}) as score",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import col, quoted
 
@@ -64,9 +64,12 @@ def sort_desc(df: DataFrame, column: str, *ties: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(column), *ties)
 
 
-def drop_tail(scores: DataFrame, column: str, n: int, total: int, *ties: str) -> DataFrame:
-    """All but the ``n`` lowest of ``total`` rows."""
-    return sort_desc(scores, column, *ties).limit(max(total - n, 0))
+def drop_tail(scores: DataFrame, column: str, n: int, *ties: str) -> DataFrame:
+    """All but the ``n`` lowest rows, highest first; a missing value is lower than any. For
+    tables with a row per feature: the ranks are worked out in one task."""
+    lowest = Window.orderBy(F.asc_nulls_first(column), *[F.desc_nulls_first(t) for t in ties])
+    kept = scores.withColumn("_place", F.row_number().over(lowest)).where(F.col("_place") > n)
+    return sort_desc(kept.drop("_place"), column, *ties)
 
 
 def axis_projection(

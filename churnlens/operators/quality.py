@@ -82,8 +82,10 @@ def impute_mode(df: DataFrame, column: str) -> DataFrame:
 
 
 def impute_median(df: DataFrame, column: str) -> DataFrame:
-    median = median_value(df, column).scalar()
-    return df.withColumn(column, F.coalesce(col(column), median))
+    """Missing values, NaN among them, take the exact median of the others."""
+    given = df.withColumn(column, F.when(~F.expr(missing_sql(df, [column])[column]), col(column)))
+    median = median_value(given, column).scalar()
+    return given.withColumn(column, F.coalesce(col(column), median))
 
 
 def clean_customers(customer: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def split_exact(
     """Adds ``part`` with exactly int(cut*n) rows before each cut.
 
     No global sort: rows are counted per hash range (a fixed number of ranges), and only the
-    two ranges that hold a cut are looked at row by row. ``key`` must be unique.
+    two ranges that hold a cut are looked at, hash by hash. Rows of one key, NULL too, stay
+    together: if a cut falls among them, they come after it.
     """
     h = hash_order(col(key), seed)
     bucket = F.shiftright(h, _BUCKET_BITS).cast("int")
@@ -61,10 +62,14 @@ def split_exact(
         inside = df.select(h.alias("h"), bucket.alias("bucket")).where(
             F.col("bucket") == holder["bucket"]
         )
+        upto_h = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (
-            inside.withColumn("rank", F.row_number().over(w) - 1)
-            .where(F.col("rank") == holder["rank"])
-            .select("h")
+            # A row per key of the range, however often the key repeats.
+            inside.groupBy("h")
+            .agg(F.count("*").alias("n"))
+            .withColumn("upto", upto_h)
+            .where(F.col("upto") > holder["rank"])
+            .agg(F.min("h").alias("h"))
             .scalar()
         )
 

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import col, quoted
+from ..session import col, new_work_path, quoted
+from ..sources.sinks import sink_stage_table
 
 
 def _long(df: DataFrame, columns: list[str], keep: list[str] = []) -> DataFrame:
@@ -22,8 +23,10 @@ def _long(df: DataFrame, columns: list[str], keep: list[str] = []) -> DataFrame:
     return wide.unpivot(kept, [quoted(c) for c in columns], "column", "x")
 
 
-def _bias_corrected(skew: Column, n: Column) -> Column:
-    return F.when(n > 2, skew * F.sqrt(n * (n - 1.0)) / (n - 2.0))
+def _bias_corrected(skew: Column, n: Column, constant: Column) -> Column:
+    """NULL for fewer than three values, 0 for a constant column."""
+    corrected = skew * F.sqrt(n * (n - 1.0)) / (n - 2.0)
+    return F.when(n > 2, F.when(constant, 0.0).otherwise(corrected))
 
 
 def skew_profile(
@@ -43,9 +46,13 @@ def skew_profile(
         moments = (
             _long(df, columns)
             .groupBy("column")
-            .agg(F.skewness("x").alias("skew"), F.count("x").cast("double").alias("n"))
+            .agg(
+                F.skewness("x").alias("skew"),
+                F.count("x").cast("double").alias("n"),
+                (F.min("x") == F.max("x")).alias("constant"),
+            )
         )
-        return moments.select("column", _bias_corrected(F.col("skew"), n).alias("skew"))
+        return moments.select("column", _bias_corrected(F.col("skew"), n, F.col("constant")).alias("skew"))
 
     shift = _long(df if pilot is None else pilot, columns).groupBy("column").agg(
         F.avg("x").alias("shift")
@@ -54,10 +61,11 @@ def skew_profile(
         _long(df, columns, [f"cast({quoted(weight)} as double) as w"])
         # One row per column.
         .join(F.broadcast(shift), "column")
-        .selectExpr("column", "if(x is null, 0D, w) as w", "x - shift as d")
+        .selectExpr("column", "if(x is null, 0D, w) as w", "x - shift as d", "if(w > 0, x, null) as x")
         .groupBy("column")
         .agg(
             F.sum("w").alias("n"),
+            (F.min("x") == F.max("x")).alias("constant"),
             *[
                 F.expr(f"try_divide(sum(w * {' * '.join(['d'] * p)}), sum(w))").alias(f"m{p}")
                 for p in (1, 2, 3)
@@ -67,11 +75,12 @@ def skew_profile(
     central = sums.selectExpr(
         "column",
         "n",
+        "constant",
         "m2 - m1 * m1 as c2",
         "m3 - 3 * m1 * m2 + 2 * m1 * m1 * m1 as c3",
     )
-    skew = F.expr("try_divide(c3, power(c2, 1.5))")
-    return central.select("column", _bias_corrected(skew, n).alias("skew"))
+    skew = F.expr("if(c2 > 0, c3 / power(c2, 1.5), 0D)")
+    return central.select("column", _bias_corrected(skew, n, F.col("constant")).alias("skew"))
 
 
 def mean_variance_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -183,17 +192,18 @@ def crosstab(df: DataFrame, column: str, label: str) -> DataFrame:
 def _contingency(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Per feature and value the counts of both labels, with the feature's totals.
 
-    One grouping for all features. The totals come from the grouped cells (Spark reuses that
-    shuffle) and have a row per feature, whatever the data.
+    One grouping for all features, written as a stage: the totals and what follows read it, so
+    the rows are expanded and grouped once. The totals have a row per feature, whatever the data.
     """
-    cells = (
+    cells = sink_stage_table(
         _long(df.where(col(label).isNotNull()), features, [f"{quoted(label)} as _label"])
         .where(F.col("x").isNotNull())
         .groupBy(F.col("column").alias("feature"), F.col("x").alias("value"))
         .agg(
             F.count_if(F.col("_label") == 0).alias("o0"),
             F.count_if(F.col("_label") == 1).alias("o1"),
-        )
+        ),
+        new_work_path(df.sparkSession, "contingency"),
     )
     totals = cells.groupBy("feature").agg(F.sum("o0").alias("t0"), F.sum("o1").alias("t1"))
     return cells.join(F.broadcast(totals), "feature")

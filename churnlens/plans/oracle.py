@@ -161,6 +161,13 @@ def _rounded(names: list[str], digits: int = 6, table: str = "") -> str:
     return ", ".join(f'round({table}"{n}", {digits}) "{n}"' for n in names)
 
 
+def _landed(schema) -> str:
+    return ", ".join(
+        f'round("{f.name}", 6) "{f.name}"' if f.dataType.typeName() == "double" else f'"{f.name}"'
+        for f in schema.fields
+    )
+
+
 def _significant(x: str) -> str:
     return (
         f"case when {x} <> 0 then round({x} / pow(10.0, floor(log10(abs({x})))), 8)"
@@ -355,8 +362,8 @@ ORACLE: dict[str, str] = {
     "sink_gzip_csv": _SILENT,
     "sink_stage_table": with_cc("select * from cc_account"),
     "land_raw": with_cc(
-        _union(
-            "select '@' \"table\", count(*) \"rows\" from cc_@", list(schemas.SOURCES)
+        "\nunion all by name\n".join(
+            f"select '{n}' \"table\", {_landed(s)} from cc_{n}" for n, s in schemas.SOURCES.items()
         )
     ),
     "inline_table": with_feat(
@@ -378,10 +385,20 @@ ORACLE: dict[str, str] = {
         MONTHLY,
     ),
     "insert_at": with_gold(
+        f"select {GOLD}, avg_utilization_ratio * credit_limit avg_monthly_spend from gold"
+    ),
+    "derive_monthly_spend": with_gold(
+        "select customer_id, account_id, transaction_id,"
+        " avg_utilization_ratio * credit_limit avg_monthly_spend from gold"
+    ),
+    "engineered_rows": with_feat(
+        f"select {_list(schemas.KEY_COLUMNS)}, {_rounded(schemas.NUMERIC_FEATURES)}, {DUMMIES} from wide"
+    ),
+    "insert_at_accounts": with_gold(
         "select customer_id, account_id, avg_utilization_ratio * credit_limit avg_monthly_spend,"
         " avg_utilization_ratio, credit_limit from j3 where total_relationship_count is not null"
     ),
-    "derive_monthly_spend": with_gold(
+    "derive_monthly_spend_accounts": with_gold(
         "select customer_id, account_id, avg_utilization_ratio * credit_limit avg_monthly_spend"
         " from j3 where total_relationship_count is not null"
     ),
@@ -422,6 +439,12 @@ ORACLE: dict[str, str] = {
         " count(transaction_date) n_transaction_date from gold group by 1, 2"
     ),
     "attach_customer_agg": with_gold(
+        "select g.customer_id, account_id, transaction_id,"
+        " round(avg_trans_per_month, 6) avg_trans_per_month"
+        " from gold g left join average a on g.customer_id = a.customer_id",
+        MONTHLY,
+    ),
+    "attach_customer_agg_accounts": with_gold(
         "select customer_id, account_id, round(avg_trans_per_month, 6) avg_trans_per_month"
         " from (select distinct customer_id, account_id from gold) left join average"
         " using (customer_id)",
@@ -568,6 +591,9 @@ ORACLE: dict[str, str] = {
         f"select * replace (round(coalesce(income, {_MEDIAN}), 6) as income) from cc_customer"
     ),
     "one_hot": with_gold(
+        f"select customer_id, account_id, transaction_id, {DUMMIES} from gold"
+    ),
+    "one_hot_accounts": with_gold(
         f"select customer_id, account_id, {DUMMIES} from"
         " (select * replace (coalesce(status, 'Existing Customer') as status) from j3"
         " where total_relationship_count is not null)"
@@ -654,6 +680,15 @@ ORACLE: dict[str, str] = {
         + " union all select model, 'param', 'threshold', 0.5 from by_model)",
         _MODELS,
     ),
+    "filter_run": with_cc(
+        "select 'score' run_name, kind, \"key\", \"value\" from ("
+        + "\nunion all\n".join(
+            f"select 'metric' kind, '{m}' \"key\", round({x}, 6) \"value\" from by_model where model = 'score'"
+            for m, x in METRICS.items()
+        )
+        + " union all select 'param', 'threshold', 0.5)",
+        _MODELS,
+    ),
     "run_search": with_cc(
         f"select model run_name, {_METRIC_COLUMNS} from by_model where model <> 'majority'", _MODELS
     ),

@@ -32,9 +32,6 @@ QUERIES: dict[str, Query] = {}
 FEATURES = schemas.feature_names(DOMAINS)
 LABEL = schemas.LABEL
 SUMMARY_COLUMNS = schemas.NUMERIC_FEATURES + schemas.dummy_names(DOMAINS)
-# Fewer rounds and a smaller grid than the library defaults (200 rounds, 27 settings).
-SMALL_ROUNDS = 20
-SMALL_GRID = {"numTrees": [5, 10], "maxDepth": [3, 5], "minInstancesPerNode": [1, 4]}
 
 
 def query(fn: Query) -> Query:
@@ -54,9 +51,14 @@ def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.gold_weighted(tables(spark, sf_dir))
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A written stage, for what is read more than once."""
+    return sinks.sink_stage_table(df, new_work_path(df.sparkSession, name))
+
+
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    return feat.customer_features(gold.gold_accounts(t), t.transactions, DOMAINS)
+    return feat.customer_features(staged(gold.gold_accounts(t), "accounts"), t.transactions, DOMAINS)
 
 
 def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,13 +169,10 @@ def land_raw(spark, sf_dir):
     for name, path in raw.items():
         getattr(t, name).write.option("header", name == "metrics").csv(path)
     landed = landing.land_raw(spark, raw, f"{base}/landing")
-    counted = [
-        getattr(landed, n).agg(F.lit(n).alias("table"), F.count("*").alias("rows"))
-        for n in schemas.SOURCES
-    ]
-    out = counted[0]
-    for c in counted[1:]:
-        out = out.unionByName(c)
+    out = None
+    for name in schemas.SOURCES:
+        rows = rounded(getattr(landed, name)).select(F.lit(name).alias("table"), "*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
 
@@ -224,6 +223,28 @@ def rename(spark, sf_dir):
 
 @query
 def insert_at(spark, sf_dir):
+    """The spend at position 12 of the denormalised table."""
+    return proj.insert_at(
+        gold.build_gold(tables(spark, sf_dir)), 12, "avg_monthly_spend", scalars.monthly_spend()
+    )
+
+
+@query
+def derive_monthly_spend(spark, sf_dir):
+    return feat.add_monthly_spend(gold.build_gold(tables(spark, sf_dir))).select(
+        "customer_id", "account_id", "transaction_id", "avg_monthly_spend"
+    )
+
+
+@query
+def engineered_rows(spark, sf_dir):
+    """Every row of the denormalised table with all features."""
+    rows = staged(gold.build_gold(tables(spark, sf_dir)), "gold")
+    return rounded(feat.engineered_rows(rows, DOMAINS))
+
+
+@query
+def insert_at_accounts(spark, sf_dir):
     return proj.insert_at(
         accounts(spark, sf_dir).select("customer_id", "account_id", "avg_utilization_ratio", "credit_limit"),
         2,
@@ -233,7 +254,7 @@ def insert_at(spark, sf_dir):
 
 
 @query
-def derive_monthly_spend(spark, sf_dir):
+def derive_monthly_spend_accounts(spark, sf_dir):
     return feat.add_monthly_spend(accounts(spark, sf_dir)).select(
         "customer_id", "account_id", "avg_monthly_spend"
     )
@@ -312,17 +333,19 @@ def join_customer_closed(spark, sf_dir):
 @query
 def join_accounts(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return gold.join_accounts(join_customer_closed(spark, sf_dir), t.account)
+    return gold.join_accounts(staged(join_customer_closed(spark, sf_dir), "join-1"), t.account)
 
 
 @query
 def join_metrics(spark, sf_dir):
-    return gold.join_metrics(join_accounts(spark, sf_dir), tables(spark, sf_dir).metrics)
+    joined = staged(join_accounts(spark, sf_dir), "join-2")
+    return gold.join_metrics(joined, tables(spark, sf_dir).metrics)
 
 
 @query
 def join_transactions(spark, sf_dir):
-    return gold.join_transactions(join_metrics(spark, sf_dir), tables(spark, sf_dir).transactions)
+    joined = staged(join_metrics(spark, sf_dir), "join-3")
+    return gold.join_transactions(joined, tables(spark, sf_dir).transactions)
 
 
 @query
@@ -344,6 +367,15 @@ def gold_weighted(spark, sf_dir):
 
 @query
 def attach_customer_agg(spark, sf_dir):
+    """Attached to every row of the denormalised table."""
+    rows = staged(gold.build_gold(tables(spark, sf_dir)), "gold")
+    average = feat.avg_txn_per_month(feat.monthly_txn_counts(rows))
+    keys = rows.select("customer_id", "account_id", "transaction_id")
+    return rounded(feat.attach_customer_agg(keys, average))
+
+
+@query
+def attach_customer_agg_accounts(spark, sf_dir):
     """Attached at the account grain, before the transactions fan out."""
     t = tables(spark, sf_dir)
     owners = gold.gold_accounts(t)
@@ -536,7 +568,7 @@ def sort_desc(spark, sf_dir):
 @query
 def drop_tail(spark, sf_dir):
     scores = stats.anova_f(customer_features(spark, sf_dir), FEATURES, LABEL)
-    return proj.drop_tail(rounded(scores), "f_score", 8, len(FEATURES), "feature")
+    return proj.drop_tail(rounded(scores), "f_score", 8, "feature")
 
 
 @query
@@ -602,6 +634,13 @@ def impute_median(spark, sf_dir):
 
 @query
 def one_hot(spark, sf_dir):
+    """Of every row of the denormalised table."""
+    names = ["customer_id", "account_id", "transaction_id", *DOMAINS]
+    return feat.one_hot(gold.build_gold(tables(spark, sf_dir)).select(names), DOMAINS)
+
+
+@query
+def one_hot_accounts(spark, sf_dir):
     names = ["customer_id", "account_id", *DOMAINS]
     return feat.one_hot(accounts(spark, sf_dir).select(names), DOMAINS)
 
@@ -655,14 +694,14 @@ def logistic_regression(spark, sf_dir):
 @query
 def gbt_classifier(spark, sf_dir):
     parts = vectors(scaled_parts(spark, sf_dir))
-    model = models.gbt_classifier(parts["train"], maxIter=SMALL_ROUNDS)
+    model = models.gbt_classifier(models.bounded_sample(parts["train"]))
     return models.batch_score(model, parts["test"])
 
 
 @query
 def gbt_losses(spark, sf_dir):
     parts = vectors(scaled_parts(spark, sf_dir))
-    model = models.gbt_classifier(parts["train"], maxIter=SMALL_ROUNDS)
+    model = models.gbt_classifier(models.bounded_sample(parts["train"]))
     return models.gbt_losses(model, {p: parts[p] for p in ("train", "validate")})
 
 
@@ -709,7 +748,7 @@ def majority_baseline(spark, sf_dir):
 @query
 def grid_search(spark, sf_dir):
     parts = vectors(model_parts(spark, sf_dir))
-    return models.grid_search(parts["train"], grid=SMALL_GRID, folds=3).scores
+    return models.grid_search(models.bounded_sample(parts["train"])).scores
 
 
 @query
@@ -718,7 +757,7 @@ def batch_score(spark, sf_dir):
     from pyspark.ml.classification import RandomForestClassificationModel
 
     parts = vectors(model_parts(spark, sf_dir))
-    found = models.grid_search(parts["train"], grid=SMALL_GRID, folds=3)
+    found = models.grid_search(models.bounded_sample(parts["train"]))
     path = new_work_path(spark, "model")
     models.save_model(found.model, path)
     return models.batch_score(RandomForestClassificationModel.load(path), parts["validate"])
@@ -740,7 +779,8 @@ def gaussian_nb_mllib(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     parts = vectors(model_parts(spark, sf_dir))
-    return models.feature_importance(models.random_forest(parts["train"]), spark)
+    found = models.grid_search(models.bounded_sample(parts["train"]))
+    return models.feature_importance(found.model, spark)
 
 
 @query
@@ -808,6 +848,21 @@ def run_log(spark, sf_dir):
     )
 
 
+@query
+def filter_run(spark, sf_dir):
+    """The first ten entries of one run."""
+    log = runs.RunLog(spark, new_work_path(spark, "runs"))
+    started = {}
+    for name in ("given", "score"):
+        scored = _three_models(spark, sf_dir).where(F.col("model") == name)
+        started[name] = log.start(name)
+        started[name].log_params({"threshold": 0.5})
+        started[name].log_metrics(evaluate.binary_metrics(scored))
+    return log.filter_run(started["score"].run_id).select(
+        "run_name", "kind", "key", F.round(F.col("value").cast("double"), 6).alias("value")
+    )
+
+
 @query
 def run_search(spark, sf_dir):
     log = runs.RunLog(spark, new_work_path(spark, "runs"))

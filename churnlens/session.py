@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,15 +13,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the session names none (a test on one machine) a folder of its own is used.
+    Only where driver and executors are one process (``local`` master) and none is named, a
+    folder is made, once a session; anywhere else its absence is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="churnlens-")
-        spark.sparkContext.setCheckpointDir(named)
+        named = _own_dir(spark.sparkContext.master, spark.sparkContext.applicationId)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+@cache
+def _own_dir(master: str, application: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(
+            f"set spark.checkpoint.dir to a folder that all executors share (master {master!r})"
+        )
+    return tempfile.mkdtemp(prefix="churnlens-")
+
+
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

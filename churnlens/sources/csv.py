@@ -8,6 +8,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.projection import nan_to_null
+
 # Characters that cannot be seen: control and format characters, byte order mark.
 _INVISIBLE = re.compile("[\u0000-\u001f\u007f-\u009f­​-‏ -‮⁠﻿]")
 
@@ -20,8 +22,8 @@ def clean_names(df: DataFrame) -> DataFrame:
 def scan_typed_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = False
 ) -> DataFrame:
-    """CSV with a fixed schema; no pass over the data to find one."""
-    return clean_names(spark.read.schema(schema).option("header", header).csv(path))
+    """CSV with a fixed schema; no pass over the data to find one. NaN becomes NULL."""
+    return nan_to_null(clean_names(spark.read.schema(schema).option("header", header).csv(path)))
 
 
 def scan_header_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,36 +1,13 @@
-"""Registered queries against their DuckDB equivalents.
-
-By default a selection; RUN_ALL_QUERIES=1 runs every query.
-"""
-
-import os
+"""Registered queries against their DuckDB equivalents."""
 
 import pytest
 import __spark_entry__ as contract
+from churnlens.plans import oracle
 from compare import connect, difference
 
-SELECTION = [
-    "build_gold",
-    "join_accounts",
-    "gold_weighted",
-    "null_counts_gold",
-    "skew_profile",
-    "avg_txn_per_month",
-    "first_row_per_customer",
-    "project_engineered",
-    "trim_outliers",
-    "anova_f",
-    "chi_square",
-    "zscore",
-    "split_70_15_15",
-    "knn_classify",
-    "gaussian_nb",
-    "classification_report",
-    "compare_models",
-    "run_search",
-]
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
-NAMES = sorted(ORACLE) if os.environ.get("RUN_ALL_QUERIES") else SELECTION
+# Those of the llm subpackage have their own tests.
+NAMES = sorted(oracle.ORACLE)
 
 
 @pytest.fixture(scope="module")
