@@ -6,8 +6,9 @@ probability of the Jaccard similarity. Bands of the signature name buckets. Cand
 confirmed on the full shingle sets.
 
 No bucket is expanded into all its pairs: documents with equal sets count once; the others meet
-the least id of their bucket first, and what is then linked is one component. Only pairs of a
-bucket that still lie in different components are compared after that, all of them.
+the least id of their bucket first, and what is then linked is one component. What lies outside
+the largest component of a bucket meets further members of it. Then all pairs of a bucket that
+still lie in different components and could be similar are compared.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ WORDS = 5
 SIMILARITY = 80  # per cent
 BANDS = 40
 BAND_PERMUTATIONS = 4  # two values each
+TURNS = 2
 BROADCAST_IDS = 1_000_000
 _BLOCK = 4_096
 _SKETCH_BITS = 1_024
@@ -136,10 +138,8 @@ def _could_be_similar(similarity: int) -> Column:
     """False only for pairs that cannot reach the similarity: their sizes are too far apart, or
     their sketches differ in more bits than sets so similar can differ in elements."""
     n, m = F.col("n_a"), F.col("n_b")
-    apart = F.aggregate(
-        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0).cast("int"),
-        lambda total, x: total + x.cast("int"),
+    apart = sum(
+        F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(_SKETCH_BITS // 64)
     )
     return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & (
         (100 + similarity) * apart <= (100 - similarity) * (n + m)
@@ -209,33 +209,36 @@ def near_duplicates(
     star = staged(star, "minmax-star")
     links = staged(_confirmed(star, reps, texts, words, similarity), "minmax-links")
 
-    # What is left: pairs of one bucket in different components.
+    # What lies outside the main component of its bucket meets other members of it, one a round.
     components = connected_components(links, "a", "b", "minmax-components")
-    placed = (
-        shared.select("key", "id")
-        .join(components.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", "id", F.coalesce("component", "id").alias("component"))
-    )
-    placed = staged(placed, "minmax-placed")
-    open_buckets = (
-        placed.groupBy("key", "component")
-        .count()
-        .groupBy("key")
-        .agg(F.count("*").alias("parts"), F.max_by("component", F.struct("count", "component")).alias("main"))
-        .where("parts > 1")
-        .select("key", "main")
-    )
-    rest = placed.join(open_buckets, "key")
-    outside = rest.where("component <> main").select("key", F.col("id").alias("o"), F.col("component").alias("oc"))
-    crossed = (
-        rest.join(outside, "key")
-        .where((F.col("component") != F.col("oc")) & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("o"))))
-        .select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = staged(_confirmed(crossed, reps, texts, words, similarity), "minmax-more")
-    if not more.isEmpty():
+    tested = star
+    for turn in range(1, TURNS + 1):
+        rest = staged(_unsettled(shared, components), "minmax-rest")
+        if rest.isEmpty():
+            break
+        inside = rest.where("component = main").groupBy("key")
+        leaders = inside.agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("leader"))
+        met = _pairs(rest.where("component <> main").join(leaders, "key"), "id", "leader", tested)
+        met = staged(met, "minmax-star")
+        more = staged(_confirmed(met, reps, texts, words, similarity), "minmax-links")
+        links, tested = links.union(more), tested.union(met)
+        components = connected_components(links, "a", "b", "minmax-components")
+
+    # All pairs of one bucket that are in different components still, and could be similar.
+    side = reps.select("id", "n", "sketch")
+    rest = staged(_unsettled(shared, components).join(side, "id"), "minmax-rest")
+    if not rest.isEmpty():
+        inner = rest.toDF("b", "key", "component", "main", "n_b", "sketch_b")
+        outer = rest.where("component <> main").drop("main").toDF("a", "key", "outer", "n_a", "sketch_a")
+        crossed = inner.join(
+            outer.withColumnRenamed("key", "outer_key"),
+            (F.col("key") == F.col("outer_key"))
+            & (F.col("component") != F.col("outer"))
+            & ((F.col("component") == F.col("main")) | (F.col("b") < F.col("a")))
+            & _could_be_similar(similarity),
+        )
+        met = staged(_pairs(crossed, "a", "b", tested), "minmax-star")
+        more = staged(_confirmed(met, reps, texts, words, similarity), "minmax-links")
         components = connected_components(links.union(more), "a", "b", "minmax-components")
 
     linked = members.select("id", "n", "rep").join(
@@ -254,5 +257,30 @@ def near_duplicates(
     )
 
 
+def _unsettled(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: id, key, component, and the bucket's
+    main component, the largest (ties: the last)."""
+    placed = (
+        shared.select("key", "id")
+        .join(components.withColumnRenamed("node", "id"), "id", "left")
+        .select("id", "key", F.coalesce("component", "id").alias("component"))
+    )
+    mains = (
+        placed.groupBy("key", "component")
+        .count()
+        .groupBy("key")
+        .agg(F.count("*").alias("parts"), F.max_by("component", F.struct("count", "component")).alias("main"))
+        .where("parts > 1")
+        .select("key", "main")
+    )
+    return placed.join(mains, "key").select("id", "key", "component", "main")
+
+
+def _pairs(rows: DataFrame, x: str, y: str, tested: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of two id columns, without those already tested."""
+    pairs = rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a < b").distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
+
+
 def _repeats(members: DataFrame) -> bool:
     return not members.where("bands is not null").groupBy("id").count().where("count > 1").isEmpty()
