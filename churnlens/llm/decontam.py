@@ -22,6 +22,7 @@ from .stages import staged
 from .text import Words, joined, mix64, shingle_hashes, slices, texts_of
 
 WINDOW = 8
+LEAST_WORDS = 4  # shorter items could be part of any text
 SHARE = 0.5  # of an item's windows, or
 RUN_WINDOWS = 8  # this many windows in all: 15 words on end
 CONSISTENT = 0.8
@@ -154,24 +155,28 @@ def _slots(found: Templates, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per distinct window of an item; items shorter than a window are one window."""
+    """One row per distinct window of an item; an item shorter than a window is one window."""
     for batch in batches:
         for part in slices(batch, "text"):
             found = templates(texts_of(part.column("text")))
-            hashes, first = windows(found, WINDOW)
-            begin, end = _bounds(found, WINDOW, first)
-            item = np.repeat(np.arange(part.num_rows), np.diff(first))
-            _, keep = np.unique(np.stack([item.astype(_U64), hashes]), axis=1, return_index=True)
-            total = np.bincount(item[keep], minlength=part.num_rows)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "item": part.column("item").take(pa.array(item[keep])),
-                    "hash": hashes[keep].view(np.int64),
-                    "size": pa.array((end - begin)[keep], pa.int32()),
-                    "windows": pa.array(total[item[keep]], pa.int64()),
-                    "item_slots": _slots(found, begin[keep], end[keep]),
-                }
-            )
+            sizes = np.minimum(np.diff(found.first), WINDOW)
+            for size in np.unique(sizes[sizes >= LEAST_WORDS]).tolist():
+                hashes, first = windows(found, size)
+                begin, end = _bounds(found, size, first)
+                item = np.repeat(np.arange(part.num_rows), np.diff(first))
+                own = np.flatnonzero(sizes[item] == size)
+                _, keep = np.unique(np.stack([item[own].astype(_U64), hashes[own]]), axis=1, return_index=True)
+                keep = own[keep]
+                total = np.bincount(item[keep], minlength=part.num_rows)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "item": part.column("item").take(pa.array(item[keep])),
+                        "hash": hashes[keep].view(np.int64),
+                        "size": pa.array([size] * len(keep), pa.int32()),
+                        "windows": pa.array(total[item[keep]], pa.int64()),
+                        "item_slots": _slots(found, begin[keep], end[keep]),
+                    }
+                )
 
 
 def _doc_windows(bitmap, sizes: list[int]):
@@ -268,8 +273,8 @@ def flag(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     """One row per row of ``docs``: id, ``contaminated``, ``item_ids`` (ascending, empty if none)
     and ``share`` (the largest share of an item's windows, 0 if none).
 
-    Null and empty texts hold nothing; items with a null id or text count for nothing, equal items
-    are all named. Documents count whole, and each row by its own text, also where ids are null or
+    Null and empty texts hold nothing; items with a null id or text, or of
+    fewer than ``LEAST_WORDS`` words, count for nothing; equal items are all named. Documents count whole, and each row by its own text, also where ids are null or
     repeated. Other columns are ignored; an empty table gives an empty result.
     """
     bad = contaminated(docs, items, id_col, text_col, **names).toDF("id_2", "own_2", "item_ids", "share")

@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, data_dir):
 @pytest.mark.parametrize("shard_lines", [1 << 17, 4])
 def test_lines_equal_brute_force(spark, monkeypatch, shard_lines):
     monkeypatch.setattr(lines, "SHARD_LINES", shard_lines)
-    monkeypatch.setattr(lines, "CHUNK_BYTES", 200)
+    monkeypatch.setattr(lines, "CHUNK_BYTES", 20_000)
     texts = [f"Head {i % 4}\n \t COMMON\x0b \nbody {i}\n\n{'É' if i % 2 else 'é'}" for i in range(12)]
     texts += [None, "", "\n", "common\ncommon", "x " * 50_000 + "\nCommon", texts[0], texts[0]]
     df = spark.createDataFrame([(i if i != 3 else None, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_lines string")
