@@ -402,7 +402,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     learnt = train(rows.where("not held_out").select("text"))
     bits = max(0, math.ceil(math.log2(max(1, learnt.words) / SHARD_WORDS)))
     shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
