@@ -152,7 +152,7 @@ def _packer(vocabulary: str, end_id: int, limits: Limits):
         size = number = serial = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, counts = tokens.encode(texts_of(part.column("text")).to_pylist())
+                ids, counts = tokens.encode(texts_of(part.column("text")))
                 bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
                 rows = zip(part.column("id").to_pylist(), part.column("free").to_pylist(), bounds, bounds[1:])
                 for key, free, a, b in rows:

@@ -34,13 +34,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values() -> np.ndarray:
-    values = mix64(np.arange(1, 257, dtype=_U64) * _U64(0xD6E8FEB86659FD93)) | _U64(1)
-    values[65:91] = values[97:123]  # A-Z count as a-z
+def _byte_values(salt: int, fold: bool) -> np.ndarray:
+    values = mix64(np.arange(salt, salt + 256, dtype=_U64) * _U64(0xD6E8FEB86659FD93)) | _U64(1)
+    if fold:
+        values[65:91] = values[97:123]  # A-Z count as a-z
     return values
 
 
-_BYTE_VALUE = _byte_values()
+_BYTE_VALUE = {fold: _byte_values(1, fold) for fold in (True, False)}
+_SECOND_VALUE = {fold: _byte_values(1_001, fold) for fold in (True, False)}
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -65,7 +67,8 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray  # of each document: its first word; one more entry at the end
-    hashes: np.ndarray  # uint64, equal for words that differ in the case of A-Z only
+    hashes: np.ndarray  # uint64, equal for words that differ in the case of A-Z only, unless asked otherwise
+    second: np.ndarray | None = None  # other hashes, if asked for
 
     @property
     def counts(self) -> np.ndarray:
@@ -108,18 +111,23 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, fold: bool = True, second: bool = False) -> Words:
     """Words and word hashes of a slice of texts (see ``texts_of``)."""
     data, offsets = joined(texts)
     white = np.ones(len(data) + 1, bool)
     white[1:] = _IS_WHITE[data]
     edges = np.flatnonzero(white[1:] != white[:-1])
     starts, ends = edges[::2], edges[1::2]
-    sums = np.zeros(len(data) + 1, _U64)
-    np.cumsum(_BYTE_VALUE[data] * _power_table(_STEP, len(data)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _power_table(_INVERSE, len(data))[starts]
-    hashes = mix64(hashes + (ends - starts).astype(_U64))
-    return Words(data, starts, ends, np.searchsorted(starts, offsets), hashes)
+    power, back = _power_table(_STEP, len(data)), _power_table(_INVERSE, len(data))[starts]
+    lengths = (ends - starts).astype(_U64)
+
+    def hashed(values: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(data) + 1, _U64)
+        np.cumsum(values[data] * power, out=sums[1:])
+        return mix64((sums[ends] - sums[starts]) * back + lengths)
+
+    other = hashed(_SECOND_VALUE[fold]) if second else None
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), hashed(_BYTE_VALUE[fold]), other)
 
 
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

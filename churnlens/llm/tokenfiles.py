@@ -72,7 +72,7 @@ def _tokenizer(path: str, end_id: int | None):
         tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, counts = tokens.encode(texts_of(part.column("text")).to_pylist())
+                ids, counts = tokens.encode(texts_of(part.column("text")))
                 rows = _cut(ids.astype(kind), np.concatenate([[0], np.cumsum(counts)]))
                 yield pa.RecordBatch.from_pydict(
                     {

@@ -1,28 +1,85 @@
 """Token ids of whole texts, at a price per distinct word.
 
 A text is cut at places where the tokenizer cuts in any case, and each distinct piece is encoded
-once per task and remembered.
+once per task and remembered. Pieces are found by two 64-bit hashes in numpy tables, so the words
+of a slice are looked up together.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .text import joined, mix64, words_of
 
 KEEP_PIECES = 1_000_000
-_SPACE_RUN = re.compile(r"\s ")
-_BREAK = re.compile(r"(?<=\S)(?= )")
+_U64 = np.uint64
+_AT_START, _AFTER_SPACE, _AFTER_LINE = _U64(1), _U64(2), _U64(3)
+_LEAD = {1: "", 2: " ", 3: "\n"}
+_PLAIN_WHITE = np.zeros(256, bool)
+_PLAIN_WHITE[[10, 32]] = True
+_OTHER_WHITE = np.zeros(256, bool)
+_OTHER_WHITE[[9, 11, 12, 13, 28, 29, 30, 31]] = True
+#: White space beyond ASCII.
+_WIDE_WHITE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+class PieceTable:
+    """Numbers of pieces by two hashes: open addressing, whole arrays at a time."""
+
+    def __init__(self, size: int = 1 << 17):
+        self.mask = _U64(size - 1)
+        self.keys, self.checks = np.zeros(size, _U64), np.zeros(size, _U64)
+        self.numbers = np.full(size, -1, np.int64)
+        self.count = 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """-1 for a piece that is not here."""
+        out = np.full(len(keys), -1, np.int64)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            have = self.numbers[slot] >= 0
+            todo, slot = todo[have], slot[have]
+            same = (self.keys[slot] == keys[todo]) & (self.checks[slot] == checks[todo])
+            out[todo[same]] = self.numbers[slot[same]]
+            todo, slot = todo[~same], (slot[~same] + 1) & int(self.mask)
+        return out
+
+    def add(self, keys: np.ndarray, checks: np.ndarray) -> None:
+        """Numbers new pieces in turn; none may be here already, or twice."""
+        if 2 * (self.count + len(keys)) > len(self.keys):
+            used = np.flatnonzero(self.numbers >= 0)
+            order = used[np.argsort(self.numbers[used])]
+            old = self.keys[order], self.checks[order]
+            size = len(self.keys)
+            while 2 * (self.count + len(keys)) > size:
+                size *= 2
+            self.__init__(size)
+            if len(order):
+                self.add(*old)
+        number = np.arange(self.count, self.count + len(keys))
+        self.count += len(keys)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            free = self.numbers[slot] < 0
+            self.numbers[slot[free]] = number[todo[free]]  # of several, the last stays
+            won = self.numbers[slot] == number[todo]
+            self.keys[slot[won]], self.checks[slot[won]] = keys[todo[won]], checks[todo[won]]
+            todo, slot = todo[~won], (slot[~won] + 1) & int(self.mask)
 
 
 class PieceEncoder:
     """Ids of texts by one tokenizer file, special tokens as ordinary text, none added.
 
-    ``spaced``: whether a piece keeps the space before it (byte-level vocabularies, whose words
-    start with their space) or white space is dropped (vocabularies that drop it themselves).
-    At most ``KEEP_PIECES`` pieces are remembered; beyond, those met once are forgotten.
+    ``spaced``: whether a piece keeps the white space before it (byte-level vocabularies, whose
+    words start with their space), or white space and the case of A-Z are dropped (vocabularies
+    that drop them themselves). Texts of the first kind whose white space is anything but single
+    spaces and line ends between words are encoded as they are. At most ``KEEP_PIECES`` pieces
+    are remembered; beyond, those met once are forgotten.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -35,35 +92,29 @@ class PieceEncoder:
         self._forget_all()
 
     def _forget_all(self) -> None:
-        # Keys hold no space: the piece after a space. One that begins with a space: a piece as it is.
-        self.known: dict[str, int] = {}
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.begins = np.zeros(1 << 16, np.int64)
-        self.hits = np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.table = PieceTable()
+        self.lengths, self.begins = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.hits = np.zeros(1 << 16, np.int64)
+        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _forget_rare(self) -> None:
-        order = np.flatnonzero(self.hits[: len(self.known)] > 1)
-        if len(order) > KEEP_PIECES // 2:
+        table, used = self.table, np.flatnonzero(self.table.numbers >= 0)
+        kept = used[self.hits[table.numbers[used]] > 1]
+        if len(kept) > KEEP_PIECES // 2:
             self._forget_all()
             return
-        keys = list(self.known)
-        lengths, begins = self.lengths[order], self.begins[order]
-        ends = np.cumsum(lengths)
-        ids = self.ids[np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        numbers, keys, checks = table.numbers[kept], table.keys[kept], table.checks[kept]
+        lengths, ids = self.lengths[numbers], self._gather(numbers)
         self._forget_all()
-        self._keep([keys[i] for i in order.tolist()], lengths, ids)
+        self._keep(keys, checks, lengths, ids)
 
-    def _keys(self, text: str) -> list[str]:
-        if self.spaced and _SPACE_RUN.search(text) is not None:
-            return [piece[1:] if piece[:1] == " " and " " not in piece[1:] else " " + piece for piece in _BREAK.split(text)]
-        keys = text.split(" ")
-        keys[0] = " " + keys[0]
-        return keys
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.begins[numbers] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def _keep(self, keys: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        n = len(self.known)
+    def _keep(self, keys: np.ndarray, checks: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        n = self.table.count
         while n + len(keys) > len(self.lengths):
             self.lengths, self.begins, self.hits = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.lengths, self.begins, self.hits)
@@ -74,32 +125,67 @@ class PieceEncoder:
         self.begins[n : n + len(keys)] = self.used + np.cumsum(lengths) - lengths
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.known.update(zip(keys, range(n, n + len(keys))))
+        self.table.add(keys, checks)
 
-    def _learn(self, keys: list[str]) -> None:
-        pieces = [k[1:] if k[:1] == " " else " " + k for k in keys]
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        self._keep(keys, lengths, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row (uint32), and the number of ids of each text."""
-        if len(self.known) > KEEP_PIECES:
+        return np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (see ``text.texts_of``) in a row (uint32), and how many each has."""
+        odd = self._odd(texts) if self.spaced else np.zeros(len(texts), bool)
+        if not odd.any():
+            return self._encode_plain(texts)
+        whole, whole_counts = self._encoded(texts.filter(pa.array(odd)).to_pylist())
+        plain, plain_counts = self._encode_plain(texts.filter(pa.array(~odd)))
+        counts = np.zeros(len(texts), np.int64)
+        counts[odd], counts[~odd] = whole_counts, plain_counts
+        ids = np.empty(int(counts.sum()), np.uint32)
+        of_odd = np.repeat(odd, counts)
+        ids[of_odd], ids[~of_odd] = whole, plain
+        return ids, counts
+
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        data, _ = joined(texts)
+        sizes = pc.binary_length(texts).to_numpy() + 1
+        begins = np.cumsum(sizes) - sizes
+        white = _PLAIN_WHITE[data] | _OTHER_WHITE[data]
+        bad = _OTHER_WHITE[data].astype(np.int64)
+        bad[1:] += white[1:] & white[:-1]
+        some = sizes > 1
+        bad[begins[some]] = white[begins[some]]
+        bad[begins[~some]] = 0
+        out = np.add.reduceat(bad, begins) > 0 if len(begins) else np.zeros(0, bool)
+        return out | pc.match_substring_regex(texts, _WIDE_WHITE).to_numpy(zero_copy_only=False)
+
+    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.table.count > KEEP_PIECES:
             self._forget_rare()
-        keys = [self._keys(t) for t in texts]
-        flat = list(itertools.chain.from_iterable(keys))
-        code = np.fromiter(map(self.known.get, flat, itertools.repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(code < 0).tolist()
-        if missing:
-            self._learn(list({flat[i]: None for i in missing}))
-            code[missing] = [self.known[flat[i]] for i in missing]
-        self.hits[: len(self.known)] += np.bincount(code, minlength=len(self.known)).astype(np.int32)
-        lengths = self.lengths[code]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.begins[code] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        per_text = np.fromiter(map(len, keys), np.int64, len(keys))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)])]
-        return self.ids[at], np.diff(bounds)
+        words = words_of(texts, fold=not self.spaced, second=True)
+        lead = np.full(len(words.starts), _AT_START)
+        if self.spaced:
+            lead = np.where(words.data[words.starts - 1] == 32, _AFTER_SPACE, _AFTER_LINE)
+            begins = words.first[:-1]
+            lead[begins[words.counts > 0]] = _AT_START
+        keys = mix64(words.hashes + lead)
+        numbers = self.table.find(keys, words.second)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            _, once = np.unique(keys[missing], return_index=True)
+            new = missing[once]
+            data = words.data.tobytes()
+            pieces = [
+                _LEAD[w] + data[a:b].decode()
+                for w, a, b in zip(lead[new].tolist(), words.starts[new].tolist(), words.ends[new].tolist())
+            ]
+            ids, lengths = self._encoded(pieces)
+            self._keep(keys[new], words.second[new], lengths, ids)
+            numbers[missing] = self.table.find(keys[missing], words.second[missing])
+            assert (numbers >= 0).all(), "two pieces with one hash"
+        np.add.at(self.hits, numbers, 1)
+        ends = np.concatenate([[0], np.cumsum(self.lengths[numbers])])
+        return self._gather(numbers), np.diff(ends[words.first])
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
