@@ -534,6 +534,14 @@ def chi_square_test(spark, sf_dir):
     return stats.chi_square_test(customer_features(spark, sf_dir), FEATURES, LABEL)
 
 
+@query
+def chi_square_p_even(spark, sf_dir):
+    """p-values of the features with an even number of degrees of freedom, up to 60."""
+    tested = stats.chi_square_test(customer_features(spark, sf_dir), FEATURES, LABEL)
+    few = tested.where("dof % 2 = 0 and dof between 2 and 60")
+    return rounded(few.select("feature", "dof", "p_value"))
+
+
 @query
 def anova_f(spark, sf_dir):
     return rounded(stats.anova_f(customer_features(spark, sf_dir), FEATURES, LABEL))

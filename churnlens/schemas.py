@@ -15,6 +15,7 @@ def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
+# The schemas of the five source tables.
 CLOSED_ACCOUNTS = _schema(customer_id=STRING, status=STRING, account_id=STRING)
 
 CREDIT_ACCOUNT = _schema(
@@ -70,6 +71,7 @@ ACCOUNT_GRAIN_COLUMNS = [
 TRANSACTION_COLUMNS = ["transaction_id", "transaction_amount", "transaction_date"]
 GOLD_COLUMNS = ACCOUNT_GRAIN_COLUMNS + TRANSACTION_COLUMNS
 
+# Identifying columns of the feature table.
 KEY_COLUMNS = ["customer_id", "account_id", "account_open_date", "transaction_id", "transaction_date"]
 
 # The category domains and the statuses.
@@ -119,6 +121,7 @@ OUTLIER_QUANTILES = {
     "total_ct_chng_Q4_Q1": 0.99,
 }
 
+# The numeric features, and those the models use.
 NUMERIC_FEATURES = [
     "customer_age",
     "dependent_count",
