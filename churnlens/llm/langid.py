@@ -27,6 +27,7 @@ UNKNOWN = "und"
 CLEAR_SCORE = 0.55
 _LETTER = regex.compile(r"\p{L}")
 _U32 = np.uint32
+_ROWS = 256  # a row of counts each
 
 
 def ngram_counts(texts: pa.Array) -> np.ndarray:
@@ -46,7 +47,9 @@ def ngram_counts(texts: pa.Array) -> np.ndarray:
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Square roots of relative frequencies: unit length, whatever the length of the text."""
-    return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    share = counts.astype(np.float32)
+    share /= np.maximum(counts.sum(axis=1, keepdims=True), 1).astype(np.float32)
+    return np.sqrt(share, out=share)
 
 
 def codewords(languages: int) -> np.ndarray:
@@ -100,9 +103,9 @@ def fit(counts: np.ndarray, labels: list[str], rounds: int = 300) -> LanguageMod
         aside[:] = False
     class_size = np.bincount(np.searchsorted(languages, labels), minlength=len(languages))
     weight = (1 / class_size)[np.searchsorted(languages, labels)]
-    weight = weight[~aside, None] / weight[~aside].sum()
-    xt, yt = x[~aside], y[~aside]
-    w, b = np.zeros((FEATURES, y.shape[1])), np.zeros(y.shape[1])
+    weight = (weight[~aside, None] / weight[~aside].sum()).astype(np.float32)
+    xt, yt = x[~aside], y[~aside].astype(np.float32)
+    w, b = np.zeros((FEATURES, y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     mw, mb, step = np.zeros_like(w), np.zeros_like(b), 20.0
     for _ in range(rounds):
         pull = weight * yt / (1 + np.exp(np.clip(yt * (xt @ (w + 0.9 * mw) + b + 0.9 * mb), -60, 60)))
@@ -118,7 +121,7 @@ def fit(counts: np.ndarray, labels: list[str], rounds: int = 300) -> LanguageMod
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 1 << 19):
+        for part in slices(batch, "text", max_rows=_ROWS):
             counts = ngram_counts(texts_of(part.column("text"))).astype(np.uint32)
             yield pa.RecordBatch.from_pydict(
                 {"lang": part.column("lang"), "counts": pa.array([c.tobytes() for c in counts], pa.binary())}
@@ -147,14 +150,14 @@ def train(docs: DataFrame, learn: Column, text: str = "text", label: str = "lang
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.uint32).reshape(-1, FEATURES)
     labels = got.column("lang").to_pylist()
     order = sorted(range(len(labels)), key=lambda i: (counts[i].tobytes(), labels[i]))
-    return fit(counts[order].astype(np.float64), [labels[i] for i in order])
+    return fit(counts[order], [labels[i] for i in order])
 
 
 def _labeller(model, text: str, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: LanguageModel = pickle.loads(model.value)
         for batch in batches:
-            for part in slices(batch, text, 1 << 20):
+            for part in slices(batch, text, max_rows=_ROWS):
                 texts = texts_of(part.column(text))
                 scores = known.scores(ngram_counts(texts))
                 lettered = np.array([_LETTER.search(t) is not None for t in texts.to_pylist()])

@@ -25,7 +25,7 @@ from .stages import staged
 from .text import mix64, slices, texts_of
 
 MIN_DOCS = 10
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SHARD_LINES = 1 << 17
 _FLUSH_LINES = 100_000
 _LEVELS = 24

@@ -28,7 +28,7 @@ WORDS = 5
 SIMILARITY = 80  # per cent
 BANDS = 40
 BAND_PERMUTATIONS = 4  # two values each
-TURNS = 2
+TURNS = 1
 BROADCAST_IDS = 1_000_000
 _BLOCK = 4_096
 _SKETCH_BITS = 1_024
@@ -221,8 +221,8 @@ def near_duplicates(
         met = _pairs(rest.where("component <> main").join(leaders, "key"), "id", "leader", tested)
         met = staged(met, "minmax-star")
         more = staged(_confirmed(met, reps, texts, words, similarity), "minmax-links")
-        links, tested = links.union(more), tested.union(met)
-        components = connected_components(links, "a", "b", "minmax-components")
+        tested = tested.union(met)
+        components = _merged(components, more)
 
     # All pairs of one bucket that are in different components still, and could be similar.
     side = reps.select("id", "n", "sketch")
@@ -239,7 +239,7 @@ def near_duplicates(
         )
         met = staged(_pairs(crossed, "a", "b", tested), "minmax-star")
         more = staged(_confirmed(met, reps, texts, words, similarity), "minmax-links")
-        components = connected_components(links.union(more), "a", "b", "minmax-components")
+        components = _merged(components, more)
 
     linked = members.select("id", "n", "rep").join(
         components.select(F.col("node").alias("rep"), "component"), "rep", "left"
@@ -257,6 +257,22 @@ def near_duplicates(
     )
 
 
+def _merged(components: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links, which join whole components."""
+    if more.isEmpty():
+        return components
+    ends = more
+    for end in ("a", "b"):
+        ends = ends.join(components.toDF(end, f"of_{end}"), end, "left").withColumn(
+            f"of_{end}", F.coalesce(f"of_{end}", end)
+        )
+    joined = connected_components(ends, "of_a", "of_b", "minmax-components").toDF("component", "joined")
+    moved = components.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    # Nodes that were alone before are in the second result only.
+    fresh = joined.join(components.select(F.col("node").alias("component")), "component", "left_anti")
+    return staged(moved.union(fresh), "minmax-components")
+
+
 def _unsettled(shared: DataFrame, components: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components: id, key, component, and the bucket's
     main component, the largest (ties: the last)."""

@@ -1,7 +1,7 @@
 """Vectorised text helpers that run inside tasks: words, 64-bit word hashes, word shingles.
 
 Texts stay UTF-8 bytes in one numpy buffer per slice, so the cost per word is a few array
-operations. A slice holds a few megabytes of text, whatever the size of an Arrow batch; only a
+operations. A slice holds half a megabyte of text, whatever the size of an Arrow batch; only a
 single document longer than that makes a longer slice.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 WHITE = b" \t\n\x0b\x0c\r"
 
 _U64 = np.uint64
@@ -87,14 +87,16 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(pc.cast(column, pa.large_string()), "")
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(
+    batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES, max_rows: int = 1 << 16
+) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold ``max_bytes`` in all, or one longer text."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
     for i, size in enumerate(sizes.tolist()):
-        if total and total + size > max_bytes:
+        if total and (total + size > max_bytes or i - begin >= max_rows):
             yield batch.slice(begin, i - begin)
             begin, total = i, 0
         total += size + 1
