@@ -24,7 +24,7 @@ FEATURES = 1 << 12
 DOCS_PER_LANGUAGE = 500
 UNKNOWN = "und"
 #: A document is ambiguous if the best language's score is below this.
-CLEAR_SCORE = 0.55
+CLEAR_SCORE = 0.45
 _LETTER = regex.compile(r"\p{L}")
 _U32 = np.uint32
 _ROWS = 256  # a row of counts each
