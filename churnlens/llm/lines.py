@@ -131,6 +131,15 @@ def _count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _keys_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The line keys of each text that are not empty, as one text."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            texts = texts_of(part.column("text")).cast(pa.large_binary()).to_pylist()
+            keys = [b"\n".join(filter(None, line_keys(text))) for text in texts]
+            yield pa.RecordBatch.from_pydict({"text": pa.array(keys, pa.large_binary()).cast(pa.large_string())})
+
+
 def _build_index(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     halves = rows[["h1", "h2"]].to_numpy().view(_U64)
     blob = pickle.dumps(LineIndex(halves, rows["docs"].to_numpy()), protocol=5)
@@ -232,20 +241,23 @@ def _cleaner(text: str, chunk: str, columns: list[str]):
     return run
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, copies: bool = True) -> DataFrame:
     """Every row of ``docs`` without the lines whose key is found in at least ``min_docs`` rows.
 
     A key is the line with white space stripped at both ends and A-Z in lower case; empty keys
     always stay. The columns are those of ``docs``, with ``text`` cut down, then ``n_lines``
     (before dropping; 1 for a null or empty text) and ``n_dropped``; columns of these two names in
     the input are replaced. A null text stays null; a text that loses all lines becomes empty.
-    A repeated row counts as another document. An empty table gives an empty result.
+    A repeated row counts as another document; without ``copies`` rows count once if their keys,
+    leaving out empty ones, are the same in the same order. An empty table gives an empty result.
     """
     chunk = "__chunk"
     docs = docs.drop("n_lines", "n_dropped")
+    counted = docs.select(F.col(text).alias("text"))
+    if not copies:
+        counted = counted.mapInArrow(_keys_of_texts, "text string").distinct()
     counts = staged(
-        docs.select(F.col(text).alias("text"))
-        .mapInArrow(_count_lines, "h1 long, h2 long, docs long")
+        counted.mapInArrow(_count_lines, "h1 long, h2 long, docs long")
         .groupBy("h1", "h2")
         .agg(F.sum("docs").alias("docs")),
         "line-counts",

@@ -21,8 +21,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines found in many documents, and documents of which nothing but white space is left."""
-    kept = lines.dedup_lines(docs)
+    """Drops lines found in many documents, and documents of which nothing but white space is left.
+    Copies count as one document, so that a group of them reaches near-dedup, which keeps one."""
+    kept = lines.dedup_lines(docs, copies=False)
     gone = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = kept.where(~gone)
     if "n_chars" in docs.columns:

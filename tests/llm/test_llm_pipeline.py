@@ -76,6 +76,18 @@ def test_stages_take_effect(spark, small):
         assert zlib.crc32(b"".join(bytes(p["ids"]) for p in own)) == zlib.crc32(ids)
 
 
+def test_one_of_many_copies_stays(spark):
+    rng = random.Random(8)
+    text = "\n".join(prose(rng, "en", 20) for _ in range(6))
+    rows = [(i, text) for i in range(12)] + [(12 + i, text.replace("\n", " \n\n").upper()) for i in range(12)]
+    rows += [(30 + i, f"Common head of all\n{prose(rng, 'en', 40)}") for i in range(10)] + [(50, "Common head of all")] * 12
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lined = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert lined == {**dict(rows[:24]), **{i: t.split("\n")[1] for i, t in rows[24:34]}}
+    kept = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, ""), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(30, 40)]
+
+
 def test_registration():
     names = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
