@@ -3,7 +3,8 @@
 Each language has a codeword. One binary classifier per bit, over hashed character n-grams of
 the whole text, predicts that bit; decoding adds up each classifier's logistic loss, weighted by
 how well it did on documents set aside, and takes the nearest codeword. Documents whose two
-nearest codewords are about equally far are flagged as ambiguous.
+nearest codewords are about equally far, as measured by documents set aside that were thinned out
+to the same length, are flagged as ambiguous.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from .text import joined, slices, texts_of
 FEATURES = 1 << 12
 DOCS_PER_LANGUAGE = 500
 UNKNOWN = "und"
-#: A document is ambiguous if the best language's score is below this.
-CLEAR_SCORE = 0.45
+#: A document is ambiguous if its two least losses differ by less than this share of the
+#: difference that is usual at its length.
+CLEAR_SHARE = 0.25
 _LETTER = regex.compile(r"\p{L}")
 _U32 = np.uint32
 _ROWS = 256  # a row of counts each
@@ -78,13 +80,30 @@ class LanguageModel:
     code: np.ndarray  # (languages, bits)
     weights: np.ndarray  # (FEATURES + 1, bits)
     trust: np.ndarray  # (bits,), sums to 1
+    usual: np.ndarray  # usual difference of the two least losses at 1, 2, 4, ... n-grams
+
+    def losses(self, counts: np.ndarray) -> np.ndarray:
+        """(n, languages)"""
+        margins = features(counts) @ self.weights[:-1] + self.weights[-1]
+        return np.logaddexp(0, -margins[:, None, :] * self.code) @ self.trust
+
+    def gaps(self, counts: np.ndarray) -> np.ndarray:
+        """(n,) differences of the two least losses; infinite where there are no two languages."""
+        if len(self.languages) < 2:
+            return np.full(len(counts), np.inf)
+        least = np.partition(self.losses(counts), 1, axis=1)
+        return least[:, 1] - least[:, 0]
+
+    def torn(self, counts: np.ndarray) -> np.ndarray:
+        """Whether each document is between two languages."""
+        length = np.log2(np.maximum(counts.sum(axis=1), 1))
+        return self.gaps(counts) < CLEAR_SHARE * np.interp(length, np.arange(len(self.usual)), self.usual)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """(n, languages), rows sum to 1."""
         if not self.languages:
             return np.zeros((len(counts), 0))
-        margins = features(counts) @ self.weights[:-1] + self.weights[-1]
-        loss = np.logaddexp(0, -margins[:, None, :] * self.code) @ self.trust
+        loss = self.losses(counts)
         near = np.exp((loss.min(axis=1, keepdims=True) - loss) * self.code.shape[1])
         return near / near.sum(axis=1, keepdims=True)
 
@@ -94,7 +113,7 @@ def fit(counts: np.ndarray, labels: list[str], rounds: int = 300) -> LanguageMod
     were set aside. No labelled row gives a model that knows no language."""
     languages = sorted(set(labels))
     if not languages:
-        return LanguageModel([], np.zeros((0, 1)), np.zeros((FEATURES + 1, 1)), np.ones(1))
+        return LanguageModel([], np.zeros((0, 1)), np.zeros((FEATURES + 1, 1)), np.ones(1), np.zeros(1))
     code = codewords(len(languages))
     x = features(counts)
     y = code[np.searchsorted(languages, labels)]
@@ -116,7 +135,19 @@ def fit(counts: np.ndarray, labels: list[str], rounds: int = 300) -> LanguageMod
     if aside.any():
         right = ((x[aside] @ w + b) * y[aside] > 0).mean(axis=0)
         trust = np.maximum(right - 0.5, 0.01)
-    return LanguageModel(languages, code, np.vstack([w, b]).astype(np.float32), trust / trust.sum())
+    model = LanguageModel(languages, code, np.vstack([w, b]).astype(np.float32), trust / trust.sum(), np.zeros(1))
+    model.usual = usual_gaps(model, counts[aside] if aside.any() else counts)
+    return model
+
+
+def usual_gaps(model: LanguageModel, counts: np.ndarray) -> np.ndarray:
+    """The median gap of documents at 1, 2, 4, ... n-grams: each is thinned out at random to every
+    one of these lengths that it reaches."""
+    rng, total, usual = np.random.default_rng(11), counts.sum(axis=1), []
+    while (long := total >= 1 << len(usual)).any() and len(model.languages) > 1:
+        thinned = rng.binomial(counts[long].astype(np.int64), ((1 << len(usual)) / total[long])[:, None])
+        usual.append(np.median(model.gaps(thinned)))
+    return np.array(usual or [0.0])
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +190,8 @@ def _labeller(model, text: str, columns: list[str]):
         for batch in batches:
             for part in slices(batch, text, max_rows=_ROWS):
                 texts = texts_of(part.column(text))
-                scores = known.scores(ngram_counts(texts))
+                counts = ngram_counts(texts)
+                scores = known.scores(counts)
                 lettered = np.array([_LETTER.search(t) is not None for t in texts.to_pylist()])
                 if scores.shape[1] == 0:
                     best, top = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -169,7 +201,7 @@ def _labeller(model, text: str, columns: list[str]):
                 made = {
                     "lang_pred": pa.array([b if ok else UNKNOWN for b, ok in zip(best, lettered)], pa.string()),
                     "score": pa.array(np.where(lettered, top, 0.0), pa.float64()),
-                    "ambiguous": pa.array(~lettered | (top < CLEAR_SCORE), pa.bool_()),
+                    "ambiguous": pa.array(~lettered | known.torn(counts), pa.bool_()),
                 }
                 yield pa.RecordBatch.from_pydict({c: made[c] if c in made else part.column(c) for c in columns})
 
@@ -179,7 +211,7 @@ def _labeller(model, text: str, columns: list[str]):
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``lang_pred`` (a learned language; ``und`` for a null text, one
     without letters, or a model without languages), ``score`` (0 to 1, 0 for ``und`` by lack of
-    letters) and ``ambiguous``. Columns of these names in the input are replaced; ties go to the
+    letters) and ``ambiguous`` (torn between two languages, or without letters). Columns of these names in the input are replaced; ties go to the
     first language in alphabetical order. Only the text decides."""
     docs = docs.drop("lang_pred", "score", "ambiguous")
     schema = docs.withColumns(

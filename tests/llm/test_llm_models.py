@@ -53,6 +53,20 @@ def test_language_edge_rows(spark):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_texts_between_two_languages_are_ambiguous(spark):
+    rng = np.random.default_rng(5)
+
+    def prose(letters, n):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(n))
+
+    rows = [(2 * i + k, prose(letters, 60), lang, 0) for i in range(40) for k, (letters, lang) in enumerate([("abcdefgh", "a"), ("nopqrstu", "n")])]
+    model = langid.train(spark.createDataFrame(rows, DOCS), F.lit(True))
+    torn = [(i, f"{prose('abcdefgh', n)} {prose('nopqrstu', n)}", None, 1) for i, n in enumerate([2, 10, 50, 500])]
+    clear = [(10 + i, prose(letters, n), None, 0) for i, (letters, n) in enumerate([("abcdefgh", 2), ("nopqrstu", 2), ("abcdefgh", 500), ("nopqrstu", 20)])]
+    got = langid.identify(spark.createDataFrame(torn + clear, DOCS), model).collect()
+    assert {r["doc_id"]: r["ambiguous"] for r in got} == {r[0]: r[3] == 1 for r in torn + clear}
+
+
 # -- quality ------------------------------------------------------------------------------
 
 
