@@ -4,6 +4,9 @@ Numbers, units and names become typed placeholders, so a question whose figures
 changed keeps its template. Windows of template words of the documents are hash-joined with
 those of the benchmark items. What stood in the placeholders must change consistently: an item's
 slot value that appears in several matched windows must have one counterpart in the document.
+A window that a document holds several times (variants of one template) keeps all its slot values:
+where the first of each do not agree, the item's own values, the stretches of the document of the
+item's length and the best fitting values of all are tried.
 
 A bitmap of fixed size over the items' window hashes goes to all tasks and lets through every
 window that can match; the rest never leaves the task.
@@ -11,12 +14,13 @@ window that can match; the rest never leaves the task.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .stages import staged
 from .text import Words, joined, mix64, shingle_hashes, slices, texts_of
@@ -180,7 +184,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _doc_windows(bitmap, sizes: list[int]):
-    """The windows of documents that may be windows of items, once per document."""
+    """The windows of documents that may be windows of items, once per document, with the places
+    (in template words) and slot values of all their occurrences in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bitmap.value
@@ -194,26 +199,92 @@ def _doc_windows(bitmap, sizes: list[int]):
                     begin, end = _bounds(found, size, first)
                     some = some[(end - begin)[some] == size]
                     doc = np.searchsorted(first, some, "right") - 1
-                    if len(some):
-                        _, keep = np.unique(np.stack([doc.astype(_U64), hashes[some]]), axis=1, return_index=True)
-                        some, doc = some[keep], doc[keep]
+                    order = np.lexsort((some, hashes[some], doc))
+                    some, doc = some[order], doc[order]
+                    new = np.ones(len(some), bool)
+                    new[1:] = (doc[1:] != doc[:-1]) | (hashes[some[1:]] != hashes[some[:-1]])
+                    heads = np.flatnonzero(new)
+                    cuts = pa.array(np.append(heads, len(some)).astype(np.int32))
+                    places = pa.array(begin[some] - found.first[doc], pa.int64())
+                    slots = _slots(found, begin[some], end[some])
+                    some, doc = some[heads], doc[heads]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "id": part.column("id").take(pa.array(doc)),
                             "own": part.column("own").take(pa.array(doc)),
                             "hash": hashes[some].view(np.int64),
                             "size": pa.array([size] * len(some), pa.int32()),
-                            "doc_slots": _slots(found, begin[some], end[some]),
+                            "places": pa.ListArray.from_arrays(cuts, places),
+                            "doc_slots": pa.ListArray.from_arrays(cuts, slots),
                         }
                     )
 
     return run
 
 
+def _enough(matched: int, windows: int) -> bool:
+    return matched >= SHARE * windows or matched >= RUN_WINDOWS
+
+
+def _agreement(found: list[tuple[int, list[int]]], own: dict[int, list[int]]) -> tuple[int, float]:
+    """Distinct windows among occurrences (window, slot values), and the share of slots that agree
+    on one counterpart for each of the item's values, each window by its best fitting occurrence."""
+    by_window = defaultdict(list)
+    for window, slots in found:
+        by_window[window].append(slots)
+    chosen = found
+    for _ in range(3):
+        votes = defaultdict(Counter)
+        for window, slots in chosen:
+            for a, b in zip(own[window], slots):
+                votes[a][b] += 1
+        best = {a: max(n.items(), key=lambda x: (x[1], x[0] == a))[0] for a, n in votes.items()}
+        chosen = [
+            (window, max(several, key=lambda slots: sum(best[a] == b for a, b in zip(own[window], slots))))
+            for window, several in by_window.items()
+        ]
+    agree = [best[a] == b for window, slots in chosen for a, b in zip(own[window], slots)]
+    return len(by_window), sum(agree) / len(agree) if agree else 1.0
+
+
+def _reviewed(rows: list[tuple[int, list[int], list[int], list[list[int]]]], windows: int) -> tuple[int, float] | None:
+    """(matched, consistent) of an item found in a document by a consistent choice among all
+    occurrences, None if there is none. Rows are (window, item's slots, places, slots at each)."""
+    own = {window: slots for window, slots, _, _ in rows}
+    literal = [window for window, slots, _, several in rows if slots in several]
+    telling = sum(bool(own[window]) for window in literal)
+    most = sum(map(bool, own.values()))
+    if _enough(telling, windows) or (telling and _enough(len(literal), windows) and telling >= CONSISTENT * most):
+        return len(literal), 1.0
+    found = sorted((place, window, slots) for window, _, places, several in rows for place, slots in zip(places, several))
+    length = windows + WINDOW
+    step, tried = max(1, length // 4), []
+    stretches = defaultdict(list)  # a stretch begins every ``step`` places and is a step longer than the item
+    for place, window, slots in found:
+        for k in range(max(0, -(-(place - length - step + 1) // step)), place // step + 1):
+            stretches[k].append((window, slots))
+    # Half of the item in a stretch: a few windows at its edge would always agree.
+    for part in stretches.values():
+        if len({window for window, _ in part}) >= SHARE * windows:
+            tried.append(_agreement(part, own))
+    tried.append(_agreement([x[1:] for x in found], own))
+    return max((x for x in tried if x[1] >= CONSISTENT), default=None)
+
+
+def _review(pair: pa.Table) -> pa.Table:
+    rows = list(zip(*(pair.column(c).to_pylist() for c in ("hash", "item_slots", "places", "doc_slots"))))
+    got = _reviewed(rows, pair.column("windows")[0].as_py())
+    out = pair.select(["id", "own", "item"]).slice(0, 1 if got else 0)
+    matched, consistent = got or (0, 0.0)
+    out = out.append_column("matched", pa.array([matched] * len(out), pa.int64()))
+    return out.append_column("consistent", pa.array([consistent] * len(out), pa.float64()))
+
+
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, own, item, matched, windows, consistent) for each document and item with a window in
-    common. ``own`` is a hash of the document's text: with the id it names a row."""
+    common. ``own`` is a hash of the document's text: with the id it names a row. Of several
+    occurrences of a window the first counts, or those of a consistent choice if there is one."""
     spark = docs.sparkSession
     benchmark = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text"))
     listed = staged(
@@ -230,13 +301,13 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     rows = _keyed(docs, id_col, text_col)
     candidates = rows.mapInArrow(
         _doc_windows(spark.sparkContext.broadcast(bitmap), sizes),
-        "id long, own long, hash long, size int, doc_slots array<long>",
+        "id long, own long, hash long, size int, places array<long>, doc_slots array<array<long>>",
     )
     joined_rows = candidates.join(listed, ["hash", "size"])
-    joined_rows = staged(joined_rows.select("id", "own", "item", "hash", "windows", "item_slots", "doc_slots"), "benchmark-matches")
+    joined_rows = staged(joined_rows.select("id", "own", "item", "hash", "windows", "item_slots", "places", "doc_slots"), "benchmark-matches")
     who = ["id", "own", "item"]
     counted = joined_rows.groupBy(*who).agg(F.count_distinct("hash").alias("matched"), F.max("windows").alias("windows"))
-    pairs = joined_rows.select(*who, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("p"))
+    pairs = joined_rows.select(*who, F.explode(F.arrays_zip("item_slots", F.col("doc_slots")[0].alias("doc_slots"))).alias("p"))
     by_pair = pairs.groupBy(*who, F.col("p.item_slots").alias("a"), F.col("p.doc_slots").alias("b")).count()
     by_value = by_pair.groupBy(*who, "a").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
     agreed = by_value.groupBy(*who).agg((F.sum("most") / F.sum("all")).alias("consistent"))
@@ -244,9 +315,28 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     same = (
         F.col("id").eqNullSafe(F.col("id_2")) & (F.col("own") == F.col("own_2")) & (F.col("item") == F.col("item_2"))
     )
-    return counted.join(right, same, "left").select(
+    first = counted.join(right, same, "left").select(
         *who, "matched", "windows", F.coalesce("consistent", F.lit(1.0)).alias("consistent")
     )
+    first = staged(first, "benchmark-pairs")
+    doubtful = first.where(_reached() & (F.col("consistent") < CONSISTENT))
+    if doubtful.isEmpty():
+        return first
+    several = joined_rows.join(doubtful.select(*who).toDF("id_2", "own_2", "item_2"), same, "left_semi")
+    again = several.dropDuplicates([*who, "hash"]).groupBy(*who).applyInArrow(
+        _review, "id long, own long, item long, matched long, consistent double"
+    )
+    again = again.toDF("id_2", "own_2", "item_2", "matched_2", "consistent_2")
+    return first.join(again, same, "left").select(
+        *who,
+        F.coalesce("matched_2", "matched").alias("matched"),
+        "windows",
+        F.coalesce("consistent_2", "consistent").alias("consistent"),
+    )
+
+
+def _reached() -> Column:
+    return (F.col("matched") >= SHARE * F.col("windows")) | (F.col("matched") >= RUN_WINDOWS)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -261,9 +351,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """(id, own, item_ids, share) of the documents that hold a benchmark item: at least ``SHARE``
     of its windows, or ``RUN_WINDOWS`` of them, with consistent slots."""
     found = matches(docs, items, id_col, text_col, **names)
-    enough = (F.col("matched") >= SHARE * F.col("windows")) | (F.col("matched") >= RUN_WINDOWS)
     return (
-        found.where(enough & (F.col("consistent") >= CONSISTENT))
+        found.where(_reached() & (F.col("consistent") >= CONSISTENT))
         .groupBy("id", "own")
         .agg(F.sort_array(F.collect_set("item")).alias("item_ids"), F.max(F.col("matched") / F.col("windows")).alias("share"))
     )

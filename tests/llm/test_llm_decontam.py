@@ -67,6 +67,22 @@ def test_inconsistent_slots_are_no_match(spark):
     assert worst["matched"] >= 8 and worst["consistent"] < decontam.CONSISTENT
 
 
+def test_copies_after_variants(spark):
+    item = " and then ".join(f"the man called Alice went to see part {i} of the old town" for i in "abcdef")
+    parts = item.split(" and then ")
+    names = ["Bob", "Carl", "Dora", "Emil", "Fred", "Gina"]
+    other = " and then ".join(p.replace("Alice", n) for p, n in zip(parts, names))
+    variant = " and then ".join(p.replace("Alice", n) for p, n in zip(parts[:4], names))
+    renamed = item.replace("Alice", "Zoe")
+    far = " plain words" * 100 + ". "
+    d = [(1, f"{variant}. {item}"), (2, f"{variant}. {renamed}"), (3, f"{variant}.{far}{variant}"), (4, f"{other}. {item}"),
+         (5, f"{other}.{far}{other}.{far}{renamed}"), (6, f"{other}. {other}"), (None, f"{variant}. {item}"), (None, f"{variant}. {item}")]
+    d = spark.createDataFrame(d, "doc_id long, text string")
+    got = decontam.flag(d, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert rows(got.where("doc_id is not null")) == {i: (i not in (3, 6), [] if i in (3, 6) else [1]) for i in range(1, 7)}
+    assert [r["contaminated"] for r in got.where("doc_id is null").collect()] == [True, True]
+
+
 def test_query_finds_planted_items(spark, data_dir):
     """Against a plain search for runs of eight words."""
     got = rows(queries.QUERIES["op3_decontamination"](spark, data_dir))
