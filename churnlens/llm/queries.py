@@ -1,10 +1,11 @@
-"""Registered queries of the ten operators, and their SQL where SQL can express them."""
+"""Registered queries of the operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, html, langid, lbl, lines, minmax, packing, quality, tokenfiles, vectors
+from . import decontam, html, langid, lbl, lines, minmax, packing, periods, prefixes, quality, sentpieces
+from . import tokenfiles, vectors
 from .tokens import public_vocabulary
 
 
@@ -72,6 +73,36 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_vocabulary("piece_bpe_32k.model")
+    coded = sentpieces.decode(sentpieces.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.detect(_table(spark, sf_dir, "documents"), periods.planted_period)
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    best = F.col("best")
+    return found.withColumn("best", periods.strongest()).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.rebuilt(_table(spark, sf_dir, "conversations"))
+    return prefixes.prefix_trie(turns)
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
@@ -83,6 +114,9 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE = {
@@ -100,4 +134,44 @@ c as (select key from k where key <> '' group by key having count(distinct doc_i
 select k.doc_id, count(*) as n_lines, count(c.key) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by i) filter (c.key is null), '')) as kept_sha256
 from k left join c on k.key = c.key group by k.doc_id""",
+    "op13_conversation_trie": """
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest,
+         row_number() over (partition by conv_id order by turn nulls first,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+  from conversations where conv_id is not null),
+c as (
+  select conv_id, count(*) as n, conv_id - conv_id % 100 as base,
+         xor(4294967295, list_reduce(list_concat([4294967295::bigint],
+           flatten(list_transform(string_split(conv_id::varchar, ''),
+             lambda ch: list_transform(range(8), lambda b: (ascii(ch)::bigint >> b) & 1)))),
+           lambda r, b: xor(r >> 1, 3988292384 * (xor(r, b) & 1)))) % 6 as h
+  from t group by conv_id),
+r as (
+  select c.conv_id, t.i as p, t.digest, t.text from c join t on t.conv_id = c.base and t.i <= c.h
+  union all
+  select c.conv_id, least(c.h, coalesce(b.n, 0)) + t.i - c.h, t.digest, t.text
+  from c join t on t.conv_id = c.conv_id and t.i > c.h left join c b on b.conv_id = c.base),
+p as (
+  select conv_id, 0 as depth, '' as key, null as parent, 0 as chars from c
+  union all
+  select conv_id, p, string_agg(digest, '') over (partition by conv_id order by p),
+         coalesce(string_agg(digest, '') over (partition by conv_id order by p rows between unbounded preceding and 1 preceding), ''),
+         length(text) from r),
+n as (
+  select key, max(depth) as depth, max(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs,
+         (count(*) - 1) * max(chars) as saved
+  from p group by key),
+k as (select parent as key, count(*) as n_children from n where parent is not null group by parent),
+e as (
+  select key, string_agg(conv_id, ',' order by conv_id) as ends
+  from (select conv_id, max_by(key, depth) as key from p group by conv_id) group by key),
+s as (
+  select a.key, sum(n.saved) as saved_tokens, count(*) filter (where k.key is null) as n_leaves
+  from (select distinct a.key, b.key as below from p a join p b on a.conv_id = b.conv_id and a.depth <= b.depth) a
+  join n on n.key = a.below left join k on k.key = a.below group by a.key)
+select n.conv_id, n.depth::bigint as depth, q.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children,
+       s.n_leaves, s.saved_tokens::bigint as saved_tokens, sha256(coalesce(e.ends, '')) as ends_sha256
+from n join s on s.key = n.key left join n q on q.key = n.parent left join k on k.key = n.key left join e on e.key = n.key""",
 }

@@ -91,7 +91,7 @@ def test_one_of_many_copies_stays(spark):
 def test_registration():
     names = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "packing"]
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
