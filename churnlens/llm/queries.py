@@ -75,10 +75,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_vocabulary("piece_bpe_32k.model")
-    coded = sentpieces.decode(sentpieces.encode(_table(spark, sf_dir, "documents"), path), path)
+    coded = sentpieces.encode(_table(spark, sf_dir, "documents"), path, decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
-        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .text import joined, slices, texts_of
 
-ENCODE_BYTES = 1 << 21
+ENCODE_BYTES = 1 << 20
 SPACE = "▁"
 _NONE = np.iinfo(np.int32).max
 _POINTS = 0x110000
@@ -46,11 +46,12 @@ class PieceModel:
 
         library = SentencePieceProcessor(model_file=path)
         self.size = size = library.get_piece_size()
-        names = [library.id_to_piece(i) for i in range(size)]
-        scores = np.array([library.get_score(i) for i in range(size)])
-        of_byte = {int(names[i][3:5], 16): i for i in range(size) if library.is_byte(i)}
-        kinds = [library.is_control(i) or library.is_unknown(i) or library.is_byte(i) for i in range(size)]
-        if len(of_byte) != 256 or any(library.is_unused(i) for i in range(size)):
+        every = list(range(size))
+        names, scores = library.id_to_piece(every), np.array(library.get_score(every))
+        control, is_byte = np.array(library.is_control(every)), np.array(library.is_byte(every))
+        of_byte = {int(names[i][3:5], 16): i for i in np.flatnonzero(is_byte).tolist()}
+        kinds = control | is_byte | np.array(library.is_unknown(every))
+        if len(of_byte) != 256 or any(library.is_unused(every)):
             raise ValueError("the model needs byte fallback and no unused pieces")
         self.byte_ids = np.array([of_byte[b] for b in range(256)], np.int64)
         ranks = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
@@ -78,13 +79,13 @@ class PieceModel:
 
         surface = [name.replace(SPACE, " ").encode() for name in names]
         for i in np.flatnonzero(kinds).tolist():
-            surface[i] = b"" if library.is_control(i) else library.decode([i]).encode()
+            surface[i] = b"" if control[i] else library.decode([i]).encode()
         for byte, i in of_byte.items():
             surface[i] = bytes([byte])
         self.lengths = np.array([len(s) for s in surface], np.int64)
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
-        self.silent = np.array([library.is_control(i) for i in range(size)])
+        self.silent = control
         self.spaced = np.array([name.startswith(SPACE) and not k for name, k in zip(names, kinds)])
         probes = ["a  b", " x", "ﬁ Å é 　\t\n", "1 22 333", "", "\U0001f600\u0000 ▁ ͸"]
         ids, counts = self.encode(pa.array(probes, pa.large_string()))
@@ -259,23 +260,32 @@ def _id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _texts(model: PieceModel, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.array(model.decode(ids, counts), pa.large_binary()).cast(pa.large_string()).cast(pa.string())
+
+
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """(id, n_tokens, ids): the ids of each whole text, as the library gives them without begin
-    or end ids. One row per row: a null text is an empty one, without ids; a null id stays null;
-    repeated rows are encoded one by one; other columns are ignored. No shuffle."""
+    or end ids; with ``decoded`` also the text that :func:`decode` makes of them, in the same pass.
+
+    One row per row: a null text is an empty one, without ids; a null id stays null; repeated rows
+    are encoded one by one; other columns are ignored. No shuffle."""
+    kinds = {"id": "long", "n_tokens": "long", "ids": "array<int>"} | ({"decoded": "string"} if decoded else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
             for part in slices(batch, "text", ENCODE_BYTES):
                 ids, counts = model.encode(texts_of(part.column("text")))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(counts, pa.int64()), _id_lists(ids, counts)], ["id", "n_tokens", "ids"]
-                )
+                made = [part.column("id"), pa.array(counts, pa.int64()), _id_lists(ids, counts)]
+                if decoded:
+                    made.append(_texts(model, ids, counts))
+                yield pa.RecordBatch.from_arrays(made, list(kinds))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    coded = rows.mapInArrow(run, "id long, n_tokens long, ids array<int>")
-    return coded.withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, ", ".join(map(" ".join, kinds.items()))).withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -297,7 +307,6 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "t
             ids = values.to_numpy(zero_copy_only=False).astype(np.int64)
             if len(ids) and not 0 <= ids.min() <= ids.max() < model.size:
                 raise ValueError("an id lies outside the vocabulary")
-            texts = pa.array(model.decode(ids, counts), pa.large_binary()).cast(pa.large_string()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*kept, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(model, ids, counts)], [*kept, text_col])
 
     return coded.select(kept).mapInArrow(run, schema)

@@ -89,6 +89,8 @@ def test_query(spark, data_dir, library, tmp_path):
     got = queries.QUERIES[name](spark, str(tmp_path))
     check(got.join(df.drop("ids"), "doc_id").collect(), library)
     assert got.where("doc_id is null").count() == 2
+    both = sentpieces.decode(sentpieces.encode(df, PATH, decoded=True), PATH)
+    assert both.where("text is distinct from decoded").count() == 0 and both.count() == len(ODD) + 4
     empty = sentpieces.encode(df.limit(0), PATH)
     assert sentpieces.decode(empty, PATH).count() == 0
     with pytest.raises(Exception, match="outside the vocabulary"):
