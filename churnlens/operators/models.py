@@ -1,4 +1,4 @@
-"""Training, tuning and scoring of classifiers with MLlib.
+"""Training, tuning and scoring of classifiers, with MLlib and with the trees of :mod:`.trees`.
 
 A model table has a key, the features as columns and a 0/1 label. Scalings are learnt from
 training rows only. Scored tables hold key, label, prediction and, where there is one, score.
@@ -9,43 +9,37 @@ from __future__ import annotations
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from itertools import product
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    NaiveBayes,
-    RandomForestClassifier,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.scalars import hash_order
 from ..schemas import LABEL, MODEL_FEATURES
-from ..session import col, literal, quoted, shared_dir, with_row
+from ..session import col, literal, quoted, with_row
+from . import trees
 from .projection import missing_sql
 from .quality import value_counts
+from .trees import TreeModel
 
 SEED = 42
 
 # Model settings.
 LOGISTIC_MAX_ITER = 1000
-BOOSTING = {"maxDepth": 6, "stepSize": 0.1, "maxIter": 200}
+BOOSTING = {"depth": 6, "rate": 0.1, "rounds": 200}
 FOREST = {"numTrees": 100, "maxDepth": 10}
 FOREST_GRID = {
-    "numTrees": [50, 100, 150],
-    "maxDepth": [10, 15, 20],
-    "minInstancesPerNode": [1, 2, 4],
+    "depth": [10, 15, 20],
+    "leaf": [1, 2, 4],
+    "split": [2, 5, 10],
+    "trees": [50, 100, 150],
 }
 GRID_FOLDS = 5
-# Labelled rows that the search and boosting of the registered queries are fitted on.
-FIT_ROWS = 2_000
+# Rows in the bag of one tree, on average, where there are more.
+BAG_ROWS = 2_000
 IMPORTANCE_TREES = 12
 KNN_NEIGHBOURS = 265
 VAR_SMOOTHING = 1e-9
@@ -114,21 +108,14 @@ def logistic_regression(train: DataFrame, max_iter: int = LOGISTIC_MAX_ITER, c:
         ).fit(train)
 
 
-def gbt_classifier(train: DataFrame, seed: int = SEED, **settings) -> Model:
-    shared_dir(train.sparkSession)
-    with _kept(train):
-        return GBTClassifier(seed=seed, **{**BOOSTING, **settings}).fit(train)
+def gbt_classifier(train: DataFrame, **settings) -> TreeModel:
+    """Second-order boosting, fitted on all rows."""
+    return trees.boost(train, **{**BOOSTING, **settings})
 
 
-def gbt_losses(model: Model, parts: dict[str, DataFrame]) -> DataFrame:
+def gbt_losses(model: TreeModel, parts: dict[str, DataFrame]) -> DataFrame:
     """(part, round, loss): logistic loss of each part after each boosting round."""
-    spark = next(iter(parts.values())).sparkSession
-    rows = []
-    for name, part in parts.items():
-        losses = model.evaluateEachIteration(part)
-        # MLlib's loss is twice the log loss.
-        rows += [(name, i + 1, loss / 2) for i, loss in enumerate(losses)]
-    return spark.createDataFrame(rows, "part string, round int, loss double")
+    return trees.boosting_losses(model, parts)
 
 
 def linear_svm(train: DataFrame, c: float = 1.0, **settings) -> Model:
@@ -147,8 +134,10 @@ def gaussian_nb_mllib(train: DataFrame) -> Model:
         return NaiveBayes(modelType="gaussian").fit(train)
 
 
-def batch_score(model: Model, df: DataFrame, key: str = "customer_id") -> DataFrame:
+def batch_score(model: Model | TreeModel, df: DataFrame, key: str = "customer_id") -> DataFrame:
     """(key, label, prediction, score) of a held-out or new table."""
+    if isinstance(model, TreeModel):
+        return model.batch_score(df, key)
     scored = model.transform(df)
     source = "probability" if "probability" in scored.columns else "rawPrediction"
     return scored.select(
@@ -159,20 +148,25 @@ def batch_score(model: Model, df: DataFrame, key: str = "customer_id") -> DataFr
     )
 
 
-def save_model(model: Model, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Model | TreeModel, path: str, spark: SparkSession | None = None) -> None:
+    if isinstance(model, TreeModel):
+        model.save(spark or SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def bounded_sample(df: DataFrame, key: str = "customer_id", rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
-    """At most ``rows`` labelled rows to fit a classifier on, the first by a hash of the key."""
-    return df.orderBy(hash_order(col(key), seed), col(key)).limit(rows)
+def _by_importance(spark: SparkSession, features: list[str], values) -> DataFrame:
+    pairs = [(f, float(v)) for f, v in zip(features, values)]
+    rows = spark.createDataFrame(pairs, "feature string, importance double")
+    return rows.orderBy(F.desc("importance"), "feature")
 
 
-def feature_importance(model: Model, spark: SparkSession, features: list[str] = MODEL_FEATURES) -> DataFrame:
+def feature_importance(
+    model: Model | TreeModel, spark: SparkSession, features: list[str] = MODEL_FEATURES
+) -> DataFrame:
     """(feature, importance), most important first."""
-    values = [float(x) for x in model.featureImportances.toArray()]
-    rows = spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
-    return rows.orderBy(F.desc("importance"), "feature")
+    tree_model = isinstance(model, TreeModel)
+    return _by_importance(spark, features, model.importances() if tree_model else model.featureImportances.toArray())
 
 
 def forest_regress_importance(
@@ -180,13 +174,27 @@ def forest_regress_importance(
     key: str,
     features: list[str],
     label: str = LABEL,
-    trees: int = IMPORTANCE_TREES,
+    trees_: int = IMPORTANCE_TREES,
     seed: int = SEED,
+    local_rows: int = trees.LOCAL_ROWS,
 ) -> DataFrame:
-    """Importances from a forest that regresses on the 0/1 label."""
-    with _kept(features_target(df, key, features, label)) as train:
-        model = RandomForestRegressor(numTrees=trees, seed=seed).fit(train)
-    return feature_importance(model, df.sparkSession, features)
+    """(feature, importance), most important first, of extremely randomised trees that regress on
+    the 0/1 label: each tree's gains in shares of the tree's, averaged. Rows with a missing
+    feature or label are left out; a tree without a split counts nowhere."""
+    rows = features_target(df, key, features, label)
+    points = rows.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"))
+    gains = trees.extra_tree_gains(points, len(features), trees_, seed, local_rows)
+    of_tree = gains.groupBy("tree").agg(F.sum("gain").alias("all"))
+    shares = gains.join(of_tree, "tree").groupBy("feature").agg(F.sum(F.col("gain") / F.col("all")).alias("share"))
+    names = ", ".join(f"named_struct('number', {i}, 'name', {literal(c)})" for i, c in enumerate(features))
+    named = df.sparkSession.range(1).selectExpr(f"inline(array({names}))")
+    whole = shares.agg(F.sum("share")).scalar()
+    return (
+        # One row per feature.
+        named.join(F.broadcast(shares), F.col("number") == F.col("feature"), "left")
+        .select(F.col("name").alias("feature"), F.coalesce(F.try_divide("share", whole), F.lit(0.0)).alias("importance"))
+        .orderBy(F.desc("importance"), "feature")
+    )
 
 
 # -- models that are plain aggregates -----------------------------------------------------
@@ -258,8 +266,8 @@ def predict_gaussian_nb(
 
 @dataclass(frozen=True)
 class GridResult:
-    model: Model
-    best: dict[str, float]
+    model: TreeModel
+    best: dict[str, int]
     best_score: float
     scores: DataFrame
 
@@ -270,39 +278,33 @@ def grid_search(
     grid: dict[str, list] = FOREST_GRID,
     folds: int = GRID_FOLDS,
     seed: int = SEED,
-    parallelism: int = 4,
+    bag_rows: int = BAG_ROWS,
 ) -> GridResult:
-    """Cross-validated forest: every setting, scored by accuracy; the best is fitted again.
-
-    Folds follow from a hash of the key, so they do not change when a task runs again.
+    """Cross-validated forests: every setting of depth, rows in a leaf, rows in a node that is
+    split, and trees, scored by the mean accuracy over the folds; the best (of equals, the first
+    in the order of the grid) is grown again without leaving out a fold.
+
+    The table is binned once. Only the leaf size changes how a tree grows: lesser depths, larger
+    nodes to split and fewer trees are read off the same trees. Folds and bags follow from a hash
+    of the key, so they do not change when a task runs again. All rows are scored, by the trees
+    that did not see their fold.
     """
-    forest = RandomForestClassifier(seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(forest.getParam(name), values)
-    settings = builder.build()
-    folded = train.withColumn("fold", F.pmod(hash_order(col(key), seed), F.lit(folds)).cast("int"))
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=settings,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-        numFolds=folds,
-        parallelism=parallelism,
-        foldCol="fold",
-        seed=seed,
-    )
-    with _kept(folded):
-        fitted = search.fit(folded)
-    rows = [
-        ({p.name: float(v) for p, v in s.items()}, float(score))
-        for s, score in zip(settings, fitted.avgMetrics)
-    ]
-    best, best_score = max(rows, key=lambda r: r[1])
-    scores = train.sparkSession.createDataFrame(
-        [tuple(s[n] for n in grid) + (score,) for s, score in rows],
-        ", ".join(f"{n} double" for n in grid) + ", accuracy double",
+    spark = train.sparkSession
+    bags = trees.Bags.of(train, key, folds, bag_rows, seed)
+    most, deepest = max(grid["trees"]), max(grid["depth"])
+    grown = bags.grown(most, list(range(folds)), grid["leaf"], deepest)
+    by_setting: dict[int, list[float]] = {}
+    for r in bags.hits(grown, grid).collect():
+        by_setting.setdefault(r["setting"], []).append(r["hits"] / r["rows"])
+    settings = list(product(*(grid[k] for k in ("depth", "leaf", "split", "trees"))))
+    scores = [sum(sorted(by_setting[i])) / len(by_setting[i]) for i in range(len(settings))]
+    best = max(range(len(settings)), key=lambda i: (scores[i], -i))
+    depth, leaf, split, number = settings[best]
+    model = bags.model(bags.grown(number, [-1], [leaf], depth), depth, split)
+    rows = spark.createDataFrame(
+        [(*s, x) for s, x in zip(settings, scores)], "depth int, leaf int, split int, trees int, accuracy double"
     )
-    return GridResult(fitted.bestModel, best, best_score, scores)
+    return GridResult(model, dict(zip(("depth", "leaf", "split", "trees"), settings[best])), scores[best], rows)
 
 
 def stack_predictions(scored: dict[str, DataFrame]) -> DataFrame:

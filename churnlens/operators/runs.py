@@ -69,7 +69,7 @@ class Run:
 
     def log_model(self, model: Model) -> str:
         path = f"{self.log.path}/models/{self.run_id}"
-        save_model(model, path)
+        save_model(model, path, self.log.spark)
         return path
 
 

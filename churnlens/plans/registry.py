@@ -702,15 +702,13 @@ def logistic_regression(spark, sf_dir):
 @query
 def gbt_classifier(spark, sf_dir):
     parts = vectors(scaled_parts(spark, sf_dir))
-    model = models.gbt_classifier(models.bounded_sample(parts["train"]))
-    return models.batch_score(model, parts["test"])
+    return models.batch_score(models.gbt_classifier(parts["train"]), parts["test"])
 
 
 @query
 def gbt_losses(spark, sf_dir):
     parts = vectors(scaled_parts(spark, sf_dir))
-    model = models.gbt_classifier(models.bounded_sample(parts["train"]))
-    return models.gbt_losses(model, {p: parts[p] for p in ("train", "validate")})
+    return models.gbt_losses(models.gbt_classifier(parts["train"]), {p: parts[p] for p in ("train", "validate")})
 
 
 @query
@@ -755,20 +753,16 @@ def majority_baseline(spark, sf_dir):
 
 @query
 def grid_search(spark, sf_dir):
-    parts = vectors(model_parts(spark, sf_dir))
-    return models.grid_search(models.bounded_sample(parts["train"])).scores
+    return models.grid_search(vectors(model_parts(spark, sf_dir))["train"]).scores
 
 
 @query
 def batch_score(spark, sf_dir):
     """Held-out rows scored by the best model of a search, saved and loaded."""
-    from pyspark.ml.classification import RandomForestClassificationModel
-
     parts = vectors(model_parts(spark, sf_dir))
-    found = models.grid_search(models.bounded_sample(parts["train"]))
     path = new_work_path(spark, "model")
-    models.save_model(found.model, path)
-    return models.batch_score(RandomForestClassificationModel.load(path), parts["validate"])
+    models.save_model(models.grid_search(parts["train"]).model, path, spark)
+    return models.batch_score(models.TreeModel.load(spark, path), parts["validate"])
 
 
 @query
@@ -786,8 +780,7 @@ def gaussian_nb_mllib(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    parts = vectors(model_parts(spark, sf_dir))
-    found = models.grid_search(models.bounded_sample(parts["train"]))
+    found = models.grid_search(vectors(model_parts(spark, sf_dir))["train"])
     return models.feature_importance(found.model, spark)
 
 

