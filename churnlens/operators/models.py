@@ -13,19 +13,21 @@ from itertools import product
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import LABEL, MODEL_FEATURES
 from ..session import col, literal, quoted, with_row
-from . import trees
+from . import logistic, trees
+from .logistic import LogisticModel
 from .projection import missing_sql
 from .quality import value_counts
 from .trees import TreeModel
 
 SEED = 42
+OwnModel = TreeModel | LogisticModel
 
 # Model settings.
 LOGISTIC_MAX_ITER = 1000
@@ -98,14 +100,9 @@ def _kept(df: DataFrame):
 # -- models -------------------------------------------------------------------------------
 
 
-def logistic_regression(train: DataFrame, max_iter: int = LOGISTIC_MAX_ITER, c: float = 1.0) -> Model:
-    """Ridge penalty with inverse strength ``c``, summed over rows as is usual elsewhere; MLlib
-    averages over rows, hence the division."""
-    with _kept(train):
-        rows = max(train.count(), 1)
-        return LogisticRegression(
-            maxIter=max_iter, regParam=1.0 / (c * rows), elasticNetParam=0.0, standardization=False
-        ).fit(train)
+def logistic_regression(train: DataFrame, max_iter: int = LOGISTIC_MAX_ITER, c: float = 1.0) -> LogisticModel:
+    """Ridge penalty with inverse strength ``c``, summed over rows as is usual elsewhere."""
+    return logistic.fit(train, c, max_iter)
 
 
 def gbt_classifier(train: DataFrame, **settings) -> TreeModel:
@@ -134,9 +131,9 @@ def gaussian_nb_mllib(train: DataFrame) -> Model:
         return NaiveBayes(modelType="gaussian").fit(train)
 
 
-def batch_score(model: Model | TreeModel, df: DataFrame, key: str = "customer_id") -> DataFrame:
+def batch_score(model: Model | OwnModel, df: DataFrame, key: str = "customer_id") -> DataFrame:
     """(key, label, prediction, score) of a held-out or new table."""
-    if isinstance(model, TreeModel):
+    if isinstance(model, OwnModel):
         return model.batch_score(df, key)
     scored = model.transform(df)
     source = "probability" if "probability" in scored.columns else "rawPrediction"
@@ -148,8 +145,8 @@ def batch_score(model: Model | TreeModel, df: DataFrame, key: str = "customer_id
     )
 
 
-def save_model(model: Model | TreeModel, path: str, spark: SparkSession | None = None) -> None:
-    if isinstance(model, TreeModel):
+def save_model(model: Model | OwnModel, path: str, spark: SparkSession | None = None) -> None:
+    if isinstance(model, OwnModel):
         model.save(spark or SparkSession.active(), path)
     else:
         model.write().overwrite().save(path)

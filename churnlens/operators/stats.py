@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import math
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.special import chi_square_tail
 from ..session import col, new_work_path, quoted
 from ..sources.sinks import sink_stage_table
 
@@ -257,54 +252,6 @@ def chi_square(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def chi_square_test(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """(feature, statistic, p_value, dof). Spark SQL has no incomplete gamma function, so the
-    p-value of the few result rows (one per feature) is worked out in Python."""
-
-    def add_p(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            p = [chi_square_tail(x, k) for x, k in zip(batch["statistic"], batch["dof"])]
-            yield batch.assign(p_value=p)[["feature", "statistic", "p_value", "dof"]]
-
-    return chi_square(df, features, label).mapInPandas(
-        add_p, "feature string, statistic double, p_value double, dof bigint"
-    )
-
-
-def chi_square_tail(x: float, dof: int) -> float:
-    """P(chi-square with ``dof`` degrees of freedom > x)."""
-    if dof <= 0 or x <= 0:
-        return 1.0
-    if dof == 1:
-        return math.erfc(math.sqrt(x / 2))
-    a, z = dof / 2, x / 2
-    front = math.exp(a * math.log(z) - z - math.lgamma(a))
-    if z < a + 1:
-        # Series for the lower tail.
-        term = total = 1 / a
-        n = a
-        while abs(term) > abs(total) * 1e-16:
-            n += 1
-            term *= z / n
-            total += term
-        return max(0.0, 1 - front * total)
-    # Continued fraction for the upper tail.
-    tiny = 1e-300
-    b = z + 1 - a
-    c, d = 1 / tiny, 1 / b
-    h = d
-    i = 0
-    while True:
-        i += 1
-        step = -i * (i - a)
-        b += 2
-        d = step * d + b
-        d = 1 / (d if abs(d) > tiny else tiny)
-        c = b + step / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            return min(1.0, front * h)
-
-
-# Tasks get these functions by value, so executors need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    """(feature, statistic, p_value, dof)."""
+    p_value = chi_square_tail(F.col("statistic"), F.col("dof")).alias("p_value")
+    return chi_square(df, features, label).select("feature", "statistic", p_value, "dof")

@@ -361,6 +361,12 @@ ORACLE: dict[str, str] = {
     "sink_csv": with_cc("select * from cc_closed"),
     "sink_gzip_csv": _SILENT,
     "sink_stage_table": with_cc("select * from cc_account"),
+    "list_landing": with_cc(
+        " union all ".join(
+            f"select '{t}' folder, 1 files, cast(sum(length(coalesce({c}, '')) + 1) as bigint) \"length\" from cc_{t}"
+            for t, c in (("customer", "customer_id"), ("account", "account_id"), ("closed", "customer_id"))
+        )
+    ),
     "land_raw": with_cc(
         "\nunion all by name\n".join(
             f"select '{n}' \"table\", {_landed(s)} from cc_{n}" for n, s in schemas.SOURCES.items()
@@ -541,6 +547,17 @@ ORACLE: dict[str, str] = {
         " round(e0, 6) expected_0, round(e1, 6) expected_1 from tested",
         _contingency(["contacts_count_12mo", *CATEGORICAL]),
     ),
+    # The lower tail as a power series; its terms end some way beyond the statistic.
+    "chi_square_test": with_feat(
+        "select feature, round(s, 6) statistic, dof, round(case when dof <= 0 or s <= 0 then 1.0 else greatest(0.0,"
+        " 1 - list_sum(list_transform(range(0, cast(100 + s / 2 + 12 * sqrt(s + dof) as bigint)),"
+        " lambda i: exp(-s / 2 + (dof / 2.0::double + i) * ln(s / 2) - lgamma(dof / 2.0::double + i + 1))))) end, 6) p_value from ("
+        "select feature, dof, case when dof = 1 then yates when dof > 0 then plain else 0.0 end s from ("
+        "select feature, cast((count(*) - 1) * ((case when max(t0) > 0 then 1"
+        " else 0 end + case when max(t1) > 0 then 1 else 0 end) - 1) as bigint) dof,"
+        f" {_PLAIN} plain, {_YATES} yates from tested group by 1))",
+        _contingency(FEATURES),
+    ),
     "anova_f": with_feat("select feature, round(f_score, 6) f_score from scores", _ANOVA),
     "low_variance": with_feat(
         "select * from ("
@@ -644,6 +661,11 @@ ORACLE: dict[str, str] = {
             265,
         ),
     ),
+    "logistic_moments": with_model(
+        _union(f"select '@' feature, round(sum(cast({LABEL} as double) * \"@\"), 5) moment from scaled where part = 'train'", schemas.MODEL_FEATURES)
+        + f" union all select 'intercept', round(sum(cast({LABEL} as double)), 5) from scaled where part = 'train'",
+        SCALED,
+    ),
     "majority_baseline": with_model(
         f"select customer_id, {LABEL} label, (select {LABEL} from parts where part = 'train'"
         f" group by 1 order by count(*) desc, 1 limit 1) prediction from parts where part = 'test'"

@@ -176,6 +176,19 @@ def land_raw(spark, sf_dir):
     return out
 
 
+@query
+def list_landing(spark, sf_dir):
+    """Files of a landing folder: one of ids for each of three tables."""
+    t = tables(spark, sf_dir)
+    base = new_work_path(spark, "listed")
+    for name, key in (("customer", "customer_id"), ("account", "account_id"), ("closed", "customer_id")):
+        lines = getattr(t, name).select(F.coalesce(key, F.lit("")))
+        lines.coalesce(1).write.text(f"{base}/{name}")
+    files = landing.list_landing(spark, base, "*.txt")
+    folder = F.substring_index("relative", "/", 1)
+    return files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), F.sum("length").alias("length"))
+
+
 @query
 def inline_table(spark, sf_dir):
     """The published scores beside the scores measured on the data."""
@@ -531,7 +544,7 @@ def chi_square_expected(spark, sf_dir):
 
 @query
 def chi_square_test(spark, sf_dir):
-    return stats.chi_square_test(customer_features(spark, sf_dir), FEATURES, LABEL)
+    return rounded(stats.chi_square_test(customer_features(spark, sf_dir), FEATURES, LABEL))
 
 
 @query
@@ -699,6 +712,13 @@ def logistic_regression(spark, sf_dir):
     return models.batch_score(models.logistic_regression(parts["train"]), parts["test"])
 
 
+@query
+def logistic_moments(spark, sf_dir):
+    """Sums that equal those of the labels where the fitted weights are the optimum."""
+    train = vectors(scaled_parts(spark, sf_dir))["train"]
+    return rounded(models.logistic_regression(train).moments(train, schemas.MODEL_FEATURES), 5)
+
+
 @query
 def gbt_classifier(spark, sf_dir):
     parts = vectors(scaled_parts(spark, sf_dir))

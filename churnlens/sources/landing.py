@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixtures import Tables
 from ..schemas import SOURCES
@@ -35,11 +35,14 @@ def read_landing(spark: SparkSession, landing_dir: str) -> Tables:
 
 
 def list_landing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modificationTime) of all files below a folder; contents are not read."""
-    return (
+    """(path, length, modificationTime, relative) of all files below a folder; contents are not read.
+    ``relative`` is the path below the folder."""
+    files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(path)
         .select("path", "length", "modificationTime")
     )
+    folder = "/" + path.split("://", 1)[-1].split(":", 1)[-1].strip("/") + "/"
+    return files.withColumn("relative", F.substring_index("path", folder, -1))

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from churnlens.operators import evaluate
@@ -49,6 +50,21 @@ def test_auc_of_hard_predictions(scored):
     assert hard == pytest.approx(evaluate.roc_auc_hard(scored).first()["roc_auc_hard"])
 
 
+@pytest.mark.parametrize("ranges", [2, 8, 1024])
+def test_auc_equals_all_pairs(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [(rng.randint(0, 1), rng.choice([rng.random() * 1e-6, rng.randint(0, 9) / 3, -rng.random() * 1e9, 0.0, -0.0])) for _ in range(400)]
+    odd = [(None, 1.0), (1, None), (0, float("nan"))]
+    df = spark.createDataFrame(rows + odd, "label int, score double").repartition(7)
+    pos, neg = ([s for y, s in rows if y == k] for k in (1, 0))
+    want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    assert evaluate.roc_auc_score(df, ranges=ranges).first()["roc_auc"] == pytest.approx(want)
+    for some in (df.limit(0), df.where("label = 1")):
+        assert evaluate.roc_auc_score(some, ranges=ranges).first()["roc_auc"] is None
+    with pytest.raises(ValueError):
+        evaluate.roc_auc_score(df, ranges=6)
+
+
 def test_log_loss_clips(spark):
     df = spark.createDataFrame([(1, 0.0), (0, 0.25)], "label int, score double")
     want = (-math.log(1e-15) - math.log(0.75)) / 2

@@ -99,6 +99,25 @@ def test_run_log(spark, tmp_path, scaled):
     assert [r["k"] for r in wide] == ["5", "7"] and wide[1]["accuracy"] is None
 
 
+def test_logging_twice_leaves_one_set(spark, tmp_path):
+    log = runs.RunLog(spark, str(tmp_path))
+    metrics = spark.createDataFrame([(0.5, 0.25)], "accuracy double, `odd name` double")
+    other = log.start("other")
+    other.log_params({"k": 1})
+    for attempt in range(2):
+        run = log.start("one", "fixed-id")
+        run.log_params({"k": 5})
+        run.log_params({"more": attempt})
+        run.log_params({})
+        run.log_metrics(metrics)
+    rows = sorted((r["run_name"], r["kind"], r["key"], r["value"]) for r in log.entries().collect())
+    one = [("one", "metric", "accuracy", "0.5"), ("one", "metric", "odd name", "0.25"), ("one", "param", "k", "5"), ("one", "param", "more", "1")]
+    assert rows == sorted([*one, ("other", "param", "k", "1")])
+    run.log_params({"k": 6}, batch="later")
+    assert log.search(run_id="fixed-id", key="k").count() == 2
+    assert log.entries().columns == ["run_id", "run_name", "kind", "key", "value", "ts"]
+
+
 def test_compare_all_models(rows, tmp_path):
     got = flow.train_and_compare(
         rows,

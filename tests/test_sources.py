@@ -89,7 +89,8 @@ def test_landing(spark, tmp_path):
     assert landed.customer.first()["education_level"] is None
     assert landing.read_landing(spark, str(tmp_path / "landing")).closed.count() == 3
     files = landing.list_landing(spark, str(tmp_path / "landing"), "*.parquet")
-    assert files.columns == ["path", "length", "modificationTime"] and files.count() >= 5
+    assert {r["relative"].split("/")[0] for r in files.collect()} == set(schemas.SOURCES)
+    assert files.columns == ["path", "length", "modificationTime", "relative"] and files.count() >= 5
 
 
 def test_namespace(spark):

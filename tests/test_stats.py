@@ -89,11 +89,24 @@ def test_chi_square_agrees_with_mllib(spark):
         assert mine[c]["p_value"] == pytest.approx(theirs["pValues"][i], rel=1e-9)
 
 
-def test_tail_probability():
-    # Known values: exp(-x/2) for two degrees of freedom; the medians of others.
-    for x in (0.1, 1.0, 5.0, 40.0):
-        assert stats.chi_square_tail(x, 2) == pytest.approx(math.exp(-x / 2), rel=1e-12)
-        four = math.exp(-x / 2) * (1 + x / 2)
-        assert stats.chi_square_tail(x, 4) == pytest.approx(four, rel=1e-12)
-    assert stats.chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05, rel=1e-9)
-    assert stats.chi_square_tail(1e6, 1_000_000) == pytest.approx(0.5, abs=1e-3)
+def plain_tail(x, dof):
+    """By the finite sums for whole and half arguments."""
+    z, k = x / 2, dof // 2
+    if dof % 2 == 0:
+        return sum(math.exp(-z + j * math.log(z) - math.lgamma(j + 1)) for j in range(k))
+    odd = (math.exp(-z + (j + 0.5) * math.log(z) - math.lgamma(j + 1.5)) for j in range(k))
+    return math.erfc(math.sqrt(z)) + sum(odd)
+
+
+def test_tail_probability(spark):
+    from churnlens.functions.special import chi_square_tail
+
+    known = [(x * dof, dof) for dof in (1, 2, 3, 7, 40, 61, 1001, 20_000) for x in (0.05, 0.5, 0.9, 1.0, 1.01, 1.3, 3.0)]
+    known += [(1e-9, 1), (700.0, 4), (3.841458820694124, 1)]
+    rows = [(float(x), k) for x, k in known] + [(0.0, 3), (-1.0, 3), (5.0, 0), (None, 3), (5.0, None), (1e6, 1_000_000)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, x double, dof long")
+    got = [r["p"] for r in df.select("i", chi_square_tail(F.col("x"), F.col("dof")).alias("p")).orderBy("i").collect()]
+    for (x, k), p in zip(known, got):
+        assert p == pytest.approx(plain_tail(x, k), rel=1e-7, abs=1e-11), (x, k)
+    assert got[len(known) : -1] == [1.0, 1.0, 1.0, None, None]
+    assert got[-1] == pytest.approx(0.5, abs=1e-3)
