@@ -131,13 +131,43 @@ def _count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _keys_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The line keys of each text that are not empty, as one text."""
+def _lines_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text the hashes of its distinct lines, and one of all its lines in their order."""
     for batch in batches:
         for part in slices(batch, "text"):
             texts = texts_of(part.column("text")).cast(pa.large_binary()).to_pylist()
-            keys = [b"\n".join(filter(None, line_keys(text))) for text in texts]
-            yield pa.RecordBatch.from_pydict({"text": pa.array(keys, pa.large_binary()).cast(pa.large_string())})
+            keys = [list(filter(None, line_keys(text))) for text in texts]
+            own = np.array([xxhash.xxh3_64_intdigest(b"\n".join(k)) for k in keys], _U64).view(np.int64)
+            blobs = [b"".join(map(xxhash.xxh3_128_digest, set(k))) for k in keys]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(own), pa.array(blobs, pa.binary())], ["id", "own", "blob"]
+            )
+
+
+def _lines_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per line hash and group, without the repeats within a batch."""
+    for batch in batches:
+        blobs = batch.column("blob").to_pylist()
+        halves = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 2)
+        sizes = [len(b) // 16 for b in blobs]
+        grouped, known = (
+            np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes).astype(np.int64) for c in ("group", "known")
+        )
+        rows = np.unique(np.stack([halves[:, 0], halves[:, 1], grouped, known], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["h1", "h2", "group", "known"])
+
+
+def _counted_by_group(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
+    """(h1, h2, docs) with ``docs`` the number of groups."""
+    of_id = groups.groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("component"))
+    lines = docs.select(F.col("doc_id").alias("id"), F.col(text).alias("text")).mapInArrow(
+        _lines_of_texts, "id long, own long, blob binary"
+    )
+    placed = lines.join(of_id, "id", "left").select(
+        "blob", F.coalesce("component", "own").alias("group"), F.col("component").isNotNull().cast("long").alias("known")
+    )
+    rows = placed.mapInArrow(_lines_of_groups, "h1 long, h2 long, group long, known long")
+    return rows.distinct().groupBy("h1", "h2").agg(F.count("*").alias("docs"))
 
 
 def _build_index(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -241,27 +271,28 @@ def _cleaner(text: str, chunk: str, columns: list[str]):
     return run
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, copies: bool = True) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, groups: DataFrame | None = None
+) -> DataFrame:
     """Every row of ``docs`` without the lines whose key is found in at least ``min_docs`` rows.
 
     A key is the line with white space stripped at both ends and A-Z in lower case; empty keys
     always stay. The columns are those of ``docs``, with ``text`` cut down, then ``n_lines``
     (before dropping; 1 for a null or empty text) and ``n_dropped``; columns of these two names in
     the input are replaced. A null text stays null; a text that loses all lines becomes empty.
-    A repeated row counts as another document; without ``copies`` rows count once if their keys,
-    leaving out empty ones, are the same in the same order. An empty table gives an empty result.
+    A repeated row counts as another document. With ``groups`` (doc_id, component_id) the documents
+    of one group count once for each line; those of no group, or without an id, count once if
+    their keys, leaving out empty ones, are the same in the same order. An empty table gives an
+    empty result.
     """
     chunk = "__chunk"
     docs = docs.drop("n_lines", "n_dropped")
-    counted = docs.select(F.col(text).alias("text"))
-    if not copies:
-        counted = counted.mapInArrow(_keys_of_texts, "text string").distinct()
-    counts = staged(
-        counted.mapInArrow(_count_lines, "h1 long, h2 long, docs long")
-        .groupBy("h1", "h2")
-        .agg(F.sum("docs").alias("docs")),
-        "line-counts",
-    )
+    if groups is None:
+        counted = docs.select(F.col(text).alias("text")).mapInArrow(_count_lines, "h1 long, h2 long, docs long")
+        counted = counted.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"))
+    else:
+        counted = _counted_by_group(docs, text, groups)
+    counts = staged(counted, "line-counts")
     bits = max(0, math.ceil(math.log2(max(1, counts.count()) / SHARD_LINES)))
     shard = F.shiftrightunsigned("h1", 64 - bits) if bits else F.lit(0).cast("long")
     index = (

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from brute import cleaned_lines, components
+from brute import ASCII_LOWER, components
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -44,6 +44,20 @@ def small(spark, tmp_path_factory):
     return folder, rows
 
 
+def cleaned_by_group(rows, min_groups):
+    """[(lines, dropped, text)] for (text, group), a line counting once a group."""
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(ASCII_LOWER)
+    groups = {}
+    for text, group in rows:
+        for line in text.split("\n"):
+            groups.setdefault(key(line), set()).add(group)
+    out = []
+    for text, _ in rows:
+        kept = [x for x in text.split("\n") if not key(x) or len(groups[key(x)]) < min_groups]
+        out.append((text.count("\n") + 1, text.count("\n") + 1 - len(kept), "\n".join(kept)))
+    return out
+
+
 def test_stages_take_effect(spark, small):
     folder, rows = small
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -58,8 +72,9 @@ def test_stages_take_effect(spark, small):
     assert set(kept["language_id"]) == lettered
     assert all(everything[i][2] in (None, r["lang"]) for i, r in kept["language_id"].items())
     order = [i for i in everything if i in lettered]
-    lines = dict(zip(order, cleaned_lines([everything[i][1] for i in order], 10)))
-    alive = {i: w[2] for i, w in lines.items() if not (w[1] and not w[2].strip())}
+    before = components({i: everything[i][1] for i in order if i is not None}, 5)
+    lines = cleaned_by_group([(everything[i][1], before.get(i, ("none", everything[i][1]))) for i in order], 10)
+    alive = {i: w[2] for i, w in zip(order, lines) if not (w[1] and not w[2].strip())}
     assert {i: r["text"] for i, r in kept["line_dedup"].items()} == alive
     assert all(r["n_chars"] == len(r["text"]) for r in kept["line_dedup"].values())
     groups = components({i: t for i, t in alive.items() if i is not None}, 5)
@@ -88,6 +103,38 @@ def test_one_of_many_copies_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(30, 40)]
 
 
+def documents(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+
+
+def two_stages(spark, docs):
+    lined = corpus_pipeline.line_dedup(spark, docs, "").cache()
+    return lined, corpus_pipeline.near_dedup(spark, lined, "").collect()
+
+
+def test_one_whole_document_of_many_near_copies_stays(spark):
+    rng = random.Random(9)
+    shared = [prose(rng, "en", 25) for _ in range(8)]
+    near = [(100 + i, "\n".join([*shared, prose(rng, "en", 6)])) for i in range(12)]
+    other = [(i, f"Common head of all\n{prose(rng, 'en', 40)}") for i in range(12)]
+    lined, kept = two_stages(spark, documents(spark, near + other))
+    assert {r["doc_id"]: r["text"] for r in lined.collect()} == dict(near) | {i: t.split("\n")[1] for i, t in other}
+    assert {r["doc_id"]: r["text"] for r in kept if r["doc_id"] >= 100} == dict(near[:1])
+    assert len(kept) == 13
+
+
+def test_rows_repeated_in_full_leave_one(spark):
+    rng = random.Random(10)
+    text, nameless, short = prose(rng, "en", 60), "\n".join(prose(rng, "en", 20) for _ in range(3)), "two words"
+    rows = [(1, text)] * 15 + [(2, prose(rng, "en", 50))] + [(None, nameless)] * 14 + [(3, None)] * 3 + [(4, short)] * 12 + [(1, "another text")]
+    lined, kept = two_stages(spark, documents(spark, rows))
+    assert lined.count() == len(rows)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    assert got == sorted({*rows}, key=str)
+
+
 def test_registration():
     names = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
