@@ -22,8 +22,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines found in many documents, and documents of which nothing but white space is left.
-    Copies count as one document, so that a group of them reaches near-dedup, which keeps one."""
-    kept = lines.dedup_lines(docs, copies=False)
+
+    Near copies, by the rule of the next stage, count as one document for a line. So a group of
+    them keeps its text, however large it is, and the next stage keeps one of them."""
+    kept = lines.dedup_lines(docs, groups=minmax.near_duplicates(docs))
     gone = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = kept.where(~gone)
     if "n_chars" in docs.columns:
@@ -32,10 +34,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates."""
+    """Keeps the document with the least id of each group of near-duplicates, and one of rows that
+    are repeated in full."""
     groups = minmax.near_duplicates(docs)
-    dropped = groups.where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti").select(docs.columns)
+    dropped = groups.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
+    often = docs.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").drop("count")
+    often = staged(often, "pipeline-repeated")
+    if not often.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("__id"))
+        once = kept.join(often, same, "left_anti")
+        kept = once.union(kept.join(often, same, "left_semi").dropDuplicates())
+    return kept.select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
