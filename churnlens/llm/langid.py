@@ -23,6 +23,7 @@ from .text import joined, slices, texts_of
 
 FEATURES = 1 << 12
 DOCS_PER_LANGUAGE = 500
+_SAMPLE_PARTS = 64
 UNKNOWN = "und"
 #: A document is ambiguous if its two least losses differ by less than this share of the
 #: difference that is usual at its length.
@@ -159,24 +160,32 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def labelled_sample(docs: DataFrame, learn: Column, text: str, label: str, key: str, per_language: int) -> DataFrame:
+    """(lang, text) of at most ``per_language`` rows of each language: those with the least hashes
+    of key and text, rows that are alike in all three counting once."""
+    rows = docs.where(learn & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+        F.col(label).cast("string").alias("lang"),
+        F.struct(F.xxhash64(key).alias("key"), F.xxhash64(text).alias("text")).alias("h"),
+        F.col(text).alias("text"),
+    )
+    # Hashes first, so that no text is shuffled to find the sample; first the least of each of some parts,
+    # so that what meets in one task does not grow with the table.
+    least = rows.select("lang", "h").distinct().withColumn("part", F.pmod("h.key", F.lit(_SAMPLE_PARTS)))
+    for groups in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy("h"))
+        least = least.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    last = least.groupBy("lang").agg(F.max("h").alias("last"))
+    chosen = rows.join(F.broadcast(last), "lang").where("h <= last")
+    return chosen.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
+
+
 def train(docs: DataFrame, learn: Column, text: str = "text", label: str = "lang", key: str = "doc_id",
           per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
     """Fits the classifiers on at most ``per_language`` labelled rows of each language, those
-    with the least hash of the key among the rows where ``learn`` holds; rows with a null label
-    or a text without letters are left out. Texts count whole. A label is any string."""
-    rows = docs.where(learn & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(label).cast("string").alias("lang"), F.xxhash64(key).alias("h"), F.col(text).alias("text")
-    )
-    # Hashes first, so that no text is shuffled to find the sample.
-    window = Window.partitionBy("lang").orderBy("h")
-    least = (
-        rows.select("lang", "h")
-        .withColumn("rank", F.row_number().over(window))
-        .where(F.col("rank") <= per_language)
-        .groupBy("lang")
-        .agg(F.max("h").alias("last"))
-    )
-    sample = rows.join(F.broadcast(least), "lang").where("h <= last").select("lang", "text")
+    with the least hashes of key and text among the rows where ``learn`` holds, also where keys are
+    null or repeated; rows with a null label or a text without letters are left out. Texts count
+    whole. A label is any string."""
+    sample = labelled_sample(docs, learn, text, label, key, per_language)
     got = sample.mapInArrow(_counter, "lang string, counts binary").toArrow()
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.uint32).reshape(-1, FEATURES)
     labels = got.column("lang").to_pylist()

@@ -12,6 +12,7 @@ global state, and the same result when a task runs again.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,59 @@ class Piece:
         )
 
 
+class _Waiting:
+    """Pieces by their vector. Those of one vector are worth the same and leave in turn, so a
+    choice costs as many products as there are different vectors, not pieces."""
+
+    def __init__(self, pieces: list[Piece]):
+        self.count, self.place = 0, {}
+        self.groups: list[deque[Piece]] = []
+        self.size, self.here = np.zeros((64, 3)), np.zeros(64, bool)
+        for piece in pieces:
+            self.add(piece)
+
+    def add(self, piece: Piece) -> None:
+        vector = (piece.length, piece.loss)
+        at = self.place.get(vector)
+        if at is None:
+            at = self.place[vector] = len(self.groups)
+            self.groups.append(deque())
+            if at == len(self.here):
+                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+                self.here = np.concatenate([self.here, np.zeros_like(self.here)])
+            self.size[at] = piece.length, 1, piece.loss
+        self.groups[at].append(piece)
+        self.here[at] = True
+        self.count += 1
+
+    def _take(self, at: int) -> Piece:
+        piece = self.groups[at].popleft()
+        self.here[at] = bool(self.groups[at])
+        self.count -= 1
+        if 4 * self.here.sum() < len(self.groups) > 256:
+            self._shrink()
+        return piece
+
+    def _shrink(self) -> None:
+        """Leaves out vectors without a piece."""
+        kept = np.flatnonzero(self.here)
+        self.groups = [self.groups[i] for i in kept]
+        self.size, self.here = np.concatenate([self.size[kept], np.zeros((64, 3))]), np.concatenate([self.here[kept], np.zeros(64, bool)])
+        self.place = {(int(self.size[i, 0]), int(self.size[i, 2])): i for i in range(len(kept))}
+
+    def best(self, room: np.ndarray, scale: np.ndarray) -> Piece | None:
+        """The piece with the greatest dot product with ``room`` of those that fit."""
+        size = self.size[: len(self.groups)]
+        fits = self.here[: len(self.groups)] & (size <= room).all(axis=1)
+        if not fits.any():
+            return None
+        return self._take(int(np.where(fits, (size * scale) @ (room * scale), -1.0).argmax()))
+
+    def longest(self) -> Piece:
+        size = self.size[: len(self.groups), 0]
+        return self._take(int(np.where(self.here[: len(self.groups)], size, -1).argmax()))
+
+
 def pack_pieces(pieces: list[Piece], limits: Limits, last: bool) -> tuple[list[list[Piece]], list[Piece]]:
     """Sequences, and the pieces of the one that is still open (none if ``last``)."""
     done: list[list[Piece]] = []
@@ -71,36 +125,25 @@ def pack_pieces(pieces: list[Piece], limits: Limits, last: bool) -> tuple[list[l
             done.append([whole])
         if piece.length:
             rest.append(piece)
+    waiting = _Waiting(rest)
     scale = 1 / np.array([limits.tokens, limits.segments, limits.loss], float)
-    size = np.array([[p.length, 1, p.loss] for p in rest], float).reshape(-1, 3)
-    here = np.ones(len(rest), bool)
-    count = len(rest)
     opened: list[Piece] = []
-    while count:
+    while waiting.count:
         opened, room = [], np.array([limits.tokens, limits.segments, limits.loss], float)
-        while count and room[0] > 0 and room[1] > 0:
-            if count < len(rest) // 2:  # keep the arrays as short as what is left
-                index = np.flatnonzero(here)
-                rest, size, here = [rest[i] for i in index], size[index], np.ones(count, bool)
-            worth = np.where(here & (size <= room).all(axis=1), (size * scale) @ (room * scale), -1)
-            best = int(worth.argmax())
-            if worth[best] >= 0:
-                here[best] = False
-                count -= 1
-                opened.append(rest[best])
-                room -= size[best]
-                continue
-            # Nothing fits whole: cut the piece that can give most.
-            longest = int(np.where(here, size[:, 0], -1).argmax())
-            part = rest[longest].head(int(room[0]), int(room[2]))
-            if not part:
-                break
-            taken, left = rest[longest].cut(part)
+        while waiting.count and room[0] > 0 and room[1] > 0:
+            taken = waiting.best(room, scale)
+            if taken is None:
+                # Nothing fits whole: cut the piece that can give most.
+                whole = waiting.longest()
+                part = whole.head(int(room[0]), int(room[2]))
+                if not part:
+                    waiting.add(whole)
+                    break
+                taken, left = whole.cut(part)
+                waiting.add(left)
             opened.append(taken)
-            rest[longest] = left
-            size[longest] = left.length, 1, left.loss
             room -= taken.length, 1, taken.loss
-        if count or room[0] == 0:
+        if waiting.count or room[0] == 0:
             done.append(opened)
             opened = []
     if last:

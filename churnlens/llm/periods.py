@@ -22,12 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import WHITE, joined, slices, texts_of
+from .text import joined, slices, texts_of, word_bounds
 
 MIN_LENGTH = 24
 MIN_PERIODS = 3
-_IS_WHITE = np.zeros(256, bool)
-_IS_WHITE[list(WHITE)] = True
 
 
 @dataclass
@@ -153,11 +151,8 @@ class WordTable:
     @staticmethod
     def of(texts: pa.Array) -> WordTable:
         data, offsets = joined(texts)
-        white = np.ones(len(data) + 1, bool)
-        white[1:] = _IS_WHITE[data]
-        edges = np.flatnonzero(white[1:] != white[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        compact = np.ascontiguousarray(data[~white[1:]])
+        starts, ends, white = word_bounds(data)
+        compact = data[~white]
         places = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
         words = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(compact)]

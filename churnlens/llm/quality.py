@@ -225,11 +225,20 @@ def _pooler(model):
     return run
 
 
+def sample_texts(docs: DataFrame, sample: DataFrame, key: str, text: str) -> DataFrame:
+    """(h, label, text) of the keys of ``sample`` (key, h, label), one text for each key, chosen in the tasks
+    before anything is shuffled."""
+    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
+    one = rows.groupBy(key, "h", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return one.select("h", "label", "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
           label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> QualityModel:
     """Word vectors from all of ``docs``; the network from at most ``sample_rows`` labelled rows
     for which ``learn`` (over the key) holds, those with the least hash of their key. Null labels
-    and keys are left out; a key with several labels takes the least; texts count whole."""
+    and keys are left out; a key with several labels takes the least, one with several documents
+    the text with the least hash; texts count whole."""
     spark: SparkSession = docs.sparkSession
     vectors = word_vectors(docs, text)
     sample = (
@@ -240,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
         .orderBy("h")
         .limit(sample_rows)
     )
-    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select("h", "label", "text")
+    rows = sample_texts(docs, sample, key, text)
     got = rows.mapInArrow(_pooler(spark.sparkContext.broadcast(vectors)), "h long, label int, x binary").toArrow()
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, 2 * DIM + 1)
     y = got.column("label").to_numpy()

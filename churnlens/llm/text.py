@@ -20,8 +20,6 @@ WHITE = b" \t\n\x0b\x0c\r"
 _U64 = np.uint64
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE)] = True
-_STEP = 0x9E3779B97F4A7C15
-_INVERSE = pow(_STEP, -1, 1 << 64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,29 +32,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values(salt: int, fold: bool) -> np.ndarray:
-    values = mix64(np.arange(salt, salt + 256, dtype=_U64) * _U64(0xD6E8FEB86659FD93)) | _U64(1)
-    if fold:
-        values[65:91] = values[97:123]  # A-Z count as a-z
-    return values
+#: Places in a word that have a table of their own.
+_PLACES = 64
+_STRIDE = _U64(0xD6E8FEB86659FD93)
 
 
-_BYTE_VALUE = {fold: _byte_values(1, fold) for fold in (True, False)}
-_SECOND_VALUE = {fold: _byte_values(1_001, fold) for fold in (True, False)}
-_powers: dict[str, np.ndarray] = {}
+def _letter_values(fold: bool) -> np.ndarray:
+    """A random number for each byte at each of the first places of a word; of the row behind them
+    come those of later places."""
+    values = mix64(mix64(np.arange(1, 1 + (_PLACES + 1) * 256, dtype=_U64) * _STRIDE)).reshape(_PLACES + 1, 256)
+    if fold:
+        values[:, 65:91] = values[:, 97:123]  # A-Z count as a-z
+    return values.ravel()
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
-    """base ** i modulo 2**64 for i < n, kept between calls."""
-    have = _powers.get(str(base))
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + (1 << 16))
-        have = np.full(size, base, _U64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 4 * SLICE_BYTES:
-            _powers[str(base)] = have
-    return have[:n]
+_LETTER = {fold: _letter_values(fold) for fold in (True, False)}
 
 
 @dataclass
@@ -68,7 +58,6 @@ class Words:
     ends: np.ndarray
     first: np.ndarray  # of each document: its first word; one more entry at the end
     hashes: np.ndarray  # uint64, equal for words that differ in the case of A-Z only, unless asked otherwise
-    second: np.ndarray | None = None  # other hashes, if asked for
 
     @property
     def counts(self) -> np.ndarray:
@@ -113,23 +102,31 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, fold: bool = True, second: bool = False) -> Words:
-    """Words and word hashes of a slice of texts (see ``texts_of``)."""
-    data, offsets = joined(texts)
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of ``joined`` texts start and end, and which bytes are white space."""
     white = np.ones(len(data) + 1, bool)
     white[1:] = _IS_WHITE[data]
     edges = np.flatnonzero(white[1:] != white[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    power, back = _power_table(_STEP, len(data)), _power_table(_INVERSE, len(data))[starts]
-    lengths = (ends - starts).astype(_U64)
+    return edges[::2], edges[1::2], white[1:]
 
-    def hashed(values: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(data) + 1, _U64)
-        np.cumsum(values[data] * power, out=sums[1:])
-        return mix64((sums[ends] - sums[starts]) * back + lengths)
 
-    other = hashed(_SECOND_VALUE[fold]) if second else None
-    return Words(data, starts, ends, np.searchsorted(starts, offsets), hashed(_BYTE_VALUE[fold]), other)
+def words_of(texts: pa.Array, fold: bool = True) -> Words:
+    """Words and word hashes of a slice of texts (see ``texts_of``).
+
+    A hash is the sum of random numbers, one for each byte and its place in the word. So words
+    share it by chance only, whatever their make-up."""
+    data, offsets = joined(texts)
+    starts, ends, white = word_bounds(data)
+    letters = data[~white]
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(first, lengths)
+    values = _LETTER[fold][np.minimum(place, _PLACES) * 256 + letters]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        values[far] = mix64(values[far] + place[far].astype(_U64) * _STRIDE)
+    sums = np.add.reduceat(values, first) if len(first) else np.zeros(0, _U64)
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), mix64(sums + lengths.astype(_U64)))
 
 
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

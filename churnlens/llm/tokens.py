@@ -1,8 +1,7 @@
 """Token ids of whole texts, at a price per distinct word.
 
 A text is cut at places where the tokenizer cuts in any case, and each distinct piece is encoded
-once per task and remembered. Pieces are found by two 64-bit hashes in numpy tables, so the words
-of a slice are looked up together.
+once per task and remembered. The pieces of a slice are told apart by their bytes.
 """
 
 from __future__ import annotations
@@ -14,12 +13,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .text import joined, mix64, words_of
+from .text import joined, word_bounds
 
 KEEP_PIECES = 1_000_000
-_U64 = np.uint64
-_AT_START, _AFTER_SPACE, _AFTER_LINE = _U64(1), _U64(2), _U64(3)
-_LEAD = {1: "", 2: " ", 3: "\n"}
+#: What stands before a piece that keeps its white space; a zero byte stands for nothing.
+_LEAD = {0: "", 32: " ", 10: "\n"}
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
 _PLAIN_WHITE = np.zeros(256, bool)
 _PLAIN_WHITE[[10, 32]] = True
 _OTHER_WHITE = np.zeros(256, bool)
@@ -28,58 +28,16 @@ _OTHER_WHITE[[9, 11, 12, 13, 28, 29, 30, 31]] = True
 _WIDE_WHITE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
-class PieceTable:
-    """Numbers of pieces by two hashes: open addressing, whole arrays at a time."""
-
-    def __init__(self, size: int = 1 << 17):
-        self.mask = _U64(size - 1)
-        self.keys, self.checks = np.zeros(size, _U64), np.zeros(size, _U64)
-        self.numbers = np.full(size, -1, np.int64)
-        self.count = 0
-
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """-1 for a piece that is not here."""
-        out = np.full(len(keys), -1, np.int64)
-        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
-        while len(todo):
-            have = self.numbers[slot] >= 0
-            todo, slot = todo[have], slot[have]
-            same = (self.keys[slot] == keys[todo]) & (self.checks[slot] == checks[todo])
-            out[todo[same]] = self.numbers[slot[same]]
-            todo, slot = todo[~same], (slot[~same] + 1) & int(self.mask)
-        return out
-
-    def add(self, keys: np.ndarray, checks: np.ndarray) -> None:
-        """Numbers new pieces in turn; none may be here already, or twice."""
-        if 2 * (self.count + len(keys)) > len(self.keys):
-            used = np.flatnonzero(self.numbers >= 0)
-            order = used[np.argsort(self.numbers[used])]
-            old = self.keys[order], self.checks[order]
-            size = len(self.keys)
-            while 2 * (self.count + len(keys)) > size:
-                size *= 2
-            self.__init__(size)
-            if len(order):
-                self.add(*old)
-        number = np.arange(self.count, self.count + len(keys))
-        self.count += len(keys)
-        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
-        while len(todo):
-            free = self.numbers[slot] < 0
-            self.numbers[slot[free]] = number[todo[free]]  # of several, the last stays
-            won = self.numbers[slot] == number[todo]
-            self.keys[slot[won]], self.checks[slot[won]] = keys[todo[won]], checks[todo[won]]
-            todo, slot = todo[~won], (slot[~won] + 1) & int(self.mask)
-
-
 class PieceEncoder:
-    """Ids of texts by one tokenizer file, special tokens as ordinary text, none added.
+    """Ids of texts by one tokenizer file, as the library gives them with ``add_special_tokens``
+    off: none is added, but the name of a special token in a text is that token.
 
     ``spaced``: whether a piece keeps the white space before it (byte-level vocabularies, whose
     words start with their space), or white space and the case of A-Z are dropped (vocabularies
-    that drop them themselves). Texts of the first kind whose white space is anything but single
-    spaces and line ends between words are encoded as they are. At most ``KEEP_PIECES`` pieces
-    are remembered; beyond, those met once are forgotten.
+    that drop them themselves). Texts that hold the name of a special token, and texts of the
+    first kind whose white space is anything but single spaces and line ends between words, are
+    encoded as they are. At most ``KEEP_PIECES`` pieces are remembered; beyond, those met once
+    are forgotten.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -87,45 +45,43 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.spaced = spaced
         self._forget_all()
 
     def _forget_all(self) -> None:
-        self.table = PieceTable()
+        self.numbers: dict[bytes, int] = {}
         self.lengths, self.begins = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.hits = np.zeros(1 << 16, np.int64)
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _forget_rare(self) -> None:
-        table, used = self.table, np.flatnonzero(self.table.numbers >= 0)
-        kept = used[self.hits[table.numbers[used]] > 1]
+        kept = [(p, n) for p, n in self.numbers.items() if self.hits[n] > 1]
         if len(kept) > KEEP_PIECES // 2:
-            self._forget_all()
-            return
-        numbers, keys, checks = table.numbers[kept], table.keys[kept], table.checks[kept]
+            kept = []
+        numbers = np.array([n for _, n in kept], np.int64)
         lengths, ids = self.lengths[numbers], self._gather(numbers)
         self._forget_all()
-        self._keep(keys, checks, lengths, ids)
+        self._keep([p for p, _ in kept], lengths, ids)
 
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         lengths = self.lengths[numbers]
         ends = np.cumsum(lengths)
         return self.ids[np.repeat(self.begins[numbers] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def _keep(self, keys: np.ndarray, checks: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
-        n = self.table.count
-        while n + len(keys) > len(self.lengths):
+    def _keep(self, pieces: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+        n = len(self.numbers)
+        while n + len(pieces) > len(self.lengths):
             self.lengths, self.begins, self.hits = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.lengths, self.begins, self.hits)
             )
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.lengths[n : n + len(keys)] = lengths
-        self.begins[n : n + len(keys)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[n : n + len(pieces)] = lengths
+        self.begins[n : n + len(pieces)] = self.used + np.cumsum(lengths) - lengths
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.table.add(keys, checks)
+        self.numbers.update(zip(pieces, range(n, n + len(pieces))))
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -135,6 +91,8 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (see ``text.texts_of``) in a row (uint32), and how many each has."""
         odd = self._odd(texts) if self.spaced else np.zeros(len(texts), bool)
+        for name in self.special:
+            odd |= pc.match_substring(texts, name, ignore_case=True).to_numpy(zero_copy_only=False)
         if not odd.any():
             return self._encode_plain(texts)
         whole, whole_counts = self._encoded(texts.filter(pa.array(odd)).to_pylist())
@@ -160,32 +118,40 @@ class PieceEncoder:
         return out | pc.match_substring_regex(texts, _WIDE_WHITE).to_numpy(zero_copy_only=False)
 
     def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.table.count > KEEP_PIECES:
+        if len(self.numbers) > KEEP_PIECES:
             self._forget_rare()
-        words = words_of(texts, fold=not self.spaced, second=True)
-        lead = np.full(len(words.starts), _AT_START)
-        if self.spaced:
-            lead = np.where(words.data[words.starts - 1] == 32, _AFTER_SPACE, _AFTER_LINE)
-            begins = words.first[:-1]
-            lead[begins[words.counts > 0]] = _AT_START
-        keys = mix64(words.hashes + lead)
-        numbers = self.table.find(keys, words.second)
+        pieces, which, bounds = self._pieces(texts)
+        numbers = np.fromiter((self.numbers.get(p, -1) for p in pieces), np.int64, len(pieces))
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
-            _, once = np.unique(keys[missing], return_index=True)
-            new = missing[once]
-            data = words.data.tobytes()
-            pieces = [
-                _LEAD[w] + data[a:b].decode()
-                for w, a, b in zip(lead[new].tolist(), words.starts[new].tolist(), words.ends[new].tolist())
-            ]
-            ids, lengths = self._encoded(pieces)
-            self._keep(keys[new], words.second[new], lengths, ids)
-            numbers[missing] = self.table.find(keys[missing], words.second[missing])
-            assert (numbers >= 0).all(), "two pieces with one hash"
-        np.add.at(self.hits, numbers, 1)
+            new = [pieces[i] for i in missing.tolist()]
+            numbers[missing] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            ids, lengths = self._encoded([_LEAD[p[0]] + p[1:].decode() if self.spaced else p.decode() for p in new])
+            self._keep(new, lengths, ids)
+        self.hits[numbers] += np.bincount(which, minlength=len(pieces))
+        numbers = numbers[which]
         ends = np.concatenate([[0], np.cumsum(self.lengths[numbers])])
-        return self._gather(numbers), np.diff(ends[words.first])
+        return self._gather(numbers), np.diff(ends[bounds])
+
+    def _pieces(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Distinct pieces, the piece of each word, and where each text's words begin (and the end)."""
+        data, offsets = joined(texts)
+        starts, ends, white = word_bounds(data)
+        kept, sizes = ~white, ends - starts
+        if self.spaced:
+            # Each word with the byte before it, which is zero where a text begins.
+            data = np.concatenate([[np.uint8(0)], data])
+            data[offsets[:-1]] = 0
+            kept = np.concatenate([[False], kept])
+            kept[starts] = True
+            sizes = sizes + 1
+        else:
+            data = _FOLD[data]
+        places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[kept])]
+        ).dictionary_encode()
+        return words.dictionary.to_pylist(), words.indices.to_numpy(), np.searchsorted(starts, offsets)
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}

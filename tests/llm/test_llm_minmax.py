@@ -1,6 +1,8 @@
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import components, shingles
 
@@ -66,7 +68,6 @@ def test_signature_estimates_similarity():
 
 
 def test_shingles_of_words():
-    import pyarrow as pa
 
     texts = texts_of(pa.array(["a b c", None, "", "A  B\nC d", "b"]))
     words = words_of(texts)
@@ -77,6 +78,16 @@ def test_shingles_of_words():
     assert len(shingle_hashes(words_of(texts_of(pa.array([], pa.string()))), 2)[0]) == 0
 
 
+def test_no_two_words_share_a_hash():
+    mirror = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(1024)) for k in (0, 1)]
+    long = ["x" * n + y + "x" * (200 - n) for n in range(60, 200) for y in ("ab", "ba", "aa")]
+    names = sorted({*mirror, *long, *("".join(p) for p in itertools.product("abAB", repeat=5))})
+    for fold in (True, False):
+        hashes = words_of(texts_of(pa.array([" ".join(names)])), fold).hashes
+        assert len(hashes) == len(names)
+        assert len(set(hashes.tolist())) == len({n.lower() for n in names} if fold else names)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(3, 3), (None, 4), (60, 8), (8, 60)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "src long, dst long")).collect()}

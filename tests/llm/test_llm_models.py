@@ -154,3 +154,13 @@ def test_language_model_edge_rows(spark, monkeypatch):
     nothing = lbl.score_texts(df, F.lit(True)).collect()
     assert {(r["n_known"], r["train_tokens"]) for r in nothing} == {(0, 0)}
     assert lbl.score_texts(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_label_samples_keep_their_bound(spark):
+    rows = [(None if i % 2 else 7, f"word {i % 900} text", "en" if i % 3 else "fr") for i in range(3_000)] + [(1, "same", "de")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample = langid.labelled_sample(docs, F.lit(True), "text", "lang", "doc_id", 100)
+    assert {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == {"en": 100, "fr": 100, "de": 1}
+    chosen = spark.createDataFrame([(7, 1, 1), (8, 2, 0)], "doc_id long, h long, label int")
+    got = quality.sample_texts(docs, chosen, "doc_id", "text").collect()
+    assert [(r["h"], r["label"]) for r in got] == [(1, 1)]

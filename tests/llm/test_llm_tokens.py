@@ -1,8 +1,10 @@
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from churnlens.llm import packing, queries, tokenfiles, tokens
@@ -10,16 +12,18 @@ from churnlens.llm.packing import Limits, Piece, pack_pieces
 from churnlens.llm.text import texts_of
 from churnlens.llm.tokens import PieceEncoder, public_vocabulary
 
+#: 1,024 letters and their mirror: alike for any polynomial hash modulo a power of two.
+THUE_MORSE = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(1024)) for k in (0, 1)]
 ODD = [
     "", "a  b\n\n c   d \t e", "  lead", "trail  ", "x\x1cy z    w", "don't I'm\nwe're", "<|endoftext|> a <|startoftext|>",
     "é é ́x", "a　b c", "a\n  b", "\n  x", "a\x1f\x1f b", " ", "\n", "a\n", "a \n b", "ÀÉ ß İ THE The", "1234 5,6", "\r\n \r\n x",
+    "a text <|endoftext|> more", "x<|ENDOFTEXT|>y", "z<|startoftext|><|endoftext|>", "\x00a \x00a\n\x00a", *THUE_MORSE, " ".join(THUE_MORSE),
 ]
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
 
 
 def reference(name):
     t = Tokenizer.from_file(public_vocabulary(name))
-    t.encode_special_tokens = True
     return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -131,6 +135,38 @@ def test_three_limits_at_once(limits, last):
         assert full >= len(done) - 8
 
 
+def test_many_tiny_pieces_take_time_in_proportion():
+    pieces = [Piece(i, 0, 1 + i % 2, 0) for i in range(200_000)]
+    start = time.process_time()
+    done, _ = pack_pieces(pieces, Limits(), True)
+    assert time.process_time() - start < 60
+    assert sum(len(s) for s in done) == len({p.doc for s in done for p in s}) == 200_000
+    assert max(len(s) for s in done) == 512
+
+
+def test_prompts_without_loss(spark, data_dir):
+    """Conversations whose first turn bears no loss, under limits of which each binds."""
+    turns = spark.read.parquet(f"{data_dir}/conversations.parquet")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"]), " ")
+    docs = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
+        text.alias("text"), F.max(F.when(F.col("turn") == 0, F.size(F.split("text", " ")))).alias("prompt")
+    )
+    docs = docs.union(spark.createDataFrame([(10_000 + i, "a", 0) for i in range(40)], "doc_id long, text string, prompt int"))
+    limits = Limits(2048, 12, 500)
+    rows = docs.collect()
+    encode = reference("word_bpe_49k.json")
+    ids = {r["doc_id"]: np.array([*w, 1], "<u4") for r, w in zip(rows, encode([r["text"] for r in rows]))}
+    free = {r["doc_id"]: r["prompt"] for r in rows}
+    packed = packing.pack(docs.coalesce(1), public_vocabulary("word_bpe_49k.json"), 1, limits, silent_col="prompt")
+    pieces = packed.withColumn("ids_crc32", F.crc32("ids")).collect()
+    check_packed(pieces, ids, limits)
+    loss = {}
+    for p in pieces:
+        own = p["start"] + p["length"] - max(p["start"], min(free[p["doc_id"]], p["start"] + p["length"]))
+        loss.setdefault(p["sequence_id"], []).append(own)
+    assert max(map(sum, loss.values())) == 500 and max(map(len, loss.values())) == 12
+
+
 def test_limits_must_be_positive(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "x", 1, Limits(tokens=0))
