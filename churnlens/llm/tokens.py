@@ -1,7 +1,8 @@
 """Token ids of whole texts, at a price per distinct word.
 
 A text is cut at places where the tokenizer cuts in any case, and each distinct piece is encoded
-once per task and remembered. The pieces of a slice are told apart by their bytes.
+once per task and remembered. Pieces are found by a hash in numpy tables, so the words of a slice
+are looked up together, and then compared with the bytes remembered.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .text import joined, word_bounds
+from .text import joined, mix64, words_of
 
 KEEP_PIECES = 1_000_000
+_U64 = np.uint64
 #: What stands before a piece that keeps its white space; a zero byte stands for nothing.
 _LEAD = {0: "", 32: " ", 10: "\n"}
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -28,6 +30,77 @@ _OTHER_WHITE[[9, 11, 12, 13, 28, 29, 30, 31]] = True
 _WIDE_WHITE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions begin, begin + 1, ... of each run, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class PieceTable:
+    """Numbers of pieces by a hash: open addressing, whole arrays at a time."""
+
+    def __init__(self, size: int = 1 << 17):
+        self.mask = _U64(size - 1)
+        self.keys, self.numbers = np.zeros(size, _U64), np.full(size, -1, np.int64)
+        self.count = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """-1 for a piece that is not here."""
+        out = np.full(len(keys), -1, np.int64)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            number = self.numbers[slot]
+            have = number >= 0
+            todo, slot, number = todo[have], slot[have], number[have]
+            same = self.keys[slot] == keys[todo]
+            out[todo[same]] = number[same]
+            todo, slot = todo[~same], (slot[~same] + 1) & int(self.mask)
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Numbers new pieces in turn; none may be here already, or twice."""
+        if 2 * (self.count + len(keys)) > len(self.keys):
+            used = np.flatnonzero(self.numbers >= 0)
+            old = self.keys[used[np.argsort(self.numbers[used])]]
+            size = len(self.keys)
+            while 2 * (self.count + len(keys)) > size:
+                size *= 2
+            self.__init__(size)
+            if len(old):
+                self.add(old)
+        number = np.arange(self.count, self.count + len(keys))
+        self.count += len(keys)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            free = self.numbers[slot] < 0
+            self.numbers[slot[free]] = number[todo[free]]  # of several, the last stays
+            won = self.numbers[slot] == number[todo]
+            self.keys[slot[won]] = keys[todo[won]]
+            todo, slot = todo[~won], (slot[~won] + 1) & int(self.mask)
+
+
+class _Lists:
+    """Lists of numbers, one after the other in one array."""
+
+    def __init__(self, kind):
+        self.begins, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.items, self.count, self.used = np.zeros(1 << 18, kind), 0, 0
+
+    def add(self, items: np.ndarray, lengths: np.ndarray) -> None:
+        while self.count + len(lengths) > len(self.lengths):
+            self.begins, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.lengths))
+        while self.used + len(items) > len(self.items):
+            self.items = np.concatenate([self.items, np.zeros_like(self.items)])
+        new = slice(self.count, self.count + len(lengths))
+        self.lengths[new] = lengths
+        self.begins[new] = self.used + np.cumsum(lengths) - lengths
+        self.items[self.used : self.used + len(items)] = items
+        self.count, self.used = self.count + len(lengths), self.used + len(items)
+
+    def get(self, numbers: np.ndarray) -> np.ndarray:
+        return self.items[_runs(self.begins[numbers], self.lengths[numbers])]
+
+
 class PieceEncoder:
     """Ids of texts by one tokenizer file, as the library gives them with ``add_special_tokens``
     off: none is added, but the name of a special token in a text is that token.
@@ -50,38 +123,23 @@ class PieceEncoder:
         self._forget_all()
 
     def _forget_all(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.lengths, self.begins = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.hits = np.zeros(1 << 16, np.int64)
-        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.table, self.hits = PieceTable(), np.zeros(0, np.int64)
+        self.ids, self.raw = _Lists(np.uint32), _Lists(np.uint8)
 
     def _forget_rare(self) -> None:
-        kept = [(p, n) for p, n in self.numbers.items() if self.hits[n] > 1]
+        used = np.flatnonzero(self.table.numbers >= 0)
+        kept = used[self.hits[self.table.numbers[used]] > 1]
         if len(kept) > KEEP_PIECES // 2:
-            kept = []
-        numbers = np.array([n for _, n in kept], np.int64)
-        lengths, ids = self.lengths[numbers], self._gather(numbers)
+            kept = kept[:0]
+        keys, numbers, ids, raw = self.table.keys[kept], self.table.numbers[kept], self.ids, self.raw
         self._forget_all()
-        self._keep([p for p, _ in kept], lengths, ids)
-
-    def _gather(self, numbers: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[numbers]
-        ends = np.cumsum(lengths)
-        return self.ids[np.repeat(self.begins[numbers] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-
-    def _keep(self, pieces: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
-        n = len(self.numbers)
-        while n + len(pieces) > len(self.lengths):
-            self.lengths, self.begins, self.hits = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.lengths, self.begins, self.hits)
-            )
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.lengths[n : n + len(pieces)] = lengths
-        self.begins[n : n + len(pieces)] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.numbers.update(zip(pieces, range(n, n + len(pieces))))
+        self._keep(keys, ids.get(numbers), ids.lengths[numbers], raw.get(numbers), raw.lengths[numbers])
+
+    def _keep(self, keys, ids, id_counts, raw, raw_counts) -> None:
+        self.table.add(keys)
+        self.ids.add(ids, id_counts)
+        self.raw.add(raw, raw_counts)
+        self.hits = np.concatenate([self.hits, np.zeros(len(keys), np.int64)])
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -93,15 +151,19 @@ class PieceEncoder:
         odd = self._odd(texts) if self.spaced else np.zeros(len(texts), bool)
         for name in self.special:
             odd |= pc.match_substring(texts, name, ignore_case=True).to_numpy(zero_copy_only=False)
-        if not odd.any():
-            return self._encode_plain(texts)
-        whole, whole_counts = self._encoded(texts.filter(pa.array(odd)).to_pylist())
-        plain, plain_counts = self._encode_plain(texts.filter(pa.array(~odd)))
+        plain, counts, doubtful = self._encode_plain(texts.filter(pa.array(~odd)) if odd.any() else texts)
+        if not odd.any() and not doubtful.any():
+            return plain, counts
+        plain_counts = counts[~doubtful]
+        plain = plain[np.repeat(~doubtful, counts)]
+        whole = odd.copy()
+        whole[~odd] = doubtful
+        own, own_counts = self._encoded(texts.filter(pa.array(whole)).to_pylist())
         counts = np.zeros(len(texts), np.int64)
-        counts[odd], counts[~odd] = whole_counts, plain_counts
+        counts[whole], counts[~whole] = own_counts, plain_counts
         ids = np.empty(int(counts.sum()), np.uint32)
-        of_odd = np.repeat(odd, counts)
-        ids[of_odd], ids[~of_odd] = whole, plain
+        of_whole = np.repeat(whole, counts)
+        ids[of_whole], ids[~of_whole] = own, plain
         return ids, counts
 
     def _odd(self, texts: pa.Array) -> np.ndarray:
@@ -117,41 +179,42 @@ class PieceEncoder:
         out = np.add.reduceat(bad, begins) > 0 if len(begins) else np.zeros(0, bool)
         return out | pc.match_substring_regex(texts, _WIDE_WHITE).to_numpy(zero_copy_only=False)
 
-    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.numbers) > KEEP_PIECES:
+    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, how many each text has, and which texts hold a word whose hash is another's."""
+        if self.table.count > KEEP_PIECES:
             self._forget_rare()
-        pieces, which, bounds = self._pieces(texts)
-        numbers = np.fromiter((self.numbers.get(p, -1) for p in pieces), np.int64, len(pieces))
-        missing = np.flatnonzero(numbers < 0)
-        if len(missing):
-            new = [pieces[i] for i in missing.tolist()]
-            numbers[missing] = np.arange(len(self.numbers), len(self.numbers) + len(new))
-            ids, lengths = self._encoded([_LEAD[p[0]] + p[1:].decode() if self.spaced else p.decode() for p in new])
-            self._keep(new, lengths, ids)
-        self.hits[numbers] += np.bincount(which, minlength=len(pieces))
-        numbers = numbers[which]
-        ends = np.concatenate([[0], np.cumsum(self.lengths[numbers])])
-        return self._gather(numbers), np.diff(ends[bounds])
-
-    def _pieces(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Distinct pieces, the piece of each word, and where each text's words begin (and the end)."""
-        data, offsets = joined(texts)
-        starts, ends, white = word_bounds(data)
-        kept, sizes = ~white, ends - starts
+        words = words_of(texts, fold=not self.spaced)
+        begins, lengths = words.starts, words.ends - words.starts
+        keys, data = words.hashes, words.data
         if self.spaced:
             # Each word with the byte before it, which is zero where a text begins.
             data = np.concatenate([[np.uint8(0)], data])
-            data[offsets[:-1]] = 0
-            kept = np.concatenate([[False], kept])
-            kept[starts] = True
-            sizes = sizes + 1
+            data[begins[words.first[:-1][words.counts > 0]]] = 0
+            keys, lengths = mix64(keys + data[begins] + _U64(1)), lengths + 1
         else:
             data = _FOLD[data]
-        places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        words = pa.Array.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[kept])]
-        ).dictionary_encode()
-        return words.dictionary.to_pylist(), words.indices.to_numpy(), np.searchsorted(starts, offsets)
+        numbers = self.table.find(keys)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new_keys, once = np.unique(keys[missing], return_index=True)
+            new = missing[once]
+            raw = data[_runs(begins[new], lengths[new])]
+            text, ends = raw.tobytes(), np.cumsum(lengths[new]).tolist()
+            pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
+            ids, id_counts = self._encoded([_LEAD[p[0]] + p[1:].decode() if self.spaced else p.decode() for p in pieces])
+            self._keep(new_keys, ids, id_counts, raw, lengths[new])
+            numbers[missing] = self.table.find(keys[missing])
+        np.add.at(self.hits, numbers, 1)
+        # The bytes decide: a text with a word that only shares its hash is encoded as it is.
+        alike = self.raw.lengths[numbers] == lengths
+        sure = np.flatnonzero(alike)
+        if len(sure):
+            equal = self.raw.get(numbers[sure]) == data[_runs(begins[sure], lengths[sure])]
+            alike[sure] = np.logical_and.reduceat(equal, np.cumsum(lengths[sure]) - lengths[sure])
+        doubtful = np.zeros(len(texts), bool)
+        doubtful[words.docs[~alike]] = True
+        ends = np.concatenate([[0], np.cumsum(self.ids.lengths[numbers])])
+        return self.ids.get(numbers), np.diff(ends[words.first]), doubtful
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}

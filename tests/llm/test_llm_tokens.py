@@ -41,6 +41,21 @@ def test_pieces_encode_like_whole_texts(spark, data_dir, monkeypatch, name, spac
     assert own.encode(texts_of(pa.array([], pa.string())))[1].tolist() == []
 
 
+@pytest.mark.parametrize("name,spaced", FILES)
+def test_words_that_share_a_hash_keep_their_own_ids(monkeypatch, name, spaced):
+    def few(texts, fold=True, words_of=tokens.words_of):
+        words = words_of(texts, fold)
+        words.hashes %= np.uint64(7)
+        return words
+
+    monkeypatch.setattr(tokens, "words_of", few)
+    texts = ODD + ["one two three four five", "six seven", "", "eight nine ten eleven"]
+    own = PieceEncoder(public_vocabulary(name), spaced)
+    for _ in range(2):
+        ids, counts = own.encode(texts_of(pa.array(texts)))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == reference(name)(texts)
+
+
 def test_ranks_round_trip():
     rng = np.random.default_rng(1)
     counts = np.array([0, 1, 4, 5, 0, 1_000, 3])
