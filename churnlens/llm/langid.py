@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -156,7 +157,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text", max_rows=_ROWS):
             counts = ngram_counts(texts_of(part.column("text"))).astype(np.uint32)
             yield pa.RecordBatch.from_pydict(
-                {"lang": part.column("lang"), "counts": pa.array([c.tobytes() for c in counts], pa.binary())}
+                {"lang": part.column("lang"), "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in counts], pa.binary())}
             )
 
 
@@ -186,11 +187,14 @@ def train(docs: DataFrame, learn: Column, text: str = "text", label: str = "lang
     null or repeated; rows with a null label or a text without letters are left out. Texts count
     whole. A label is any string."""
     sample = labelled_sample(docs, learn, text, label, key, per_language)
-    got = sample.mapInArrow(_counter, "lang string, counts binary").toArrow()
-    counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.uint32).reshape(-1, FEATURES)
-    labels = got.column("lang").to_pylist()
-    order = sorted(range(len(labels)), key=lambda i: (counts[i].tobytes(), labels[i]))
-    return fit(counts[order], [labels[i] for i in order])
+    # Most counts are zero, so they travel compressed.
+    got = [(zlib.decompress(r["counts"]), r["lang"]) for r in sample.mapInArrow(_counter, "lang string, counts binary").collect()]
+    got.sort()
+    counts, labels = np.empty((len(got), FEATURES), np.uint32), [label for _, label in got]
+    for i in range(len(got)):
+        counts[i] = np.frombuffer(got[i][0], np.uint32)
+        got[i] = None
+    return fit(counts, labels)
 
 
 def _labeller(model, text: str, columns: list[str]):
