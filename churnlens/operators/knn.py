@@ -6,6 +6,13 @@ groups can hold a neighbour of a query, and only those blocks meet. Blocks trave
 each task keeps the best k rows per query over all its pairs of blocks, so pairs of rows are never
 shuffled.
 (The idea is the partition-based kNN join of Lu, Shen, Chen and Ooi, VLDB 2012.)
+
+In many dimensions the pivots tell little. There a sample of the training rows bounds each query's
+k-th distance from above, and partial distances bound all others from below: in coordinates
+rotated to the axes of the sample's spread, the distance in the leading ones and the difference of
+the lengths of what remains never exceed the whole distance. Rows that these bounds leave out
+are not measured, and a pair of blocks without any other is skipped. The sample decides only how much is
+left out, never the result.
 """
 
 from __future__ import annotations
@@ -26,6 +33,11 @@ from .split import sample_n
 
 # Pivots grow with the square root of the number of training blocks.
 PIVOTS_PER_ROOT = 8
+# Training rows that bound each query's k-th distance, and numbers they may hold in all.
+SAMPLE_ROWS, SAMPLE_VALUES = 4_096, 4_000_000
+# Share of the sample's spread that the leading coordinates should hold, and of the coordinates they
+# may be; share of pairs below which pairs are measured one by one and not as a product.
+LEADING_SHARE, LEADING_MOST, SPARSE = 0.9, 0.25, 0.1
 # Query blocks that one copy of a training block may meet before it is copied again.
 BLOCKS_PER_COPY = 64
 
@@ -42,11 +54,7 @@ def knn_classify(
     """(key, prediction): the majority label of the k nearest training rows by Euclidean
     distance. Equal distances go to the smaller key, equal votes to the smaller label.
     ``vector`` is an array<double>; ``key`` is unique. Rows whose vector is NULL or holds NULL,
-    NaN or infinity are nobody's neighbours and get no prediction.
-
-    In many dimensions no exact method prunes: on the 64-dimensional test vectors every query
-    reaches every cell, so all blocks meet. What is then bounded is the traffic: k rows per query
-    and task leave the search."""
+    NaN or infinity are nobody's neighbours and get no prediction."""
     nearest = knn_neighbours(train, queries, key, vector, label, k, block_rows)
     votes = nearest.groupBy(key, "label").agg(F.count("*").alias("votes"))
     return votes.groupBy(key).agg(
@@ -65,6 +73,39 @@ def knn_neighbours(
 ) -> DataFrame:
     """(key, neighbour, label, distance), the k nearest training rows of each query row."""
     key_type = dict(train.dtypes)[key]
+    shape = f"`{key}` {key_type}, neighbour {key_type}, label int, distance double"
+    found = _meetings(train, queries, key, vector, label, k, block_rows)
+    if found is None:
+        return queries.sparkSession.createDataFrame([], shape)
+    pairs, axes = found
+    best = Window.partitionBy(key).orderBy("distance", "neighbour")
+    near = pairs.mapInArrow(partial(_search, k=k, axes=axes), shape)
+    return near.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k).drop("_rank")
+
+
+def search_effort(
+    train: DataFrame,
+    queries: DataFrame,
+    key: str,
+    vector: str,
+    label: str,
+    k: int,
+    block_rows: int = 2_048,
+) -> DataFrame:
+    """One row: pairs of blocks that meet, those skipped whole, pairs of rows in them and pairs of rows
+    whose distance is measured in all coordinates. Pairs that the pivots keep apart never meet."""
+    shape = "blocks long, skipped long, pairs long, measured long"
+    found = _meetings(train, queries, key, vector, label, k, block_rows)
+    if found is None:
+        return queries.sparkSession.createDataFrame([(0, 0, 0, 0)], shape)
+    pairs, axes = found
+    counted = pairs.mapInArrow(partial(_search, k=k, axes=axes, effort=True), shape)
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted.columns])
+
+
+def _meetings(train, queries, key, vector, label, k, block_rows):
+    """The pairs of blocks to search and the axes of the sample; None where a side has no rows."""
+    key_type = dict(train.dtypes)[key]
     train = train.select(
         F.col(key).alias("id"), F.col(label).cast("int").alias("label"), F.col(vector).alias("vec")
     )
@@ -72,17 +113,20 @@ def knn_neighbours(
 
     usable = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     train, queries = train.where(usable), queries.where(usable)
-    n_pivots = max(1, math.ceil(math.sqrt(train.count() / block_rows) * PIVOTS_PER_ROOT))
-    pivots = np.array([r["vec"] for r in sample_n(train, "id", n_pivots).collect()], dtype=float)
-    if not len(pivots):
-        return _no_neighbours(queries, key, key_type)
+    rows, width = train.agg(F.count("*"), F.max(F.size("vec"))).first()
+    if not rows:
+        return None
+    n_pivots = max(1, math.ceil(math.sqrt(rows / block_rows) * PIVOTS_PER_ROOT))
+    taken = max(n_pivots, min(SAMPLE_ROWS, SAMPLE_VALUES // max(1, width)))
+    sample = np.array([r["vec"] for r in sample_n(train, "id", taken).collect()], dtype=float)
+    pivots = sample[:n_pivots]
     placed = f"id {key_type}, label int, vec array<double>, cell int, distance double"
     train = _stage(train.mapInArrow(partial(_place, pivots=pivots), placed), "knn-train")
     train_cells = _cell_sizes(train, k)
     placed_queries = _stage(
         queries.mapInArrow(
-            partial(_place_queries, pivots=pivots, cells=train_cells, k=k),
-            placed + ", reach array<int>",
+            partial(_place_queries, pivots=pivots, cells=train_cells, k=k, sample=sample),
+            placed + ", bound double, reach array<int>",
         ),
         "knn-queries",
     )
@@ -90,31 +134,36 @@ def knn_neighbours(
         r["cell"]: r["n"] for r in placed_queries.groupBy("cell").agg(F.count("*").alias("n")).collect()
     }
     if not query_sizes:
-        return _no_neighbours(queries, key, key_type)
+        return None
 
     train_subs = {c: math.ceil(s["n"] / block_rows) for c, s in train_cells.items()}
     query_subs = {c: math.ceil(n / block_rows) for c, n in query_sizes.items()}
     copies = _copies(placed_queries, query_subs)
 
-    train_blocks = (
-        _blocks(train, train_subs, [])
-        .select("cell", "sub", *[F.col(c).alias(f"t_{c}") for c in ("ids", "labels", "vecs")])
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), _number_of("cell", copies) - 1)))
-    )
+    train_blocks = _numbered(
+        _blocks(train, train_subs).select("cell", "sub", *[F.col(c).alias(f"t_{c}") for c in ("ids", "labels", "vecs")]),
+        copies,
+    ).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
     query_blocks = (
-        _blocks(placed_queries, query_subs, ["reach"])
+        _blocks(placed_queries, query_subs, bounds=F.col("rows.bound"), reach=F.array_distinct(F.flatten("rows.reach")))
         .withColumn("spread", F.xxhash64("cell", "sub"))
-        .select("ids", "vecs", "spread", F.explode("reach").alias("cell"))
-        .withColumn("copy", F.pmod("spread", _number_of("cell", copies)).cast("int"))
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), _number_of("cell", train_subs) - 1)))
+        .select("ids", "vecs", "bounds", "spread", F.explode("reach").alias("cell"))
     )
-    pairs = query_blocks.join(train_blocks, ["cell", "sub", "copy"])
-    found = pairs.select("ids", "vecs", "t_ids", "t_labels", "t_vecs").mapInArrow(
-        partial(_search, k=k, width=pivots.shape[1]),
-        f"`{key}` {key_type}, neighbour {key_type}, label int, distance double",
+    query_blocks = _numbered(query_blocks, copies).withColumn("copy", F.pmod("spread", "number").cast("int"))
+    query_blocks = _numbered(query_blocks, train_subs).withColumn(
+        "sub", F.explode(F.sequence(F.lit(0), F.col("number") - 1))
     )
-    best = Window.partitionBy(key).orderBy("distance", "neighbour")
-    return found.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k).drop("_rank")
+    pairs = query_blocks.drop("number").join(train_blocks.drop("number"), ["cell", "sub", "copy"])
+    return pairs.select("spread", "ids", "vecs", "bounds", "t_ids", "t_labels", "t_vecs"), _axes(sample)
+
+
+def _axes(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Centre of the sample, its axes by falling spread, and how many of them lead."""
+    centre = sample.mean(axis=0)
+    spread, axes = np.linalg.eigh((sample - centre).T @ (sample - centre))
+    share = np.cumsum(np.maximum(spread[::-1], 0))
+    leading = int(np.searchsorted(share, LEADING_SHARE * share[-1])) + 1
+    return centre, axes[:, ::-1], min(leading, math.ceil(LEADING_MOST * len(centre)))
 
 
 def _stage(df: DataFrame, name: str) -> DataFrame:
@@ -122,15 +171,12 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return sink_stage_table(df, new_work_path(df.sparkSession, name))
 
 
-def _no_neighbours(queries: DataFrame, key: str, key_type: str) -> DataFrame:
-    return queries.sparkSession.createDataFrame(
-        [], f"`{key}` {key_type}, neighbour {key_type}, label int, distance double"
-    )
-
-
-def _number_of(cell: str, numbers: dict[int, int]):
-    table = F.array(*[F.lit(numbers.get(c, 1)) for c in range(max(numbers) + 1)])
-    return F.element_at(table, F.col(cell) + 1)
+def _numbered(df: DataFrame, numbers: dict[int, int]) -> DataFrame:
+    """``df`` with the number of its cell, 1 if none is given. A row per pivot is broadcast."""
+    columns = pa.array(numbers.keys(), pa.int32()), pa.array(numbers.values(), pa.int32())
+    listed = df.sparkSession.createDataFrame(pa.Table.from_arrays(columns, ["cell", "number"]))
+    joined = df.drop("number").join(F.broadcast(listed), "cell", "left")
+    return joined.withColumn("number", F.coalesce("number", F.lit(1)))
 
 
 def _cell_sizes(train: DataFrame, k: int) -> dict[int, dict[str, float]]:
@@ -154,31 +200,29 @@ def _copies(queries: DataFrame, query_subs: dict[int, int]) -> dict[int, int]:
     """Copies of a cell's blocks, by the number of query blocks that will visit them. At most
     pivots x pivots distinct pairs are summed up, and a row per pivot comes back."""
     visits = (
-        queries.select("cell", F.explode("reach").alias("reached"))
-        .distinct()
+        _numbered(queries.select("cell", F.explode("reach").alias("reached")).distinct(), query_subs)
         .groupBy("reached")
-        .agg(F.sum(_number_of("cell", query_subs)).alias("blocks"))
+        .agg(F.sum("number").alias("blocks"))
     )
     return {r["reached"]: math.ceil(r["blocks"] / BLOCKS_PER_COPY) for r in visits.collect()}
 
 
-def _blocks(placed: DataFrame, subs: dict[int, int], extra: list[str]) -> DataFrame:
+def _blocks(placed: DataFrame, subs: dict[int, int], **extra) -> DataFrame:
     """Rows packed into arrays in key order, about ``block_rows`` at a time."""
-    sub = F.pmod(F.xxhash64("id"), _number_of("cell", subs)).cast("int")
     packed = (
-        placed.withColumn("sub", sub)
+        _numbered(placed, subs)
+        .withColumn("sub", F.pmod(F.xxhash64("id"), "number").cast("int"))
         .groupBy("cell", "sub")
-        .agg(F.array_sort(F.collect_list(F.struct("id", "label", "vec", *extra))).alias("rows"))
+        .agg(F.array_sort(F.collect_list(F.struct("id", "label", "vec", *(c for c in ("bound", "reach") if c in placed.columns)))).alias("rows"))
     )
-    out = packed.select(
+    return packed.select(
         "cell",
         "sub",
         F.col("rows.id").alias("ids"),
         F.col("rows.label").alias("labels"),
         F.flatten("rows.vec").alias("vecs"),
-        *[F.array_distinct(F.flatten(f"rows.{c}")).alias(c) for c in extra],
+        *[value.alias(name) for name, value in extra.items()],
     )
-    return out
 
 
 # -- inside the tasks ---------------------------------------------------------------------
@@ -213,8 +257,22 @@ def _place(batches: Iterator[pa.RecordBatch], pivots: np.ndarray) -> Iterator[pa
             yield _with(batch, **_placement(_to_pivots(batch, pivots)))
 
 
-def _place_queries(batches, pivots, cells, k):
-    """Adds the cells that may hold one of the k nearest training rows."""
+def _products(q: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances in product form, and what rounding may add to a row of them."""
+    sizes = (q**2).sum(axis=1)[:, None] + (t**2).sum(axis=1)[None, :]
+    return sizes - 2 * (q @ t.T), 1e-12 * sizes.max(axis=1) + 1e-300
+
+
+def _sample_bound(x: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """What the k-th distance of each row cannot exceed."""
+    if len(sample) < k:
+        return np.full(len(x), np.inf)
+    rough, slack = _products(x, sample)
+    return np.sqrt(np.maximum(np.partition(rough, k - 1, axis=1)[:, k - 1] + slack, 0))
+
+
+def _place_queries(batches, pivots, cells, k, sample):
+    """Adds the cells that may hold one of the k nearest training rows, and a bound of the k-th distance."""
     names = np.array(sorted(cells))
     n = np.array([cells[c]["n"] for c in names], dtype=float)
     low = np.array([cells[c]["low"] for c in names])
@@ -235,43 +293,85 @@ def _place_queries(batches, pivots, cells, k):
         whole = np.take_along_axis(far, np.take_along_axis(order, first[:, None], 1), 1)[:, 0]
         bound = np.minimum(bound, np.where(enough[:, -1], whole, np.inf))
         nearest = np.maximum(d - high, low - d)
-        reach = nearest <= (bound * (1 + 1e-9) + 1e-9)[:, None]
+        x = _vectors(batch.column("vec"), batch.num_rows)
+        parts = [_sample_bound(x[i : i + 1_024], sample, k) for i in range(0, len(x), 1_024)]
+        bound = np.minimum(bound, np.concatenate(parts)) * (1 + 1e-9) + 1e-9
+        reach = nearest <= bound[:, None]
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], reach.sum(axis=1).cumsum()]).astype(np.int32)),
             pa.array(names[np.nonzero(reach)[1]].astype(np.int32)),
         )
-        yield _with(batch, **_placement(all_distances), reach=lists)
+        yield _with(batch, **_placement(all_distances), bound=pa.array(bound), reach=lists)
 
 
 HELD_ROWS = 2_000_000
 
 
-def _search(batches, k, width):
+def _search(batches, k, axes, effort=False):
     """The k nearest rows of each query over all pairs of blocks of the task. What is held is
     bounded: beyond it the best so far are sent on and the search starts anew."""
-    held: dict[tuple, tuple[np.ndarray, ...]] = {}
-    size = 0
+    held: dict[int, tuple] = {}
+    size, counts = 0, np.zeros(4, np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
-            q_ids, t_ids = batch.column("ids")[i].values, batch.column("t_ids")[i].values
-            q = batch.column("vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
-            t = batch.column("t_vecs")[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
+            block = batch.column("spread")[i].as_py()
+            names = _names(batch.column("t_ids")[i].values)
+            q_ids = batch.column("ids")[i].values
+            q, t = (_matrix(batch.column(c)[i].values, len(axes[0])) for c in ("vecs", "t_vecs"))
             labels = batch.column("t_labels")[i].values.to_numpy()
-            names = np.array(t_ids.to_pylist())
-            block = tuple(q_ids.to_pylist())
+            bound = batch.column("bounds")[i].values.to_numpy(zero_copy_only=False)
+            parts = []
+            if block in held:
+                parts.append(held.pop(block)[1])
+                size -= len(parts[0][0])
+                bound = _tightened(bound, parts[0], k)
+            q_low, t_low = _lowered(q, axes), _lowered(t, axes)
             # Some query rows at a time, to bound the distance matrix.
             step = max(1, 4_000_000 // max(1, len(t)))
-            parts = [held.pop(block)] if block in held else []
-            size -= sum(len(x[0]) for x in parts)
+            measured = 0
             for start in range(0, len(q), step):
-                rows, cols, distance = _nearest(q[start : start + step], t, k)
+                part = slice(start, start + step)
+                rows, cols, distance, n = _nearest(q[part], t, k, bound[part], q_low[part], t_low)
                 parts.append((rows + start, names[cols], labels[cols], distance))
-            held[block] = _best(parts, k)
-            size += len(held[block][0])
+                measured += n
+            counts += [1, measured == 0, len(q) * len(t), measured]
+            held[block] = q_ids, _best(parts, k)
+            size += len(held[block][1][0])
             if size > HELD_ROWS:
-                yield from _send(held)
+                if not effort:
+                    yield from _send(held)
                 held, size = {}, 0
-    yield from _send(held)
+    if effort:
+        columns = ["blocks", "skipped", "pairs", "measured"]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in counts.tolist()], names=columns)
+    else:
+        yield from _send(held)
+
+
+def _names(ids: pa.Array) -> np.ndarray:
+    found = ids.to_numpy(zero_copy_only=False)
+    return found.astype(str) if found.dtype == object else found
+
+
+def _matrix(values: pa.Array, width: int) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _lowered(x: np.ndarray, axes: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """Leading coordinates and the length of the rest: no distance grows by this."""
+    centre, directions, leading = axes
+    turned = (x - centre) @ directions
+    return np.column_stack([turned[:, :leading], np.linalg.norm(turned[:, leading:], axis=1)])
+
+
+def _tightened(bound: np.ndarray, best: tuple, k: int) -> np.ndarray:
+    """Bounds of the query rows, by the k-th distance of those that have k neighbours already."""
+    rows, distance = best[0], best[3]
+    last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True)) if len(rows) else np.zeros(0, int)
+    full = last[last - np.searchsorted(rows, rows[last]) == k - 1]
+    bound = bound.copy()
+    bound[rows[full]] = np.minimum(bound[rows[full]], distance[full] * (1 + 1e-9) + 1e-9)
+    return bound
 
 
 def _best(parts, k):
@@ -283,24 +383,30 @@ def _best(parts, k):
 
 
 def _send(held):
-    for block, (rows, names, labels, distance) in held.items():
-        columns = [[block[i] for i in rows], names.tolist(), labels, distance]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["query", "neighbour", "label", "distance"]
-        )
-
-
-def _nearest(q: np.ndarray, t: np.ndarray, k: int):
-    """(query row, training row, distance) of the k nearest; equals by training position."""
-    sizes = (q**2).sum(axis=1)[:, None] + (t**2).sum(axis=1)[None, :]
-    rough = sizes - 2 * (q @ t.T)
-    if k < len(t):
-        # The product form rounds. What it might have misplaced is measured again below.
-        cut = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        slack = 1e-12 * sizes.max(axis=1) + 1e-300
-        rows, cols = np.nonzero(rough <= (cut + slack)[:, None])
+    for q_ids, (rows, names, labels, distance) in held.values():
+        columns = [q_ids.take(pa.array(rows)), pa.array(names), pa.array(labels), pa.array(distance)]
+        yield pa.RecordBatch.from_arrays(columns, names=["query", "neighbour", "label", "distance"])
+
+
+def _nearest(q, t, k, bound, q_low, t_low):
+    """(query row, training row, distance, pairs measured) of the k nearest within the bounds;
+    equals by training position."""
+    limit = bound**2
+    low, _ = _products(q_low, t_low)
+    slack = 1e-11 * ((q**2).sum(axis=1) + (t**2).sum(axis=1).max(initial=0)) + 1e-300
+    near = low <= (limit + slack)[:, None]
+    measured = int(np.count_nonzero(near))
+    if measured < SPARSE * near.size:
+        rows, cols = np.nonzero(near)
     else:
-        rows, cols = (x.ravel() for x in np.indices(rough.shape))
+        some_q, some_t = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        rough, slack = _products(q[some_q], t[some_t])
+        measured, cut = rough.size, limit[some_q]
+        if k < len(some_t):
+            # The product form rounds. What it might have misplaced is measured again below.
+            cut = np.minimum(cut, np.partition(rough, k - 1, axis=1)[:, k - 1])
+        rows, cols = np.nonzero(rough <= (cut + slack)[:, None])
+        rows, cols = some_q[rows], some_t[cols]
     distance = np.empty(len(rows))
     for start in range(0, len(rows), 100_000):
         part = slice(start, start + 100_000)
@@ -309,7 +415,7 @@ def _nearest(q: np.ndarray, t: np.ndarray, k: int):
     rows, cols, distance = rows[order], cols[order], distance[order]
     rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
     keep = rank < k
-    return rows[keep], cols[keep], distance[keep]
+    return rows[keep], cols[keep], distance[keep], measured
 
 
 # Tasks get these functions by value, so executors need no installed copy of the package.

@@ -70,3 +70,27 @@ def test_fewer_rows_than_neighbours(spark):
     assert knn.knn_classify(df, q, "id", "v", "y", 2).first()["prediction"] == 0
     assert knn.knn_classify(df, q, "id", "v", "y", 1).first()["prediction"] == 1
     assert knn.knn_classify(df.limit(0), q, "id", "v", "y", 1).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.8, 0.0])
+def test_many_dimensions(spark, spread):
+    """Where the pivots tell nothing, partial distances leave out most rows; neighbours stay exact."""
+    rng = np.random.default_rng(3)
+    scale = spread ** np.arange(48) if spread else np.ones(48)
+    points = np.concatenate([rng.normal(0, 1, (900, 48)) * scale, np.ones((300, 48))])
+    df = spark.createDataFrame([(i, 0, p.tolist()) for i, p in enumerate(points)], "id long, y int, v array<double>")
+    is_query = F.col("id") % 6 == 0
+    args = df.where(~is_query), df.where(is_query), "id", "v", "y", 5, 100
+    found = knn.knn_neighbours(*args).toPandas()
+    got = {q: g.sort_values(["distance", "neighbour"]).neighbour.tolist() for q, g in found.groupby("id")}
+    ids = np.arange(len(points))
+    assert got == {q: brute(points, ids[ids % 6 != 0], q, 5) for q in ids[ids % 6 == 0]}
+    effort = knn.search_effort(*args).first()
+    assert 0 < effort["measured"] <= effort["pairs"] <= 200 * 1000
+    if spread:
+        assert effort["measured"] < 0.5 * effort["pairs"]
+
+
+def test_effort_without_rows(spark):
+    df = spark.createDataFrame([(1, 0, [0.0])], "id long, y int, v array<double>")
+    assert knn.search_effort(df.limit(0), df, "id", "v", "y", 1).first() == (0, 0, 0, 0)
