@@ -2,9 +2,13 @@
 
 Markup is stripped to one line per block of the page. Menus, adverts and the like leave empty
 lines in their place. The lengths of the lines are summed over a sliding window: where the sum
-surges from nothing a segment begins, where it dives to nothing the segment ends. Segments that
-lie in the page's article element are kept whole; in a page without one, those whose peak comes
-near the highest peak of the page.
+surges from nothing a segment begins, where it dives to nothing the segment ends. Lines that are
+links for the most part have no length, in an article element only where ``WINDOW`` or more follow each other.
+
+A segment is text if its peak comes near the median line of the page or the highest peak,
+whichever is less. An article element is evidence: where its highest window is no small share of
+the page's, its segments need no height and others do not count. A teaser with the text beside it
+is outweighed, and all segments of the page are compared.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 WINDOW = 3
-PEAK_SHARE = 0.25
+PEAK_SHARE = 0.25  # of the highest window
+MEDIAN_SHARE = 0.5  # of the median line
 
 # Elements of HTML by their role.
 RAW_TEXT = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -36,14 +41,25 @@ SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
     "toolbar".split()
 )
+# Elements within a line; their class names say nothing about the block.
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code data del dfn em font i img kbd mark q s samp small span strong sub "
+    "sup time tt u var wbr".split()
+)
 # Words in class or id names that mark what is no part of an article.
 SKIPPED_NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion "
     "banner nav navbar navigation navi menu topnav sidenav sidebar aside footer cookie cookies "
     "consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup share "
-    "sharing social related recommended recommendations comment comments disqus respond reply "
+    "sharing social related recommended recommendations comment comments feedback disqus respond reply "
     "replies breadcrumb breadcrumbs pagination pager widget toolbar masthead".split()
 )
+# Words that add nothing to such a word in a class or id name.
+COMPANIONS = frozenset(
+    "a area bar block body bottom box button buttons center col column container content form group "
+    "inner item items js left link links list main outer page post posts primary reader readers right row section "
+    "secondary site slot story the top unit user users wrap wrapper".split()
+)
 PAGE_HEADERS = frozenset("header masthead banner".split())
 
 _TOKEN = re.compile(
@@ -53,7 +69,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTR = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAME_PARTS = re.compile(r"[a-z0-9]+")
+_NAME_PARTS = re.compile(r"[a-z]+")
 _HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 
 
@@ -74,8 +90,20 @@ def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
         return True
     if name in ("html", "body", "main", "article"):
         return name == "article" and bool({"comment", "comments", "ad", "promo"} & set(_NAME_PARTS.findall(given.get("class", ""))))
-    parts = set(_NAME_PARTS.findall(f"{given.get('class', '')} {given.get('id', '')}"))
-    return bool(parts & SKIPPED_NAMES) or (not in_article and bool(parts & PAGE_HEADERS))
+    if name in INLINE:
+        return False
+    return any(_names_boilerplate(word, in_article) for word in f"{given.get('class', '')} {given.get('id', '')}".split())
+
+
+def _names_boilerplate(word: str, in_article: bool) -> bool:
+    """Whether a class or id name marks boilerplate: all its parts do so, or add nothing to one that
+    does ("ad-slot", not "notice-period"). Outside articles the last part is enough ("acme-footer")."""
+    parts = _NAME_PARTS.findall(word)
+    listed = SKIPPED_NAMES if in_article else SKIPPED_NAMES | PAGE_HEADERS
+    marks = [part in listed for part in parts]
+    if not any(marks):
+        return False
+    return all(mark or part in COMPANIONS for mark, part in zip(marks, parts)) or (not in_article and marks[-1])
 
 
 class _Lines:
@@ -149,6 +177,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             lines.end_block(articles > 0)
             links = 0
             if container:
+                lines.gap()
                 seen_article |= not closing
                 articles = max(0, articles - 1) if closing else articles + 1
         elif name == "br":
@@ -174,22 +203,39 @@ def segments(weights: list[int], window: int = WINDOW) -> Iterator[tuple[int, in
             begin, peak = None, 0
 
 
+def _article_lengths(rows: list[tuple[str, int, bool]]) -> list[int]:
+    """Lengths of the lines in articles; ``WINDOW`` or more lines of links on end count nothing."""
+    lengths, run = [], 0
+    for line, weight, article in rows:
+        run = run + 1 if article and line and not weight else 0
+        lengths.append(len(line) if article else 0)
+        if run == WINDOW:
+            lengths[-WINDOW:] = [0] * WINDOW
+        elif run > WINDOW:
+            lengths[-1] = 0
+    return lengths
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks joined by an empty line, '' if there is none."""
     rows = page_lines(page or "")
-    inside = any(article and line for line, _, article in rows)
-    if inside:
-        weights = [len(line) if article else 0 for line, _, article in rows]
-    else:
-        weights = [weight for _, weight, _ in rows]
+    weights = [weight for _, weight, _ in rows]
     found = list(segments(weights))
-    least = 0 if inside else PEAK_SHARE * max((peak for _, _, peak in found), default=0)
+    highest = max((peak for _, _, peak in found), default=0)
+    declared = list(segments(_article_lengths(rows)))
+    trusted = bool(declared) and max(peak for _, _, peak in declared) >= PEAK_SHARE * highest
+    if trusted:
+        found, least = declared, 0
+    else:
+        lengths = sorted(filter(None, weights))
+        median = lengths[len(lengths) // 2] if lengths else 0
+        least = min(PEAK_SHARE * highest, MEDIAN_SHARE * median)
     kept = [
         line
         for begin, end, peak in found
         if peak >= least
         for line, _, article in rows[begin:end]
-        if line and (article or not inside)
+        if line and (article or not trusted)
     ]
     return "\n\n".join(kept)
 

@@ -23,6 +23,38 @@ def test_page_without_article_element():
     assert main_text(page) == f"{(P * 3).strip()}\n\n{P.strip()}"
 
 
+def test_segments_of_unequal_size():
+    """One long paragraph between two adverts does not outweigh the paragraphs around."""
+    ad = "<div class=advert><p>Buy now</p></div>"
+    page = f"<body><ul><li><a>m</a><li><a>n</a></ul><p>{P}</p>{ad}<p>{P * 40}</p>{ad}<p>{P}</p><div id=acme-footer>{P}</div>"
+    assert main_text(page).split("\n\n") == [P.strip(), (P * 40).strip(), P.strip()]
+
+
+def test_class_names_inside_an_article():
+    page = (
+        f"<article><p class='notice-period'>{P}</p><p>The market <span class='share'>share</span> fell.</p>"
+        "<div class='share-buttons'>x</div><div class='ad-slot-2'>y</div>"
+        f"<ul><li><a>a</a><li><a>b</a><li><a>c</a><li><a>d</a></ul><p>End.</p><section class='user-feedback'><p>{P}</p></section></article>"
+    )
+    assert main_text(page).split("\n\n") == [P.strip(), "The market share fell.", "End."]
+    assert main_text("<article><p>End.</p><ul><li><a>a</a><li><a>b</a><li><a>c</a></ul></article>") == "End."
+    assert main_text("<article><p>In</p><ul><li><a>a</a><li><a>b</a></ul><p>End.</p></article>") == "In\n\na\n\nb\n\nEnd."
+
+
+def test_teaser_as_article():
+    teaser = "<article><p>Read on</p></article>"
+    assert main_text(f"<body>{teaser}<div><p>{P * 9}</p><p>{P}</p></div>") == f"{(P * 9).strip()}\n\n{P.strip()}"
+    assert main_text(f"<body><article><p>{P * 3}</p></article><div><p>{P * 9}</p></div>") == (P * 3).strip()
+
+
+def test_pages_without_article_like_those_with(spark, data_dir):
+    """The given pages with the article element renamed: the windows alone find the same text."""
+    pages = [r["html"] for r in spark.read.parquet(f"{data_dir}/pages.parquet").collect()]
+    plain = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in pages]
+    want, got = [main_text(p) for p in pages], [main_text(p) for p in plain]
+    assert sum(a == b for a, b in zip(want, got)) >= 0.98 * len(pages)
+
+
 def test_surge_and_dive_points():
     assert list(segments([0, 5, 0, 0, 7, 0, 0, 0, 2])) == [(1, 5, 7), (8, 9, 2)]
     assert list(segments([])) == [] and list(segments([0, 0])) == []
