@@ -8,6 +8,10 @@ A window that a document holds several times (variants of one template) keeps al
 where the first of each do not agree, the item's own values, the stretches of the document of the
 item's length and the best fitting values of all are tried.
 
+Names are known by their capitals, which a copy in lower or upper case lacks. So each item is looked
+for a second time with its names as plain words, case aside: by its windows that hold a name, or
+by all if none does. Windows between other names are thus no evidence there.
+
 A bitmap of fixed size over the items' window hashes goes to all tasks and lets through every
 window that can match; the rest never leaves the task.
 """
@@ -17,6 +21,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -60,12 +65,13 @@ _STEP = _U64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Templates:
-    """Template words of a slice of texts: hash, value hash, whether a placeholder, and where each
-    text's begin (and the end)."""
+    """Template words of a slice of texts: hash, value hash, whether a placeholder, whether
+    (part of) a name, and where each text's begin (and the end)."""
 
     hashes: np.ndarray
     values: np.ndarray
     slot: np.ndarray
+    named: np.ndarray
     first: np.ndarray
 
 
@@ -92,17 +98,18 @@ def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
-def templates(texts: pa.Array) -> Templates:
+def templates(texts: pa.Array, folded: bool = False) -> Templates:
     """Words are runs of letters and digits. A number is a run that begins with a digit, runs of
     digits joined by a point or comma, or a number word; a unit is a unit word after a number; a
-    name is capitalised within a sentence, and names in a row are one."""
+    name is capitalised within a sentence, and names in a row are one. ``folded`` takes the words of
+    names as they are, case aside."""
     data, offsets = joined(texts)
     inside = np.concatenate([[False], _IN_WORD[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     n = len(starts)
     if not n:
-        return Templates(np.zeros(0, _U64), np.zeros(0, _U64), np.zeros(0, bool), np.zeros(len(offsets), np.int64))
+        return Templates(np.zeros(0, _U64), np.zeros(0, _U64), np.zeros(0, bool), np.zeros(0, bool), np.zeros(len(offsets), np.int64))
     values = _hashes(data, starts, ends)
     closing = np.concatenate([[0], np.cumsum(_ENDS_SENTENCE[data])])
     begins = np.ones(n, bool)
@@ -119,25 +126,30 @@ def templates(texts: pa.Array) -> Templates:
     name = capital & ~begins & ~number & ~unit
     joint = np.isin(data[np.maximum(starts - 1, 0)], np.frombuffer(b".,", np.uint8))
     goes_on = np.concatenate([[False], digit[:-1]]) & digit & (gap == 1) & joint
+    named = name
+    if folded:
+        name = np.zeros(n, bool)
     goes_on |= np.concatenate([[False], name[:-1]]) & name & (gap == 1)
     heads = np.flatnonzero(~goes_on)
     order = np.arange(n) - np.maximum.accumulate(np.where(goes_on, 0, np.arange(n)))
     whole = mix64(np.add.reduceat(values * (order.astype(_U64) * _U64(2) + _U64(1)), heads))
     slot = (number | unit | name)[heads]
     kinds = np.select([number[heads], unit[heads], name[heads]], [_NUMBER, _UNIT, _NAME], whole)
-    return Templates(mix64(kinds), whole, slot, np.searchsorted(starts[heads], offsets))
+    return Templates(mix64(kinds), whole, slot, named[heads], np.searchsorted(starts[heads], offsets))
 
 
-def windows(found: Templates, size: int) -> tuple[np.ndarray, np.ndarray]:
+def windows(found: Templates, size: int, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each window of ``size`` template words and where each text's begin. A window in
-    which placeholders prevail counts by its values: a template of holes says nothing."""
+    which placeholders prevail counts by its values: a template of holes says nothing. Hashes of
+    ``folded`` templates are none of the others."""
     words = Words(np.zeros(0, np.uint8), np.zeros(0, int), np.zeros(0, int), found.first, found.hashes)
     hashes, first = shingle_hashes(words, size)
     words.hashes = found.values
     exact, _ = shingle_hashes(words, size)
     begin, end = _bounds(found, size, first)
     holes = np.concatenate([[0], np.cumsum(found.slot)])
-    return np.where(2 * (holes[end] - holes[begin]) > end - begin, exact ^ _U64(1), hashes), first
+    hashes = np.where(2 * (holes[end] - holes[begin]) > end - begin, exact ^ _U64(1), hashes)
+    return mix64(hashes ^ _STEP) if folded else hashes, first
 
 
 def _bounds(found: Templates, size: int, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,28 +171,40 @@ def _slots(found: Templates, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per distinct window of an item; an item shorter than a window is one window."""
+    """One row per distinct window of an item and look (``folded`` or not); an item shorter than a
+    window is one window."""
     for batch in batches:
         for part in slices(batch, "text"):
-            found = templates(texts_of(part.column("text")))
-            sizes = np.minimum(np.diff(found.first), WINDOW)
-            for size in np.unique(sizes[sizes >= LEAST_WORDS]).tolist():
-                hashes, first = windows(found, size)
-                begin, end = _bounds(found, size, first)
-                item = np.repeat(np.arange(part.num_rows), np.diff(first))
-                own = np.flatnonzero(sizes[item] == size)
-                _, keep = np.unique(np.stack([item[own].astype(_U64), hashes[own]]), axis=1, return_index=True)
-                keep = own[keep]
-                total = np.bincount(item[keep], minlength=part.num_rows)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "item": part.column("item").take(pa.array(item[keep])),
-                        "hash": hashes[keep].view(np.int64),
-                        "size": pa.array([size] * len(keep), pa.int32()),
-                        "windows": pa.array(total[item[keep]], pa.int64()),
-                        "item_slots": _slots(found, begin[keep], end[keep]),
-                    }
-                )
+            for folded in (False, True):
+                found = templates(texts_of(part.column("text")), folded)
+                sizes = np.minimum(np.diff(found.first), WINDOW)
+                for size in np.unique(sizes[sizes >= LEAST_WORDS]).tolist():
+                    yield _windows_of_size(part, found, sizes, size, folded)
+
+
+def _windows_of_size(part: pa.RecordBatch, found: Templates, sizes: np.ndarray, size: int, folded: bool) -> pa.RecordBatch:
+    hashes, first = windows(found, size, folded)
+    begin, end = _bounds(found, size, first)
+    item = np.repeat(np.arange(part.num_rows), np.diff(first))
+    counts = sizes[item] == size
+    if folded:
+        before = np.concatenate([[0], np.cumsum(found.named)])
+        telling = before[end] > before[begin]
+        counts &= telling | (np.bincount(item[telling], minlength=part.num_rows) == 0)[item]
+    own = np.flatnonzero(counts)
+    _, keep = np.unique(np.stack([item[own].astype(_U64), hashes[own]]), axis=1, return_index=True)
+    keep = own[keep]
+    total = np.bincount(item[keep], minlength=part.num_rows)
+    return pa.RecordBatch.from_pydict(
+        {
+            "item": part.column("item").take(pa.array(item[keep])),
+            "folded": pa.array([folded] * len(keep), pa.bool_()),
+            "hash": hashes[keep].view(np.int64),
+            "size": pa.array([size] * len(keep), pa.int32()),
+            "windows": pa.array(total[item[keep]], pa.int64()),
+            "item_slots": _slots(found, begin[keep], end[keep]),
+        }
+    )
 
 
 def _doc_windows(bitmap, sizes: list[int]):
@@ -191,9 +215,10 @@ def _doc_windows(bitmap, sizes: list[int]):
         known = bitmap.value
         for batch in batches:
             for part in slices(batch, "text"):
-                found = templates(texts_of(part.column("text")))
-                for size in sizes:
-                    hashes, first = windows(found, size)
+                texts = texts_of(part.column("text"))
+                looks = [(folded, templates(texts, folded)) for folded in (False, True)]
+                for (folded, found), size in product(looks, sizes):
+                    hashes, first = windows(found, size, folded)
                     spot = (hashes >> _U64(64 - FILTER_BITS)).astype(np.int64)
                     some = np.flatnonzero(known[spot])
                     begin, end = _bounds(found, size, first)
@@ -274,7 +299,7 @@ def _reviewed(rows: list[tuple[int, list[int], list[int], list[list[int]]]], win
 def _review(pair: pa.Table) -> pa.Table:
     rows = list(zip(*(pair.column(c).to_pylist() for c in ("hash", "item_slots", "places", "doc_slots"))))
     got = _reviewed(rows, pair.column("windows")[0].as_py())
-    out = pair.select(["id", "own", "item"]).slice(0, 1 if got else 0)
+    out = pair.select(["id", "own", "item", "folded"]).slice(0, 1 if got else 0)
     matched, consistent = got or (0, 0.0)
     out = out.append_column("matched", pa.array([matched] * len(out), pa.int64()))
     return out.append_column("consistent", pa.array([consistent] * len(out), pa.float64()))
@@ -283,13 +308,14 @@ def _review(pair: pa.Table) -> pa.Table:
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, own, item, matched, windows, consistent) for each document and item with a window in
-    common. ``own`` is a hash of the document's text: with the id it names a row. Of several
-    occurrences of a window the first counts, or those of a consistent choice if there is one."""
+    common, by the better of both looks. ``own`` is a hash of the document's text: with the id it
+    names a row. Of several occurrences of a window the first counts, or those of a consistent
+    choice if there is one."""
     spark = docs.sparkSession
     benchmark = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text"))
     listed = staged(
         benchmark.where("item is not null and text is not null").mapInArrow(
-            _item_windows, "item long, hash long, size int, windows long, item_slots array<long>"
+            _item_windows, "item long, folded boolean, hash long, size int, windows long, item_slots array<long>"
         ),
         "benchmark-windows",
     )
@@ -304,37 +330,50 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         "id long, own long, hash long, size int, places array<long>, doc_slots array<array<long>>",
     )
     joined_rows = candidates.join(listed, ["hash", "size"])
-    joined_rows = staged(joined_rows.select("id", "own", "item", "hash", "windows", "item_slots", "places", "doc_slots"), "benchmark-matches")
-    who = ["id", "own", "item"]
+    joined_rows = staged(joined_rows.select("id", "own", "item", "folded", "hash", "windows", "item_slots", "places", "doc_slots"), "benchmark-matches")
+    who = ["id", "own", "item", "folded"]
     counted = joined_rows.groupBy(*who).agg(F.count_distinct("hash").alias("matched"), F.max("windows").alias("windows"))
     pairs = joined_rows.select(*who, F.explode(F.arrays_zip("item_slots", F.col("doc_slots")[0].alias("doc_slots"))).alias("p"))
     by_pair = pairs.groupBy(*who, F.col("p.item_slots").alias("a"), F.col("p.doc_slots").alias("b")).count()
     by_value = by_pair.groupBy(*who, "a").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
     agreed = by_value.groupBy(*who).agg((F.sum("most") / F.sum("all")).alias("consistent"))
-    right = agreed.toDF("id_2", "own_2", "item_2", "consistent")
-    same = (
-        F.col("id").eqNullSafe(F.col("id_2")) & (F.col("own") == F.col("own_2")) & (F.col("item") == F.col("item_2"))
-    )
+    right = agreed.toDF("id_2", "own_2", "item_2", "folded_2", "consistent")
+    same = F.col("id").eqNullSafe(F.col("id_2"))
+    for name in who[1:]:
+        same &= F.col(name) == F.col(f"{name}_2")
     first = counted.join(right, same, "left").select(
         *who, "matched", "windows", F.coalesce("consistent", F.lit(1.0)).alias("consistent")
     )
     first = staged(first, "benchmark-pairs")
     doubtful = first.where(_reached() & (F.col("consistent") < CONSISTENT))
     if doubtful.isEmpty():
-        return first
-    several = joined_rows.join(doubtful.select(*who).toDF("id_2", "own_2", "item_2"), same, "left_semi")
+        return _better(first)
+    several = joined_rows.join(doubtful.select(*who).toDF("id_2", "own_2", "item_2", "folded_2"), same, "left_semi")
     again = several.dropDuplicates([*who, "hash"]).groupBy(*who).applyInArrow(
-        _review, "id long, own long, item long, matched long, consistent double"
+        _review, "id long, own long, item long, folded boolean, matched long, consistent double"
     )
-    again = again.toDF("id_2", "own_2", "item_2", "matched_2", "consistent_2")
-    return first.join(again, same, "left").select(
-        *who,
-        F.coalesce("matched_2", "matched").alias("matched"),
-        "windows",
-        F.coalesce("consistent_2", "consistent").alias("consistent"),
+    again = again.toDF("id_2", "own_2", "item_2", "folded_2", "matched_2", "consistent_2")
+    return _better(
+        first.join(again, same, "left").select(
+            *who,
+            F.coalesce("matched_2", "matched").alias("matched"),
+            "windows",
+            F.coalesce("consistent_2", "consistent").alias("consistent"),
+        )
     )
 
 
+def _better(found: DataFrame) -> DataFrame:
+    """Of both looks of a document and an item the one that finds it, or else finds more of it."""
+    share = F.col("matched") / F.col("windows")
+    rank = F.struct(
+        _reached() & (F.col("consistent") >= CONSISTENT), _reached(), share, ~F.col("folded"),
+        "matched", "windows", "consistent",
+    )
+    best = found.groupBy("id", "own", "item").agg(F.max(rank).alias("best"))
+    return best.select("id", "own", "item", "best.matched", "best.windows", "best.consistent")
+
+
 def _reached() -> Column:
     return (F.col("matched") >= SHARE * F.col("windows")) | (F.col("matched") >= RUN_WINDOWS)
 

@@ -67,6 +67,20 @@ def test_inconsistent_slots_are_no_match(spark):
     assert worst["matched"] >= 8 and worst["consistent"] < decontam.CONSISTENT
 
 
+def test_copies_in_another_case(spark):
+    """Lower- and upper-cased copies, also with other figures; other names in lower case are no copy."""
+    plain = "every reader of the old paper knew that the price of bread rose before the harvest came in"
+    others = ITEM.replace("Alice Brown", "Xenia Yardley").replace("Alice", "Xenia").replace("Bob", "Quentin")
+    docs = [ITEM.lower(), ITEM.upper(), f"Before. {ITEM.lower().replace('12', '40')} After.", ITEM, others.lower(),
+            plain.upper(), plain.title(), CLEAN, CLEAN.upper(), None, ""]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame([(70, ITEM), (71, plain)], "item_id long, text string")
+    got = rows(decontam.flag(d, b))
+    assert [got[i][1] for i in range(len(docs))] == [[70]] * 4 + [[], [71], [71]] + [[]] * 4
+    found = {r["id"]: r for r in decontam.matches(d, b).where("item = 70").collect()}
+    assert found[0]["matched"] == found[0]["windows"] and found[3]["matched"] == found[3]["windows"]
+
+
 def test_copies_after_variants(spark):
     item = " and then ".join(f"the man called Alice went to see part {i} of the old town" for i in "abcdef")
     parts = item.split(" and then ")
