@@ -1,12 +1,15 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
-Words are counted exactly over the training documents. The model's vocabulary is the most
-frequent words, the end of a text, and a fixed number of classes for all other words by the look
-of their bytes; within a class a word has its share of the class's count. The vectors of the two
-words before predict a vector, whose products with all output vectors give the next
-distribution. Every task trains on its own documents from one start, and the parameters are
-averaged by tokens. For scores the distribution of each distinct context of a chunk is normalised
-once, in batched matrix products.
+Words are counted exactly over the training documents. Every word met at least as often as the
+root of the number of tokens, divided by ``WORDS_PER_ROOT``, has vectors of its own; so the vocabulary
+grows with the corpus, but never beyond ``WORDS_PER_ROOT`` times that root. Words are put in classes
+of about equal mass by falling frequency; the end of a text is a class, and all words below the
+least count fall into a fixed number of classes by the look of their bytes, where a word has its share
+of the class's count. The vectors of the two words before predict a vector. Its products with the class
+vectors give the next class, those with the word vectors of that class the next word, each
+normalised over all that compete. Texts are dealt to chunks by a hash, so training doesn't follow the
+partitions: each chunk trains from one start, in an order fixed by the hash, and the parameters
+are averaged by tokens.
 
 The counts of words reach the documents by hash: a chunk of documents asks the shard of each of
 its distinct words once, so a frequent word costs one entry a chunk and no text is shuffled per
@@ -29,15 +32,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .stages import staged
 from .text import Words, slices, texts_of, words_of
 
-FREQUENT = 511
+WORDS_PER_ROOT = 8
 RARE = 64
 DIM = 32
-NOISE = 64
+NOISE = 32
+INNER_NOISE = 4
 BATCH = 1_024
+TRAIN_BYTES = 32 << 20
 CHUNK_BYTES = 8 << 20
 SHARD_WORDS = 1 << 18
 _FLUSH_WORDS = 1 << 20
-_SUMMERS = 32
+_SEGMENT = 1 << 18
 _CONTEXTS = 8_192
 _U64 = np.uint64
 #: The hash that stands for the end of a text; a word's own hash is never even.
@@ -103,43 +108,87 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Classes 0 .. RARE-1 are those of rare words, RARE is the end, then the frequent words.
-    ``context`` has one more row, for the place before a text."""
-
-    frequent: np.ndarray  # sorted hashes
-    mass: np.ndarray  # of each rare class: sum of count + 1 over its words, and 1 for all unknown ones
-    context: np.ndarray  # (2, classes + 1, DIM)
-    output: np.ndarray  # (classes, DIM)
-    bias: np.ndarray  # (classes,)
-
-    @property
-    def classes(self) -> int:
-        return len(self.bias)
-
-    def class_of(self, hashes: np.ndarray, rare: np.ndarray) -> np.ndarray:
-        if not len(self.frequent):
-            return rare
-        at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == hashes, RARE + 1 + at, rare)
-
-    def log_distributions(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Normalised log-probabilities of all classes after each pair of classes."""
-        logits = (self.context[0, before] + self.context[1, last]) @ self.output.T + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return logits
+    """Symbols 0 .. RARE-1 are the looks of rare words, RARE is the end, then come the words of the
+    vocabulary by falling count, and one for the place before a text. The looks and the end are
+    classes of their own; the classes behind them are runs of words."""
+
+    hashes: np.ndarray  # of the vocabulary, sorted
+    rank: np.ndarray  # of each of these hashes: its place by falling count
+    cuts: np.ndarray  # first word of each class of words, and the end
+    mass: np.ndarray  # of each look: sum of count + 1 over its words, and 1 for all unknown ones
+    context: np.ndarray  # (2 * (symbols + 1), DIM): for the word two places before, then one before
+    tops: np.ndarray  # (classes, DIM)
+    top_bias: np.ndarray
+    words: np.ndarray  # (vocabulary, DIM)
+    word_bias: np.ndarray
+
+    def __post_init__(self):
+        sizes = np.diff(self.cuts)
+        self.symbols = RARE + 1 + len(self.hashes)
+        self.classes = RARE + 1 + len(sizes)
+        self.kind = np.concatenate([np.arange(RARE + 1), RARE + 1 + np.repeat(np.arange(len(sizes)), sizes)])
+        self.lows = np.concatenate([np.zeros(RARE + 1, np.int64), self.cuts[:-1]])
+        self.sizes = np.concatenate([np.ones(RARE + 1, np.int64), sizes])
+
+    def values(self) -> np.ndarray:
+        """All parameters in one row."""
+        return np.concatenate([x.ravel() for x in (self.context, self.tops, self.top_bias, self.words, self.word_bias)])
+
+    def moved(self, by: np.ndarray) -> Model:
+        old = (self.context, self.tops, self.top_bias, self.words, self.word_bias)
+        parts = np.split(self.values() + by, np.cumsum([x.size for x in old])[:-1])
+        new = (x.reshape(o.shape).astype(np.float32) for x, o in zip(parts, old))
+        return Model(self.hashes, self.rank, self.cuts, self.mass, *new)
+
+    def symbols_of(self, hashes: np.ndarray, looks: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return looks
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, RARE + 1 + self.rank[at], looks)
+
+    def guess(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return self.context[before] + self.context[self.symbols + 1 + last]
+
+    def log_probabilities(self, tokens: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Natural log-probability of each symbol after the two before it, normalised over classes
+        and over the words of its class. Distinct contexts are normalised once."""
+        out, kinds = np.empty(len(tokens)), self.kind[tokens]
+        context, where = np.unique(before * (self.symbols + 1) + last, return_inverse=True)
+        sort = np.argsort(where, kind="stable")
+        bounds = np.searchsorted(where[sort], np.arange(0, len(context) + _CONTEXTS, _CONTEXTS))
+        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+            own, at = context[i * _CONTEXTS : (i + 1) * _CONTEXTS], sort[a:b]
+            guess = self.guess(own // (self.symbols + 1), own % (self.symbols + 1))
+            out[at] = _normalised(guess @ self.tops.T + self.top_bias)[where[at] - i * _CONTEXTS, kinds[at]]
+        inner = np.flatnonzero(self.sizes[kinds] > 1)
+        inner = inner[np.argsort(kinds[inner], kind="stable")]
+        edges = np.flatnonzero(np.diff(kinds[inner], prepend=-1, append=-1))
+        for a, b in zip(edges[:-1], edges[1:]):
+            low = self.lows[kinds[inner[a]]]
+            high = low + self.sizes[kinds[inner[a]]]
+            for i in range(a, b, _CONTEXTS):
+                at = inner[i : min(i + _CONTEXTS, b)]
+                logs = _normalised(self.guess(before[at], last[at]) @ self.words[low:high].T + self.word_bias[low:high])
+                out[at] += logs[np.arange(len(at)), tokens[at] - RARE - 1 - low]
+        return out
+
+
+def _normalised(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
 
 
 def sequences(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each token (each document's words, then its end), the classes two and one places
+    """Symbol of each token (each document's words, then its end), the symbols two and one places
     before it, and where each document begins (and the end)."""
     n = words.counts
     ends = np.cumsum(n + 1)
     first = np.concatenate([[0], ends])
     tokens = np.full(int(first[-1]), RARE, np.int64)
     place = np.arange(len(words.hashes)) + words.docs
-    tokens[place] = model.class_of(word_hashes(words), rare_classes(words))
-    start = model.classes
+    tokens[place] = model.symbols_of(word_hashes(words), rare_classes(words))
+    start = model.symbols
     last = np.concatenate([[start], tokens[:-1]])[: len(tokens)]
     before = np.concatenate([[start, start], tokens[:-2]])[: len(tokens)]
     last[first[:-1]] = start
@@ -149,90 +198,126 @@ def sequences(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
     return tokens, before, last, first
 
 
-def start_model(frequent: np.ndarray, counts: np.ndarray, mass: np.ndarray) -> Model:
-    """Unigram probabilities as biases, small random vectors."""
+def start_model(hashes: np.ndarray, counts: np.ndarray, looks: np.ndarray, ends: int, mass: np.ndarray) -> Model:
+    """Unigram probabilities as biases, small random vectors. ``hashes`` and ``counts`` are those of
+    the vocabulary, ``looks`` the counts of the classes of rare words."""
+    order = np.lexsort((hashes, -counts))
+    n = counts[order].astype(float)
+    share = (np.cumsum(n) - n) / max(1.0, n.sum())
+    _, cuts = np.unique((share * math.ceil(2 * math.sqrt(len(n)))).astype(np.int64), return_index=True)
+    cuts = np.append(cuts, len(n)).astype(np.int64)
+    sums = np.add.reduceat(n, cuts[:-1]) if len(n) else n
+    classes = np.concatenate([looks, [ends], sums]) + 1
+    rank = np.empty(len(n), np.int64)
+    rank[order] = np.arange(len(n))
+    by_hash = np.argsort(hashes)
     rng = np.random.default_rng(3)
-    classes = len(counts)
-    p = (counts + 1) / (counts + 1).sum()
     return Model(
-        frequent,
+        hashes[by_hash],
+        rank[by_hash],
+        cuts,
         mass,
-        rng.normal(0, 0.1, (2, classes + 1, DIM)).astype(np.float32),
-        rng.normal(0, 0.1, (classes, DIM)).astype(np.float32),
-        np.log(p).astype(np.float32),
+        rng.normal(0, 0.1, (2 * (RARE + 2 + len(n)), DIM)).astype(np.float32),
+        rng.normal(0, 0.1, (len(classes), DIM)).astype(np.float32),
+        np.log(classes / classes.sum()).astype(np.float32),
+        rng.normal(0, 0.1, (len(n), DIM)).astype(np.float32),
+        np.log(n / np.repeat(sums, np.diff(cuts))).astype(np.float32),
     )
 
 
+def _pulls(good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far to raise the scores of tokens and to lower those of noise."""
+    up = 1 / (1 + np.exp(np.clip(good, -30, 30)))
+    return up, -1 / (1 + np.exp(np.clip(-bad, -30, 30)))
+
+
 class Trainer:
-    """Noise-contrastive estimation over batches of tokens, with one set of noise samples a batch
-    and step sizes that shrink with the squared gradients met so far."""
+    """Noise-contrastive estimation over batches of tokens: against one set of noise classes a batch,
+    drawn by their frequency, and against a few words of a token's own class, drawn evenly. Step sizes
+    shrink with the squared gradients met so far."""
 
     def __init__(self, model: Model, seed: int):
-        self.model, self.rng = model, np.random.default_rng(seed)
-        p = np.exp(model.bias.astype(np.float64))
+        self.start, self.model = model, model.moved(np.float32(0))
+        self.rng = np.random.default_rng(seed)
+        p = np.exp(model.top_bias.astype(np.float64))
         self.cumulative, self.log_noise = np.cumsum(p / p.sum()), np.log(NOISE * p / p.sum()).astype(np.float32)
-        self.sizes = [np.full_like(x, 1e-8) for x in (model.context, model.output, model.bias)]
+        self.inner_noise = np.log(INNER_NOISE / model.sizes).astype(np.float32)
+        self.squares = {k: np.full_like(getattr(model, k), 1e-8) for k in ("context", "tops", "top_bias", "words", "word_bias")}
         self.tokens = 0
 
     def step(self, tokens: np.ndarray, before: np.ndarray, last: np.ndarray) -> None:
         m, n = self.model, len(tokens)
+        kinds, guess = m.kind[tokens], m.guess(before, last)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), m.classes - 1)
-        guess = m.context[0, before] + m.context[1, last]
-        good = (guess * m.output[tokens]).sum(axis=1) + m.bias[tokens] - self.log_noise[tokens]
-        bad = guess @ m.output[noise].T + m.bias[noise] - self.log_noise[noise]
-        up = 1 / (1 + np.exp(np.clip(good, -30, 30)))  # pull towards the token
-        down = -1 / (1 + np.exp(np.clip(-bad, -30, 30)))  # push away from the noise
-        d_guess = up[:, None] * m.output[tokens] + down @ m.output[noise]
-        d_output, d_bias = np.zeros_like(m.output), np.zeros_like(m.bias)
-        self._add(d_output, tokens, up[:, None] * guess)
-        np.add.at(d_output, noise, down.T @ guess)
-        d_bias += np.bincount(tokens, up, m.classes) + np.bincount(noise, down.sum(axis=0), m.classes)
-        d_context = np.zeros_like(m.context)
-        self._add(d_context[0], before, d_guess)
-        self._add(d_context[1], last, d_guess)
-        for value, slope, size, rate in zip((m.context, m.output, m.bias), (d_context, d_output, d_bias), self.sizes, (0.05, 0.05, 0.005)):
-            slope /= n
-            size += slope * slope
-            value += rate * slope / np.sqrt(size)
+        good = (guess * m.tops[kinds]).sum(axis=1) + m.top_bias[kinds] - self.log_noise[kinds]
+        bad = guess @ m.tops[noise].T + m.top_bias[noise] - self.log_noise[noise]
+        up, down = _pulls(good, bad)
+        d_guess = up[:, None] * m.tops[kinds] + down @ m.tops[noise]
+        drawn = np.concatenate([kinds, noise])
+        self._move("tops", drawn, np.concatenate([up[:, None] * guess, down.T @ guess]), 0.05, n)
+        self._move("top_bias", drawn, np.concatenate([up, down.sum(axis=0)]), 0.005, n)
+        at = np.flatnonzero(m.sizes[kinds] > 1)
+        if len(at):
+            k, g, word = kinds[at], guess[at], tokens[at] - RARE - 1
+            other = m.lows[k][:, None] + (self.rng.random((len(at), INNER_NOISE)) * m.sizes[k][:, None]).astype(np.int64)
+            own, others, level = m.words[word], m.words[other], self.inner_noise[k]
+            good = (g * own).sum(axis=1) + m.word_bias[word] - level
+            bad = (others @ g[:, :, None])[:, :, 0] + m.word_bias[other] - level[:, None]
+            up, down = _pulls(good, bad)
+            d_guess[at] += up[:, None] * own + (down[:, None, :] @ others)[:, 0]
+            drawn = np.concatenate([word, other.ravel()])
+            slopes = np.concatenate([up[:, None] * g, (down[:, :, None] * g[:, None, :]).reshape(-1, DIM)])
+            self._move("words", drawn, slopes, 0.05, n)
+            self._move("word_bias", drawn, np.concatenate([up, down.ravel()]), 0.005, n)
+        self._move("context", np.concatenate([before, m.symbols + 1 + last]), np.concatenate([d_guess, d_guess]), 0.05, n)
         self.tokens += n
 
-    @staticmethod
-    def _add(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    def _move(self, name: str, rows: np.ndarray, slopes: np.ndarray, rate: float, n: int) -> None:
+        """Adds up the slopes of each row and moves the rows that have any."""
         order = np.argsort(rows, kind="stable")
         keys = rows[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        out[keys[first]] += np.add.reduceat(values[order], first, axis=0)
+        slope = np.add.reduceat(slopes[order], first, axis=0) / np.float32(n)
+        at, squares = keys[first], self.squares[name]
+        total = squares[at] + slope * slope
+        squares[at] = total
+        getattr(self.model, name)[at] += np.float32(rate) * slope / np.sqrt(total)
 
 
 def _trainer(start):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = TaskContext.get().partitionId()
-        trainer = Trainer(pickle.loads(start.value), place)
-        for batch in batches:
+    """Trains on one chunk; the result is how far it moved the parameters, times its tokens."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        trainer = Trainer(pickle.loads(start.value), key[0].as_py())
+        rows = rows.sort_by("h")
+        for batch in rows.select(["text"]).to_batches():
             for part in slices(batch, "text"):
                 tokens, before, last, _ = sequences(words_of(texts_of(part.column("text"))), trainer.model)
                 order = trainer.rng.permutation(len(tokens))
                 for i in range(0, len(order), BATCH):
                     at = order[i : i + BATCH]
                     trainer.step(tokens[at], before[at], last[at])
-        if trainer.tokens:
-            m = trainer.model
-            sums = trainer.tokens * np.concatenate([m.context.ravel(), m.output.ravel(), m.bias]).astype(np.float64)
-            yield pa.RecordBatch.from_pydict(
-                {"salt": pa.array([place % _SUMMERS], pa.int32()), "tokens": [trainer.tokens], "sums": [sums.tobytes()]}
-            )
+        moved = np.float32(trainer.tokens) * (trainer.model.values() - trainer.start.values())
+        parts = [moved[i : i + _SEGMENT].tobytes() for i in range(0, len(moved), _SEGMENT)]
+        return pa.table(
+            {"segment": pa.array(range(len(parts)), pa.int32()), "tokens": [trainer.tokens] * len(parts), "sums": pa.array(parts, pa.binary())}
+        )
 
     return run
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, total = 0, None
+    """The sums of each segment of the parameters."""
+    tokens: dict[int, int] = {}
+    sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for n, sums in zip(batch.column("tokens").to_pylist(), batch.column("sums").to_pylist()):
-            values = np.frombuffer(sums)
-            tokens, total = tokens + n, values if total is None else total + values
-    if total is not None:
-        yield pa.RecordBatch.from_pydict({"salt": pa.array([0], pa.int32()), "tokens": [tokens], "sums": [total.tobytes()]})
+        for k, n, blob in zip(*(batch.column(c).to_pylist() for c in ("segment", "tokens", "sums"))):
+            values = np.frombuffer(blob, np.float32)
+            tokens[k], sums[k] = tokens.get(k, 0) + n, sums[k] + values if k in sums else values
+    for k in sorted(sums):
+        yield pa.RecordBatch.from_pydict(
+            {"segment": pa.array([k], pa.int32()), "tokens": [tokens[k]], "sums": pa.array([sums[k].tobytes()], pa.binary())}
+        )
 
 
 @dataclass
@@ -244,33 +329,39 @@ class Trained:
 
 
 def train(texts: DataFrame) -> Trained:
-    """Counts and model from all rows of ``texts`` (one column, ``text``); a null text is an
-    empty one. Without rows every word is unknown and all classes are alike."""
-    counted = texts.mapInArrow(_count_words, "h long, kind int, n long").groupBy("h")
+    """Counts and model from all rows of ``texts`` (``text``, and ``key``, a hash that deals them to
+    chunks and orders them); a null text is an empty one. Without rows every word is unknown and
+    all classes are alike.
+
+    A chunk holds about TRAIN_BYTES. A task trains one chunk after the other and sends on one sum; the
+    number of tasks grows with the root of that of chunks once there are many, so that what is sent
+    stays small beside the texts. The driver gets the vocabulary and one set of parameters."""
+    counted = texts.select("text").mapInArrow(_count_words, "h long, kind int, n long").groupBy("h")
     counts = staged(counted.agg(F.min("kind").alias("kind"), F.sum("n").alias("n")), "lbl-counts")
     totals = counts.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
-    top = counts.where("kind >= 0").orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
-    frequent, order = np.unique(top.column("h").to_numpy().view(_U64), return_index=True)
-    top_counts = top.column("n").to_numpy()[order]
-    listed = [int(h) for h in frequent.view(np.int64)]
-    rest = counts.where(~F.col("h").isin(listed)) if listed else counts
-    by_kind = {r["kind"]: r for r in rest.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
-    rare = np.array([by_kind[k]["n"] if k in by_kind else 0 for k in range(RARE)], float)
-    mass = rare + np.array([by_kind[k]["words"] if k in by_kind else 0 for k in range(RARE)], float) + 1
+    least = max(2, math.ceil(math.sqrt(totals["tokens"] or 0) / WORDS_PER_ROOT))
+    own = (F.col("kind") >= 0) & (F.col("n") >= least)
+    found = counts.where(own).select("h", "n").toArrow()
+    by_kind = {
+        r["kind"]: r for r in counts.where(~own).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    }
+    looks = np.array([by_kind[k]["n"] if k in by_kind else 0 for k in range(RARE)], float)
+    mass = looks + np.array([by_kind[k]["words"] if k in by_kind else 0 for k in range(RARE)], float) + 1
     ends = by_kind[-1]["n"] if -1 in by_kind else 0
+    start = start_model(found.column("h").to_numpy().view(_U64), found.column("n").to_numpy(), looks, ends, mass)
     spark = texts.sparkSession
-    start = start_model(frequent, np.concatenate([rare, [ends], top_counts]), mass)
+    size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    chunks = max(1, math.ceil(size / TRAIN_BYTES))
+    tasks = min(chunks, 64 + math.ceil(8 * math.sqrt(chunks)))
     blob = spark.sparkContext.broadcast(pickle.dumps(start))
-    kind = "salt int, tokens long, sums binary"
-    got = texts.mapInArrow(_trainer(blob), kind).repartition(_SUMMERS, "salt").mapInArrow(_add_up, kind).toArrow()
+    kind = "segment int, tokens long, sums binary"
+    dealt = texts.select(F.pmod("key", F.lit(chunks)).alias("chunk"), F.col("key").alias("h"), "text").repartition(tasks, "chunk")
+    moved = dealt.groupBy("chunk").applyInArrow(_trainer(blob), kind).mapInArrow(_add_up, kind)
+    segments = math.ceil(len(start.values()) / _SEGMENT)
+    got = moved.repartition(segments, "segment").mapInArrow(_add_up, kind).toArrow().sort_by("segment")
     if got.num_rows:
-        tokens = sum(got.column("tokens").to_pylist())
-        total = sum(np.frombuffer(s) for s in got.column("sums").to_pylist()) / tokens
-        shapes = [start.context.shape, start.output.shape, start.bias.shape]
-        cuts = np.cumsum([math.prod(s) for s in shapes])[:-1]
-        start.context, start.output, start.bias = (
-            x.reshape(s).astype(np.float32) for x, s in zip(np.split(total, cuts), shapes)
-        )
+        total = np.concatenate([np.frombuffer(s, np.float32) for s in got.column("sums").to_pylist()])
+        start = start.moved(total / max(1, got.column("tokens")[0].as_py()))
     return Trained(start, counts.select("h", "n"), totals["tokens"] or 0, totals["words"])
 
 
@@ -355,15 +446,7 @@ def _scorer(model, tokens: int, vocabulary: int):
         kinds, before, last, first = sequences(words, known)
         n = np.full(len(kinds), counts[0])  # of the end, the least hash
         n[np.arange(len(words.hashes)) + words.docs] = counts[np.searchsorted(distinct, word_hashes(words))]
-        context, where = np.unique(before * (known.classes + 1) + last, return_inverse=True)
-        logs = np.empty(len(kinds))
-        sort = np.argsort(where, kind="stable")
-        bounds = np.searchsorted(where[sort], np.arange(0, len(context) + _CONTEXTS, _CONTEXTS))
-        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-            own = context[i * _CONTEXTS : (i + 1) * _CONTEXTS]
-            table = known.log_distributions(own // (known.classes + 1), own % (known.classes + 1))
-            logs[sort[a:b]] = table[where[sort[a:b]] - i * _CONTEXTS, kinds[sort[a:b]]]
-        logs /= math.log(10)
+        logs = known.log_probabilities(kinds, before, last) / math.log(10)
         rare = kinds < RARE
         logs[rare] += np.log10((n[rare] + 1) / known.mass[kinds[rare]])
         begins = first[:-1]
@@ -396,14 +479,15 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
 
     Columns: the id, ``held_out``, ``n_tokens`` (words and the end), ``n_known`` (tokens met in
     training), ``train_tokens``, ``base_score`` (unigram with one added to each count, decimal
-    logarithm) and ``score`` (the model's decimal log-probability). Words are runs of bytes other
+    logarithm) and ``score`` (the model's decimal log-probability, the same for any partitioning of
+    the table up to rounding). Words are runs of bytes other
     than white space, A-Z in lower case, told apart by 64-bit hashes. A null or empty text is its
     end alone; repeated rows are scored, and learnt from, one by one; other columns are ignored;
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    learnt = train(rows.where("not held_out").select("text"))
+    learnt = train(rows.where("not held_out").select(F.xxhash64("id", "text").alias("key"), "text"))
     bits = max(0, math.ceil(math.log2(max(1, learnt.words) / SHARD_WORDS)))
     shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
     kind = "shard long, kind int, chunk long, blob binary"

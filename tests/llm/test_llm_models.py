@@ -125,23 +125,61 @@ def test_language_model_scores(spark, data_dir):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def keyed(df):
+    return df.select(F.xxhash64("text").alias("key"), "text")
+
+
 def test_model_distribution_sums_to_one(spark):
-    rows = [(f"the cat {i} sat on the mat. Ünd, x{i % 7}!",) for i in range(300)]
-    learnt = lbl.train(spark.createDataFrame(rows, "text string"))
+    rows = [(f"the cat {i} sat on the mat. Ünd, x{i % 7}! " + " ".join(f"w{j}" for j in range(i % 40)),) for i in range(300)]
+    learnt = lbl.train(keyed(spark.createDataFrame(rows, "text string")))
     m = learnt.model
-    logs = m.log_distributions(np.array([m.classes, 3, 70]), np.array([m.classes, 70, 64]))
-    assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-4)
-    # Within each rare class the words and one unknown share the class.
+    assert m.sizes.max() > 1 and len(m.kind) == m.symbols
+    tokens = np.arange(m.symbols)
+    for before, last in ((m.symbols, m.symbols), (3, 70), (70, 64)):
+        logs = m.log_probabilities(tokens, np.full(m.symbols, before), np.full(m.symbols, last))
+        assert math.isclose(np.exp(logs).sum(), 1, abs_tol=1e-4)
+    # The vocabulary holds all words from the least count; the others and one unknown share their look.
     counts = {r["h"]: r["n"] for r in learnt.counts.collect()}
+    least = max(2, math.ceil(math.sqrt(learnt.tokens) / lbl.WORDS_PER_ROOT))
     w = words_of(texts_of(pa.array([r[0] for r in rows])))
-    kind = dict(zip(lbl.word_hashes(w).tolist(), m.class_of(lbl.word_hashes(w), lbl.rare_classes(w)).tolist()))
+    kind = dict(zip(lbl.word_hashes(w).tolist(), m.symbols_of(lbl.word_hashes(w), lbl.rare_classes(w)).tolist()))
     mass = np.ones(lbl.RARE)
     for h, k in kind.items():
+        n = counts[int(np.uint64(h).view(np.int64))]
+        assert (k > lbl.RARE) == (n >= least)
         if k < lbl.RARE:
-            mass[k] += counts[int(np.uint64(h).view(np.int64))] + 1
+            mass[k] += n + 1
     assert np.allclose(mass, m.mass)
 
 
+def test_vocabulary_grows_with_the_corpus(spark):
+    rng = np.random.default_rng(2)
+    sizes = []
+    for n in (100, 1_600):
+        rows = [(" ".join(f"w{k}" for k in (1 / rng.random(60)).astype(int)),) for _ in range(n)]
+        learnt = lbl.train(keyed(spark.createDataFrame(rows, "text string")))
+        sizes.append(len(learnt.model.hashes))
+        assert sizes[-1] <= lbl.WORDS_PER_ROOT * math.sqrt(learnt.tokens)
+    assert sizes[1] > 2 * sizes[0]
+
+
+def test_scores_do_not_follow_the_partitions(spark, data_dir, monkeypatch):
+    monkeypatch.setattr(lbl, "TRAIN_BYTES", 300_000)
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    held_out = F.col("doc_id") % 5 == 0
+    few, many = ({r["doc_id"]: r["score"] for r in lbl.score_texts(docs.repartition(n), held_out).collect()} for n in (2, 13))
+    assert all(math.isclose(few[i], many[i], rel_tol=1e-4) for i in few)
+
+
+def test_the_words_before_count(spark):
+    rng = np.random.default_rng(8)
+    follow = {f"w{k}": f"v{k}" for k in range(60)}  # each w is always followed by its own v
+    texts = [" ".join(f"{w} {follow[w]}" for w in rng.choice(list(follow), 40)) for _ in range(2_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = lbl.score_texts(df, F.col("doc_id") < 200).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.75 * got[1]
+
+
 def test_language_model_edge_rows(spark, monkeypatch):
     monkeypatch.setattr(lbl, "CHUNK_BYTES", 50_000)
     monkeypatch.setattr(lbl, "SHARD_WORDS", 4)
