@@ -37,7 +37,7 @@ RARE = 64
 DIM = 32
 NOISE = 32
 INNER_NOISE = 4
-BATCH = 1_024
+BATCH = 4096
 TRAIN_BYTES = 32 << 20
 CHUNK_BYTES = 8 << 20
 SHARD_WORDS = 1 << 18
@@ -159,7 +159,10 @@ class Model:
         for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             own, at = context[i * _CONTEXTS : (i + 1) * _CONTEXTS], sort[a:b]
             guess = self.guess(own // (self.symbols + 1), own % (self.symbols + 1))
-            out[at] = _normalised(guess @ self.tops.T + self.top_bias)[where[at] - i * _CONTEXTS, kinds[at]]
+            logits = guess @ self.tops.T
+            logits += self.top_bias
+            row = where[at] - i * _CONTEXTS
+            out[at] = logits[row, kinds[at]] - _log_sums(logits)[row]
         inner = np.flatnonzero(self.sizes[kinds] > 1)
         inner = inner[np.argsort(kinds[inner], kind="stable")]
         edges = np.flatnonzero(np.diff(kinds[inner], prepend=-1, append=-1))
@@ -168,15 +171,16 @@ class Model:
             high = low + self.sizes[kinds[inner[a]]]
             for i in range(a, b, _CONTEXTS):
                 at = inner[i : min(i + _CONTEXTS, b)]
-                logs = _normalised(self.guess(before[at], last[at]) @ self.words[low:high].T + self.word_bias[low:high])
-                out[at] += logs[np.arange(len(at)), tokens[at] - RARE - 1 - low]
+                logits = self.guess(before[at], last[at]) @ self.words[low:high].T
+                logits += self.word_bias[low:high]
+                out[at] += logits[np.arange(len(at)), tokens[at] - RARE - 1 - low] - _log_sums(logits)
         return out
 
 
-def _normalised(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _log_sums(logits: np.ndarray) -> np.ndarray:
+    most = logits.max(axis=1)
+    powers = logits - most[:, None]
+    return np.log(np.exp(powers, out=powers).sum(axis=1)) + most
 
 
 def sequences(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -254,27 +258,28 @@ class Trainer:
         up, down = _pulls(good, bad)
         d_guess = up[:, None] * m.tops[kinds] + down @ m.tops[noise]
         drawn = np.concatenate([kinds, noise])
-        self._move("tops", drawn, np.concatenate([up[:, None] * guess, down.T @ guess]), 0.05, n)
-        self._move("top_bias", drawn, np.concatenate([up, down.sum(axis=0)]), 0.005, n)
+        self._move("tops", drawn, np.concatenate([up[:, None] * guess, down.T @ guess]), 0.1, n)
+        self._move("top_bias", drawn, np.concatenate([up, down.sum(axis=0)]), 0.01, n)
         at = np.flatnonzero(m.sizes[kinds] > 1)
         if len(at):
             k, g, word = kinds[at], guess[at], tokens[at] - RARE - 1
             other = m.lows[k][:, None] + (self.rng.random((len(at), INNER_NOISE)) * m.sizes[k][:, None]).astype(np.int64)
             own, others, level = m.words[word], m.words[other], self.inner_noise[k]
             good = (g * own).sum(axis=1) + m.word_bias[word] - level
-            bad = (others @ g[:, :, None])[:, :, 0] + m.word_bias[other] - level[:, None]
+            bad = np.einsum("nkd,nd->nk", others, g) + m.word_bias[other] - level[:, None]
             up, down = _pulls(good, bad)
-            d_guess[at] += up[:, None] * own + (down[:, None, :] @ others)[:, 0]
+            d_guess[at] += up[:, None] * own + np.einsum("nk,nkd->nd", down, others)
             drawn = np.concatenate([word, other.ravel()])
             slopes = np.concatenate([up[:, None] * g, (down[:, :, None] * g[:, None, :]).reshape(-1, DIM)])
-            self._move("words", drawn, slopes, 0.05, n)
-            self._move("word_bias", drawn, np.concatenate([up, down.ravel()]), 0.005, n)
-        self._move("context", np.concatenate([before, m.symbols + 1 + last]), np.concatenate([d_guess, d_guess]), 0.05, n)
+            self._move("words", drawn, slopes, 0.1, n)
+            self._move("word_bias", drawn, np.concatenate([up, down.ravel()]), 0.01, n)
+        self._move("context", np.concatenate([before, m.symbols + 1 + last]), np.concatenate([d_guess, d_guess]), 0.1, n)
         self.tokens += n
 
     def _move(self, name: str, rows: np.ndarray, slopes: np.ndarray, rate: float, n: int) -> None:
         """Adds up the slopes of each row and moves the rows that have any."""
-        order = np.argsort(rows, kind="stable")
+        short = np.uint16 if len(self.squares[name]) <= 1 << 16 else np.int64  # the shorter ones sort faster
+        order = np.argsort(rows.astype(short), kind="stable")
         keys = rows[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         slope = np.add.reduceat(slopes[order], first, axis=0) / np.float32(n)
