@@ -63,3 +63,11 @@ def test_plain_equality(spark):
     b = frame(spark, [(None, "m"), ("1", "y")], "k string, b string")
     got = rows(outer_join(a, b, "k", "left", [], null_safe=False))
     assert got == sorted([("1", "x", "y"), (None, "n", None)], key=str)
+
+
+def test_grid_makes_few_copies():
+    p = SkewPolicy()
+    for rows in (36_000, 216_000):
+        s, t = HotKey(None, rows, rows).grid(p)
+        # Left rows are copied t times, right rows s times.
+        assert rows * t + rows * s <= 3 * rows * rows / p.pairs_per_task**0.5
