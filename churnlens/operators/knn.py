@@ -309,17 +309,24 @@ HELD_ROWS = 2_000_000
 
 def _search(batches, k, axes, effort=False):
     """The k nearest rows of each query over all pairs of blocks of the task. What is held is
-    bounded: beyond it the best so far are sent on and the search starts anew."""
-    held: dict[int, tuple] = {}
+    bounded: beyond it the best so far are sent on and the search starts anew. ``axes`` may be just the
+    number of coordinates; blocks without names or bounds are told apart by their ids and unbounded."""
+    if isinstance(axes, int):
+        axes = np.zeros(axes), np.eye(axes), math.ceil(LEADING_MOST * axes)
+    held: dict[object, tuple] = {}
     size, counts = 0, np.zeros(4, np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
-            block = batch.column("spread")[i].as_py()
+            block = batch.column("spread" if "spread" in batch.schema.names else "ids")[i].as_py()
+            block = tuple(block) if isinstance(block, list) else block
             names = _names(batch.column("t_ids")[i].values)
             q_ids = batch.column("ids")[i].values
             q, t = (_matrix(batch.column(c)[i].values, len(axes[0])) for c in ("vecs", "t_vecs"))
             labels = batch.column("t_labels")[i].values.to_numpy()
-            bound = batch.column("bounds")[i].values.to_numpy(zero_copy_only=False)
+            if "bounds" in batch.schema.names:
+                bound = batch.column("bounds")[i].values.to_numpy(zero_copy_only=False)
+            else:
+                bound = np.full(len(q), np.inf)
             parts = []
             if block in held:
                 parts.append(held.pop(block)[1])
