@@ -5,6 +5,8 @@ from churnlens import fixtures
 from churnlens.fixtures import FIXTURE_DOMAINS
 from churnlens.functions import scalars
 from churnlens.operators import features, gold
+from churnlens.operators.joins import SkewPolicy
+from churnlens.plans import registry
 from pyspark.sql import functions as F
 
 
@@ -78,3 +80,39 @@ def test_scalar_functions(spark):
         dates.select(scalars.parse_date(F.col("t"))).collect()
     p = spark.createDataFrame([(0.5,), (0.51,)], "p double")
     assert [r[0] for r in p.select(scalars.threshold_label(F.col("p"))).collect()] == [0, 1]
+
+
+def test_customers_without_account_are_dealt_over_tasks(spark):
+    day = dt.date(2020, 1, 1)
+    owners = [(f"c{i}", None) for i in range(3_000)] + [("own", "7"), ("own", None), (None, None)]
+    accounts = spark.createDataFrame(owners, "customer_id string, account_id string")
+    paid = [(None, day), (None, day), (None, dt.date(2020, 2, 1)), ("7", day), (None, None)]
+    transactions = spark.createDataFrame(paid, "account_id string, transaction_date date")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = features._owned_months(accounts, transactions)
+        loads = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(loads) > 4 and max(r["count"] for r in loads) < 3_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    got = sorted(map(tuple, features.monthly_txn_counts_by_account(accounts, transactions).collect()))
+    wanted = [(f"c{i}", 2020, m, n) for i in range(3_000) for m, n in ((1, 2), (2, 1))]
+    assert got == sorted(wanted + [("own", 2020, 1, 3), ("own", 2020, 2, 1)])
+
+
+def test_features_before_the_transactions_equal_features_after(spark, data_dir):
+    t = fixtures.load_tables(spark, data_dir)
+    wide = features.account_features(gold.gold_accounts(t), t.transactions, FIXTURE_DOMAINS)
+    rows = gold.attach_transactions(wide, t.transactions, SkewPolicy(rows_per_task=20, pairs_per_task=200))
+    after = features.engineered_rows(gold.build_gold(t), FIXTURE_DOMAINS)
+    before = rows.select([f"`{c}`" for c in after.columns])
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["engineered_rows", "attach_customer_agg"])
+def test_rows_per_transaction_are_not_written(spark, data_dir, monkeypatch, name):
+    written = []
+    plain = registry.staged
+    monkeypatch.setattr(registry, "staged", lambda df, to: written.append(df.columns) or plain(df, to))
+    registry.QUERIES[name](spark, data_dir)
+    assert written and not any("transaction_id" in c for c in written)
