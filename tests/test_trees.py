@@ -246,3 +246,28 @@ def test_saved_model_scores_alike(spark, train, rows, tmp_path):
 
 def test_reference_grid_has_81_settings():
     assert math.prod(map(len, models.FOREST_GRID.values())) == 81
+
+
+def test_rows_walk_to_the_node_where_each_setting_ends():
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 16, (400, 3)), rng.integers(0, 2, 400).astype(float)
+    grown = trees.grow_tree(bins, y, np.ones(400), 16, 1, 9, 2, 1, 0)
+    depths, splits = [0, 3, 9, 12], [2, 7, 50]
+    got = trees.walk(grown, bins, depths, splits)
+    for (i, j, r), value in np.ndenumerate(got[:, :, ::40]):
+        at, row = 0, bins[40 * r]
+        for _ in range(depths[i]):
+            if grown["feature"][at] < 0 or grown["count"][at] < splits[j]:
+                break
+            at = grown["left"][at] + (row[grown["feature"][at]] > grown["cut"][at])
+        assert value == grown["value"][at]
+    table = trees.stop_values(grown, depths, splits)
+    assert table.shape == (4, 3, len(grown["value"]))
+
+
+def test_levels_are_summed_in_tasks_by_arrays(train, monkeypatch):
+    def none(*_):
+        raise AssertionError("a row per feature")
+
+    monkeypatch.setattr(trees.F, "posexplode", none)
+    assert len(trees.boost(train, rounds=1, depth=2, rate=0.3, bins=16, node_rows=0).roots) == 1
