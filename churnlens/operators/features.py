@@ -19,12 +19,13 @@ from ..schemas import (
     dummy_names,
 )
 from ..session import col, literal, quoted
+from .joins import Dealt, deal
 from .projection import project
 
 # Which row of a customer comes first; missing values last.
 FIRST_ROW_ORDER = ["account_id", "transaction_date", "transaction_id", "transaction_amount"]
 # Parts that the customers without an account are dealt to.
-OWNER_SALTS = 1_000
+OWNER_SALTS, LEAST_OWNER_PARTS = 1_000, 8
 
 
 def discover_domains(df: DataFrame, columns: list[str], limit: int = 1_000) -> dict[str, list[str]]:
@@ -82,29 +83,41 @@ def monthly_txn_counts(gold: DataFrame) -> DataFrame:
     )
 
 
-def _owned_months(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+def deal_transactions(transactions: DataFrame) -> Dealt:
+    """The transactions dealt by account, so that what a task counts or sorts is bounded."""
+    return deal(transactions.select([c for c in FIRST_ROW_ORDER if c in transactions.columns]), "account_id")
+
+
+def _owned_months(accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None) -> DataFrame:
     """(customer, year, month, n) of each account and month; NULL accounts match."""
-    monthly = (
-        _dated(transactions)
-        .groupBy(F.col("account_id").alias("_account"), "year", "month")
-        .agg(F.count("*").alias("n"))
-    )
+    dealt = dealt or deal_transactions(transactions)
+    keyed = _dated(dealt.rows.where(F.col("account_id").isNotNull()))
+    monthly = keyed.groupBy(*dealt.keys, "year", "month").agg(F.count("*").alias("n"))
+    if len(dealt.keys) > 1:
+        monthly = monthly.groupBy("account_id", "year", "month").agg(F.sum("n").alias("n"))
     owners = accounts.where(F.col("customer_id").isNotNull()).select("customer_id", "account_id")
+    held = owners.where(F.col("account_id").isNotNull()).repartition(dealt.parts, "account_id")
+    # As many rows as transactions at worst, so not for broadcasting.
+    owned = held.join(monthly.hint("merge"), "account_id").select("customer_id", "year", "month", "n")
     # All customers without an account meet the months of the transactions without one. They are
     # dealt over salts, and those few months copied to each, so that no task gets them all.
+    loose = _dated(transactions.where(F.col("account_id").isNull())).groupBy("year", "month").agg(F.count("*").alias("n"))
+    loose = loose.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(OWNER_SALTS - 1))))
     own = F.pmod(F.xxhash64("customer_id"), F.lit(OWNER_SALTS)).cast("int")
-    owners = owners.withColumn("_salt", F.when(F.col("account_id").isNull(), own).otherwise(0))
-    last = F.when(F.col("_account").isNull(), OWNER_SALTS - 1).otherwise(0)
-    monthly = monthly.withColumn("_salt2", F.explode(F.sequence(F.lit(0), last)))
-    same = F.col("account_id").eqNullSafe(F.col("_account")) & (F.col("_salt") == F.col("_salt2"))
-    # As many rows as transactions at worst, so not for broadcasting.
-    return owners.join(monthly.hint("merge"), same).select("customer_id", "year", "month", "n")
+    without = owners.where(F.col("account_id").isNull()).withColumn("_salt", own)
+    # Few bytes and many pairs: a fixed number of parts, which adaptive execution doesn't put together.
+    salted = max(dealt.parts, LEAST_OWNER_PARTS)
+    without, loose = (side.repartition(salted, "_salt") for side in (without, loose))
+    met = without.join(loose.hint("merge"), "_salt").select("customer_id", "year", "month", "n")
+    return owned.union(met)
 
 
-def monthly_txn_counts_by_account(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+def monthly_txn_counts_by_account(
+    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None
+) -> DataFrame:
     """The same from the account grain: count per account and month, then join."""
-    joined = _owned_months(accounts, transactions).groupBy("customer_id", "year", "month")
-    return joined.agg(F.sum("n").alias("num_transactions"))
+    owned = _owned_months(accounts, transactions, dealt).groupBy("customer_id", "year", "month")
+    return owned.agg(F.sum("n").alias("num_transactions"))
 
 
 def avg_txn_per_month(monthly: DataFrame) -> DataFrame:
@@ -133,21 +146,23 @@ def first_row_per_customer(df: DataFrame, order: list[str] | None = None) -> Dat
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
-def first_transactions(transactions: DataFrame) -> DataFrame:
-    """The first transaction of each account, by partial minima."""
+def first_transactions(transactions: DataFrame, dealt: Dealt | None = None) -> DataFrame:
+    """The first transaction of each account; where some account is hot, by minima of its salts."""
+    dealt = dealt or deal_transactions(transactions)
     names = FIRST_ROW_ORDER[1:]
     # A struct compares field by field; the flag before each field puts its NULLs last.
     ordered = F.struct(*[x for c in names for x in (F.isnull(c).alias(f"no_{c}"), F.col(c))])
-    return (
-        transactions.groupBy("account_id")
-        .agg(F.min(ordered).alias("first"))
-        .select("account_id", *[F.col("first")[c].alias(c) for c in names])
-    )
+    first = dealt.rows.groupBy(dealt.keys).agg(F.min(ordered).alias("first"))
+    if len(dealt.keys) > 1:
+        first = first.groupBy("account_id").agg(F.min("first").alias("first"))
+    return first.select("account_id", *[F.col("first")[c].alias(c) for c in names])
 
 
-def first_row_by_account(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+def first_row_by_account(
+    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None
+) -> DataFrame:
     """The same from the account grain."""
-    first = first_transactions(transactions).withColumnRenamed("account_id", "_account")
+    first = first_transactions(transactions, dealt).withColumnRenamed("account_id", "_account")
     joined = accounts.join(first, F.col("account_id").eqNullSafe(F.col("_account")), "left")
     return first_row_per_customer(joined.drop("_account"))
 
@@ -178,8 +193,9 @@ def customer_features(
     accounts: DataFrame, transactions: DataFrame, domains: dict[str, list[str]]
 ) -> DataFrame:
     """One row per customer: keys, numeric features, 0/1 columns."""
-    average = avg_txn_per_month(monthly_txn_counts_by_account(accounts, transactions))
-    first = first_row_by_account(accounts, transactions)
+    dealt = deal_transactions(transactions)
+    average = avg_txn_per_month(monthly_txn_counts_by_account(accounts, transactions, dealt))
+    first = first_row_by_account(accounts, transactions, dealt)
     rows = attach_customer_agg(add_monthly_spend(one_hot(first, domains)), average)
     return project(rows, feature_columns(domains))
 

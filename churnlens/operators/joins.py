@@ -22,12 +22,14 @@ from ..session import quoted
 class SkewPolicy:
     """When a key counts as hot, in rows (or joined pairs) for a single task.
 
+    ``rows_per_part`` are the rows of a task that sorts or groups rows dealt by key.
     Keys with more than ``share`` of a side's rows are looked for. There are at most 1/share of
     them, so none is cut off, and the sketch is sized to tell them from the rest.
     """
 
     rows_per_task: int = 1_000_000
     pairs_per_task: int = 5_000_000
+    rows_per_part: int = 250_000
     share: float = 1e-4
 
     @property
@@ -116,6 +118,28 @@ def hot_of(
     ]
 
 
+@dataclass(frozen=True)
+class Dealt:
+    """Rows in parts of bounded size, each key (and salt, where some key is hot) in one part."""
+
+    rows: DataFrame
+    keys: list[str]
+    parts: int
+
+
+def deal(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> Dealt:
+    """``df`` dealt by ``key`` over a number of parts that grows with its rows, so that a part takes as much
+    memory whatever the size of the table. The rows of a hot key, NULL too, are spread by row
+    over a column ``_salt``."""
+    load = heavy_keys([("rows", df, key)], policy)["rows"]
+    parts = max(1, math.ceil(load.rows / policy.rows_per_part))
+    salts = {k.value: k.grid(policy)[1] for k in hot_of({}, load.counts, policy)}
+    if not salts:
+        return Dealt(df.repartition(parts, key), [key], parts)
+    rows = _own_salt(df, "_salt", F.col(key), salts)
+    return Dealt(rows.repartition(parts, key, "_salt"), [key, "_salt"], parts)
+
+
 def exact_hot_keys(
     left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> list[HotKey]:

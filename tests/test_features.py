@@ -4,7 +4,7 @@ import pytest
 from churnlens import fixtures
 from churnlens.fixtures import FIXTURE_DOMAINS
 from churnlens.functions import scalars
-from churnlens.operators import features, gold
+from churnlens.operators import features, gold, joins
 from churnlens.operators.joins import SkewPolicy
 from churnlens.plans import registry
 from pyspark.sql import functions as F
@@ -116,3 +116,36 @@ def test_rows_per_transaction_are_not_written(spark, data_dir, monkeypatch, name
     monkeypatch.setattr(registry, "staged", lambda df, to: written.append(df.columns) or plain(df, to))
     registry.QUERIES[name](spark, data_dir)
     assert written and not any("transaction_id" in c for c in written)
+
+
+def _small_parts(spark):
+    days = [dt.date(2020, 1 + i % 12, 1 + i % 28) for i in range(900)]
+    paid = [(f"t{i}", float(i), days[i], None if i % 9 == 0 else "hot" if i % 3 else str(i)) for i in range(900)]
+    paid += [("u", 1.0, None, "hot"), (None, None, None, None), ("v", 2.0, dt.date(2020, 1, 1), "hot")]
+    schema = "transaction_id string, transaction_amount double, transaction_date date, account_id string"
+    owners = [(f"c{i}", a) for i, a in enumerate([None, None, "hot", "1", "3", "none"])] + [(None, "5"), ("c2", "5")]
+    return spark.createDataFrame(owners, "customer_id string, account_id string"), spark.createDataFrame(paid, schema)
+
+
+def test_transactions_are_dealt_in_parts_that_do_not_grow(spark):
+    _, paid = _small_parts(spark)
+    policy = SkewPolicy(rows_per_task=50, rows_per_part=60)
+    small, large = joins.deal(paid, "account_id", policy), joins.deal(paid.union(paid), "account_id", policy)
+    assert (small.parts, large.parts) == (16, 31) and small.keys == ["account_id", "_salt"]
+    loads = large.rows.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in loads) < 400  # of 1,202 rows of the hot account
+    assert large.rows.drop("_salt").exceptAll(paid.union(paid)).isEmpty() and large.rows.count() == 1_806
+    assert joins.deal(paid.limit(0), "account_id", policy).parts == 1
+
+
+@pytest.mark.parametrize("most", [50, 100_000])
+def test_dealt_transactions_give_the_same_months_and_first_rows(spark, most):
+    accounts, paid = _small_parts(spark)
+    dealt = joins.deal(paid, "account_id", SkewPolicy(rows_per_task=most, rows_per_part=60))
+    assert (len(dealt.keys) == 2) == (most == 50)
+    gold_rows = accounts.join(paid.withColumnRenamed("account_id", "a"), F.col("account_id").eqNullSafe(F.col("a")), "left")
+    months = features.monthly_txn_counts(gold_rows)
+    assert sorted(features.monthly_txn_counts_by_account(accounts, paid, dealt).collect()) == sorted(months.collect())
+    first = features.first_row_by_account(accounts, paid, dealt)
+    wanted = features.first_row_per_customer(gold_rows.drop("a")).select(first.columns)
+    assert first.exceptAll(wanted).isEmpty() and first.count() == wanted.count() == accounts.select("customer_id").distinct().count()
