@@ -8,6 +8,7 @@ are looked up together, and then compared with the bytes remembered.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 
 import numpy as np
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 from .text import joined, mix64, words_of
 
 KEEP_PIECES = 1_000_000
+#: New pieces that are encoded as one text.
+RUN_PIECES = 64
 _U64 = np.uint64
 #: What stands before a piece that keeps its white space; a zero byte stands for nothing.
 _LEAD = {0: "", 32: " ", 10: "\n"}
@@ -101,6 +104,19 @@ class _Lists:
         return self.items[_runs(self.begins[numbers], self.lengths[numbers])]
 
 
+def _bytes_of(tokenizer) -> np.ndarray | None:
+    """How many bytes each id of a byte-level vocabulary stands for, whose entries write a byte as a
+    character; None for another vocabulary, or one that puts or changes characters first."""
+    plan = json.loads(tokenizer.to_str())
+    before = plan["pre_tokenizer"] or {}
+    if plan["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return None
+    out = np.zeros(max(tokenizer.get_vocab().values(), default=0) + 1, np.int64)
+    for entry, number in tokenizer.get_vocab().items():
+        out[number] = len(entry)
+    return out
+
+
 class PieceEncoder:
     """Ids of texts by one tokenizer file, as the library gives them with ``add_special_tokens``
     off: none is added, but the name of a special token in a text is that token.
@@ -120,6 +136,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.spaced = spaced
+        self.bytes_of = _bytes_of(self.tokenizer) if spaced else None
         self._forget_all()
 
     def _forget_all(self) -> None:
@@ -146,6 +163,31 @@ class PieceEncoder:
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         return np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths
 
+    def _encoded_in_runs(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that keep the white space before them, a run of them as one text; what the
+        ids of a run stand for tells which piece each belongs to. Pieces that begin a text, and runs
+        with an id across two pieces, are encoded one by one."""
+        runs, alone = [], []
+        inner = [i for i, piece in enumerate(pieces) if piece[0]]
+        for at in (inner[i : i + RUN_PIECES] for i in range(0, len(inner), RUN_PIECES)):
+            runs.append((at, b"".join([pieces[i] for i in at]).decode()))
+        found = self.tokenizer.encode_batch_fast([text for _, text in runs], add_special_tokens=False)
+        parts, of = [], []
+        for (at, _), got in zip(runs, found):
+            ids = np.array(got.ids, np.uint32)
+            ends = np.cumsum(self.bytes_of[ids])
+            bounds = np.cumsum([len(pieces[i]) for i in at])
+            last = np.searchsorted(ends, bounds)
+            if not len(ends) or ends[-1] != bounds[-1] or (ends[last] != bounds).any():
+                alone.extend(at)
+                continue
+            parts.append(ids)
+            of.append(np.repeat(np.array(at), np.diff(last, prepend=-1)))
+        alone += [i for i, piece in enumerate(pieces) if not piece[0]]
+        ids, lengths = self._encoded([_LEAD[pieces[i][0]] + pieces[i][1:].decode() for i in alone])
+        of = np.concatenate([*of, np.repeat(np.array(alone, np.int64), lengths)])
+        return np.concatenate([*parts, ids])[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(pieces))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (see ``text.texts_of``) in a row (uint32), and how many each has."""
         odd = self._odd(texts) if self.spaced else np.zeros(len(texts), bool)
@@ -201,7 +243,10 @@ class PieceEncoder:
             raw = data[_runs(begins[new], lengths[new])]
             text, ends = raw.tobytes(), np.cumsum(lengths[new]).tolist()
             pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
-            ids, id_counts = self._encoded([_LEAD[p[0]] + p[1:].decode() if self.spaced else p.decode() for p in pieces])
+            if self.bytes_of is not None:
+                ids, id_counts = self._encoded_in_runs(pieces)
+            else:
+                ids, id_counts = self._encoded([_LEAD[p[0]] + p[1:].decode() if self.spaced else p.decode() for p in pieces])
             self._keep(new_keys, ids, id_counts, raw, lengths[new])
             numbers[missing] = self.table.find(keys[missing])
         np.add.at(self.hits, numbers, 1)

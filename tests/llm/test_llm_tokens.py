@@ -185,3 +185,24 @@ def test_prompts_without_loss(spark, data_dir):
 def test_limits_must_be_positive(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "x", 1, Limits(tokens=0))
+
+
+def test_new_pieces_are_encoded_in_runs_with_the_ids_of_whole_texts():
+    path = tokens.public_vocabulary("byte_bpe_50k.json")
+    encoder = tokens.PieceEncoder(path, spaced=True)
+    single, plain = [], encoder._encoded
+    encoder._encoded = lambda pieces: single.extend(pieces) or plain(pieces)
+    texts = [" ".join(f"w{i * j}é-{j}日" for j in range(1, 90)) + "\nnew don't 12'3" for i in range(20)] + ["", "a", "b\nc"]
+    ids, counts = encoder.encode(texts_of(pa.array(texts)))
+    wanted = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in wanted] and ids.tolist() == sum(wanted, [])
+    assert len(single) < 30 < encoder.table.count  # the first word of a text, and no other
+
+
+def test_a_run_whose_ids_do_not_end_with_its_pieces_is_encoded_piece_by_piece():
+    encoder = tokens.PieceEncoder(tokens.public_vocabulary("byte_bpe_50k.json"), spaced=True)
+    pieces = [b" one", b"\0two", b" three"]
+    wanted = [r.tolist() for r in encoder._encoded([" one", "two", " three"])]
+    assert [r.tolist() for r in encoder._encoded_in_runs(pieces)] == wanted
+    encoder.bytes_of = encoder.bytes_of + 1
+    assert [r.tolist() for r in encoder._encoded_in_runs(pieces)] == wanted
