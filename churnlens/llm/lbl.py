@@ -43,7 +43,7 @@ CHUNK_BYTES = 8 << 20
 SHARD_WORDS = 1 << 18
 _FLUSH_WORDS = 1 << 20
 _SEGMENT = 1 << 18
-_CONTEXTS = 8_192
+_CONTEXTS = 1_024  # a block of logits stays in the cache
 _U64 = np.uint64
 #: The hash that stands for the end of a text; a word's own hash is never even.
 END = _U64(0)
@@ -153,18 +153,21 @@ class Model:
         """Natural log-probability of each symbol after the two before it, normalised over classes
         and over the words of its class. Distinct contexts are normalised once."""
         out, kinds = np.empty(len(tokens)), self.kind[tokens]
-        context, where = np.unique(before * (self.symbols + 1) + last, return_inverse=True)
-        sort = np.argsort(where, kind="stable")
-        bounds = np.searchsorted(where[sort], np.arange(0, len(context) + _CONTEXTS, _CONTEXTS))
+        pairs = before * (self.symbols + 1) + last
+        sort = np.argsort(pairs, kind="stable")
+        pairs = pairs[sort]
+        new = np.concatenate([np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1]])
+        context, where = pairs[new], np.cumsum(new) - 1
+        bounds = np.searchsorted(where, np.arange(0, len(context) + _CONTEXTS, _CONTEXTS))
         for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             own, at = context[i * _CONTEXTS : (i + 1) * _CONTEXTS], sort[a:b]
             guess = self.guess(own // (self.symbols + 1), own % (self.symbols + 1))
             logits = guess @ self.tops.T
             logits += self.top_bias
-            row = where[at] - i * _CONTEXTS
+            row = where[a:b] - i * _CONTEXTS
             out[at] = logits[row, kinds[at]] - _log_sums(logits)[row]
         inner = np.flatnonzero(self.sizes[kinds] > 1)
-        inner = inner[np.argsort(kinds[inner], kind="stable")]
+        inner = inner[np.argsort(_short(kinds[inner], self.classes), kind="stable")]
         edges = np.flatnonzero(np.diff(kinds[inner], prepend=-1, append=-1))
         for a, b in zip(edges[:-1], edges[1:]):
             low = self.lows[kinds[inner[a]]]
@@ -177,6 +180,11 @@ class Model:
         return out
 
 
+def _short(numbers: np.ndarray, below: int) -> np.ndarray:
+    """The shorter ones sort faster."""
+    return numbers.astype(np.uint16 if below <= 1 << 16 else np.int64)
+
+
 def _log_sums(logits: np.ndarray) -> np.ndarray:
     most = logits.max(axis=1)
     powers = logits - most[:, None]
@@ -258,8 +266,9 @@ class Trainer:
         up, down = _pulls(good, bad)
         d_guess = up[:, None] * m.tops[kinds] + down @ m.tops[noise]
         drawn = np.concatenate([kinds, noise])
-        self._move("tops", drawn, np.concatenate([up[:, None] * guess, down.T @ guess]), 0.1, n)
-        self._move("top_bias", drawn, np.concatenate([up, down.sum(axis=0)]), 0.01, n)
+        values, weights = np.concatenate([guess, down.T @ guess]), np.concatenate([up, np.ones(NOISE, np.float32)])
+        self._move("tops", drawn, values, np.arange(len(drawn)), weights, 0.1, n)
+        self._move("top_bias", drawn, np.concatenate([up, down.sum(axis=0)]), None, None, 0.01, n)
         at = np.flatnonzero(m.sizes[kinds] > 1)
         if len(at):
             k, g, word = kinds[at], guess[at], tokens[at] - RARE - 1
@@ -270,23 +279,31 @@ class Trainer:
             up, down = _pulls(good, bad)
             d_guess[at] += up[:, None] * own + np.einsum("nk,nkd->nd", down, others)
             drawn = np.concatenate([word, other.ravel()])
-            slopes = np.concatenate([up[:, None] * g, (down[:, :, None] * g[:, None, :]).reshape(-1, DIM)])
-            self._move("words", drawn, slopes, 0.1, n)
-            self._move("word_bias", drawn, np.concatenate([up, down.ravel()]), 0.01, n)
-        self._move("context", np.concatenate([before, m.symbols + 1 + last]), np.concatenate([d_guess, d_guess]), 0.1, n)
+            of = np.concatenate([np.arange(len(at)), np.repeat(np.arange(len(at)), INNER_NOISE)])
+            weights = np.concatenate([up, down.ravel()])
+            self._move("words", drawn, g, of, weights, 0.1, n)
+            self._move("word_bias", drawn, weights, None, None, 0.01, n)
+        rows = np.concatenate([before, m.symbols + 1 + last])
+        self._move("context", rows, d_guess, np.tile(np.arange(n), 2), None, 0.1, n)
         self.tokens += n
 
-    def _move(self, name: str, rows: np.ndarray, slopes: np.ndarray, rate: float, n: int) -> None:
-        """Adds up the slopes of each row and moves the rows that have any."""
-        short = np.uint16 if len(self.squares[name]) <= 1 << 16 else np.int64  # the shorter ones sort faster
-        order = np.argsort(rows.astype(short), kind="stable")
+    def _move(self, name: str, rows: np.ndarray, values: np.ndarray, of, weights, rate: float, n: int) -> None:
+        """Adds up the slopes of each row and moves the rows that have any. A slope is the value at its
+        place in ``of``, times its weight, where these are given."""
+        squares, table = self.squares[name], getattr(self.model, name)
+        order = np.argsort(_short(rows, len(squares)), kind="stable")
         keys = rows[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        slope = np.add.reduceat(slopes[order], first, axis=0) / np.float32(n)
-        at, squares = keys[first], self.squares[name]
+        slopes = values[order if of is None else of[order]]
+        if weights is not None:
+            slopes *= weights[order][:, None]
+        slope = np.add.reduceat(slopes, first, axis=0)
+        slope /= np.float32(n)
+        at = keys[first]
         total = squares[at] + slope * slope
         squares[at] = total
-        getattr(self.model, name)[at] += np.float32(rate) * slope / np.sqrt(total)
+        slope *= np.float32(rate)
+        table[at] += slope / np.sqrt(total)
 
 
 def _trainer(start):

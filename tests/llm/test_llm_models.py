@@ -202,3 +202,40 @@ def test_label_samples_keep_their_bound(spark):
     chosen = spark.createDataFrame([(7, 1, 1), (8, 2, 0)], "doc_id long, h long, label int")
     got = quality.sample_texts(docs, chosen, "doc_id", "text").collect()
     assert [(r["h"], r["label"]) for r in got] == [(1, 1)]
+
+
+def test_slopes_of_a_row_are_added_up_without_a_table_of_them():
+    rng = np.random.default_rng(0)
+    model = lbl.start_model(np.arange(1, 9, dtype=np.uint64), np.arange(8, 0, -1), np.ones(lbl.RARE), 3, np.ones(lbl.RARE) + 1)
+    plain, trainer = lbl.Trainer(model, 1), lbl.Trainer(model, 1)
+    rows, of = rng.integers(0, 8, 50), rng.integers(0, 20, 50)
+    values, weights = rng.normal(size=(20, lbl.DIM)).astype(np.float32), rng.normal(size=50).astype(np.float32)
+    plain._move("words", rows, values[of] * weights[:, None], None, None, 0.1, 10)
+    trainer._move("words", rows, values, of, weights, 0.1, 10)
+    assert (plain.model.words == trainer.model.words).all() and (trainer.model.words != model.words).any()
+    for r in range(8):
+        slope = (values[of] * weights[:, None])[rows == r].sum(axis=0) / 10
+        moved = 0.1 * slope / np.sqrt(1e-8 + slope**2)
+        assert np.allclose(trainer.model.words[r], model.words[r] + moved, atol=1e-4)
+
+
+def test_log_probabilities_do_not_depend_on_the_block(monkeypatch):
+    rng = np.random.default_rng(0)
+    model = lbl.start_model(np.arange(1, 40, dtype=np.uint64), np.arange(39, 0, -1), np.ones(lbl.RARE), 3, np.ones(lbl.RARE) + 1)
+    tokens, before, last = (rng.integers(0, model.symbols, 500) for _ in range(3))
+    whole = model.log_probabilities(tokens, before, last)
+    monkeypatch.setattr(lbl, "_CONTEXTS", 7)
+    assert np.allclose(model.log_probabilities(tokens, before, last), whole, atol=1e-5)
+    wanted = []
+    for t, b, c in zip(tokens.tolist(), before.tolist(), last.tolist()):
+        guess, kind = model.context[b] + model.context[model.symbols + 1 + c], model.kind[t]
+        logits = model.tops @ guess + model.top_bias
+        p = logits[kind] - np.log(np.exp(logits).sum())
+        if model.sizes[kind] > 1:
+            own = slice(model.lows[kind], model.lows[kind] + model.sizes[kind])
+            logits = model.words[own] @ guess + model.word_bias[own]
+            p += logits[t - lbl.RARE - 1 - model.lows[kind]] - np.log(np.exp(logits).sum())
+        wanted.append(p)
+    assert np.allclose(whole, wanted, atol=1e-4)
+    empty = np.zeros(0, np.int64)
+    assert len(model.log_probabilities(empty, empty, empty)) == 0
