@@ -7,8 +7,9 @@ each task keeps the best k rows per query over all its pairs of blocks, so pairs
 shuffled.
 (The idea is the partition-based kNN join of Lu, Shen, Chen and Ooi, VLDB 2012.)
 
-In many dimensions the pivots tell little. There a sample of the training rows bounds each query's
-k-th distance from above, and partial distances bound all others from below: in coordinates
+A sample of the training rows, and then a block of rows in a query's own cell, bound its k-th distance
+from above. In few dimensions, rows beyond the bound are sorted out by rough distances in single
+precision. In many dimensions the pivots tell little. There partial distances bound all others from below: in coordinates
 rotated to the axes of the sample's spread, the distance in the leading ones and the difference of
 the lengths of what remains never exceed the whole distance. Rows that these bounds leave out
 are not measured, and a pair of blocks without any other is skipped. The sample decides only how much is
@@ -31,15 +32,21 @@ from ..session import new_work_path
 from ..sources.sinks import sink_stage_table
 from .split import sample_n
 
-# Pivots grow with the square root of the number of training blocks.
+# Pivots grow with the square root of the number of training blocks at first, then with that number, so
+# that a cell stays about as large as a block.
 PIVOTS_PER_ROOT = 8
-# Training rows that bound each query's k-th distance, and numbers they may hold in all.
+# Training rows that bound each query's k-th distance at first, and numbers they may hold in all.
 SAMPLE_ROWS, SAMPLE_VALUES = 4_096, 4_000_000
 # Share of the sample's spread that the leading coordinates should hold, and of the coordinates they
 # may be; share of pairs below which pairs are measured one by one and not as a product.
 LEADING_SHARE, LEADING_MOST, SPARSE = 0.9, 0.25, 0.1
-# Query blocks that one copy of a training block may meet before it is copied again.
-BLOCKS_PER_COPY = 64
+# Coordinates up to which whole distances cost no more than these bounds, and pairs in cache at a time.
+FEW_COORDINATES, CACHED_PAIRS = 16, 1 << 18
+# Least number of tasks that blocks meet in. More than Spark's own number, so that it stays.
+MEETING_TASKS = 256
+# Training blocks that travel together: as many groups as LEAST_GROUPS first, then groups of that many
+# blocks; query blocks that one copy of them may meet.
+LEAST_GROUPS, BLOCKS_PER_GROUP, BLOCKS_PER_COPY = 64, 16, 64
 
 
 def knn_classify(
@@ -116,7 +123,8 @@ def _meetings(train, queries, key, vector, label, k, block_rows):
     rows, width = train.agg(F.count("*"), F.max(F.size("vec"))).first()
     if not rows:
         return None
-    n_pivots = max(1, math.ceil(math.sqrt(rows / block_rows) * PIVOTS_PER_ROOT))
+    blocks = rows / block_rows
+    n_pivots = max(1, math.ceil(math.sqrt(blocks) * PIVOTS_PER_ROOT), min(SAMPLE_ROWS, math.ceil(blocks)))
     taken = max(n_pivots, min(SAMPLE_ROWS, SAMPLE_VALUES // max(1, width)))
     sample = np.array([r["vec"] for r in sample_n(train, "id", taken).collect()], dtype=float)
     pivots = sample[:n_pivots]
@@ -125,8 +133,7 @@ def _meetings(train, queries, key, vector, label, k, block_rows):
     train_cells = _cell_sizes(train, k)
     placed_queries = _stage(
         queries.mapInArrow(
-            partial(_place_queries, pivots=pivots, cells=train_cells, k=k, sample=sample),
-            placed + ", bound double, reach array<int>",
+            partial(_place_queries, pivots=pivots, cells=train_cells, k=k, sample=sample), placed + ", bound double"
         ),
         "knn-queries",
     )
@@ -138,23 +145,56 @@ def _meetings(train, queries, key, vector, label, k, block_rows):
 
     train_subs = {c: math.ceil(s["n"] / block_rows) for c, s in train_cells.items()}
     query_subs = {c: math.ceil(n / block_rows) for c, n in query_sizes.items()}
-    copies = _copies(placed_queries, query_subs)
-
-    train_blocks = _numbered(
-        _blocks(train, train_subs).select("cell", "sub", *[F.col(c).alias(f"t_{c}") for c in ("ids", "labels", "vecs")]),
-        copies,
-    ).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
+    train_blocks = _blocks(train, train_subs).select(
+        "cell", "sub", *[F.col(c).alias(f"t_{c}") for c in ("ids", "labels", "vecs")]
+    )
+    train_blocks = _stage(train_blocks, "knn-train-blocks")
+    # A query block first meets one block of its own cell. The rows there are near, so they bound the
+    # k-th distance far better than the sample, and few other cells remain to be searched.
+    home = _blocks(placed_queries, query_subs, bounds=F.col("rows.bound")).withColumn("spread", F.xxhash64("cell", "sub"))
+    home = _numbered(home, train_subs).withColumn("sub", F.pmod("spread", "number").cast("int"))
+    near = train_blocks.select("cell", "sub", "t_vecs")
+    axes = _axes(sample)
+    together = min(BLOCKS_PER_GROUP, math.ceil(sum(train_subs.values()) / LEAST_GROUPS))
+    begins, groups = _groups(train_subs, (pivots - axes[0]) @ axes[1][:, 0], together)
     query_blocks = (
-        _blocks(placed_queries, query_subs, bounds=F.col("rows.bound"), reach=F.array_distinct(F.flatten("rows.reach")))
-        .withColumn("spread", F.xxhash64("cell", "sub"))
-        .select("ids", "vecs", "bounds", "spread", F.explode("reach").alias("cell"))
+        home.join(near, ["cell", "sub"], "left")
+        .select("ids", "vecs", "bounds", "spread", "t_vecs")
+        .mapInArrow(
+            partial(_reached, pivots=pivots, cells=train_cells, groups=groups, k=k),
+            f"ids array<{key_type}>, vecs array<double>, bounds array<double>, spread long, "
+            "reach array<int>, groups array<int>",
+        )
+    )
+    query_blocks = _stage(query_blocks, "knn-query-blocks").withColumn("group", F.explode("groups")).drop("groups")
+    visits = _visits(query_blocks)
+    copies = {group: math.ceil(n / BLOCKS_PER_COPY) for group, n in visits.items()}
+    # Few bytes and much work: a fixed number of tasks, which adaptive execution doesn't put together.
+    tasks = max(sum(copies.values()), min(MEETING_TASKS, sum(visits.values())))
+
+    train_blocks = (
+        _numbered(train_blocks, begins)
+        .withColumn("group", F.floor((F.col("number") + F.col("sub")) / together).cast("int"))
+        .withColumnRenamed("cell", "t_cell")
     )
-    query_blocks = _numbered(query_blocks, copies).withColumn("copy", F.pmod("spread", "number").cast("int"))
-    query_blocks = _numbered(query_blocks, train_subs).withColumn(
-        "sub", F.explode(F.sequence(F.lit(0), F.col("number") - 1))
+    train_blocks = _numbered(train_blocks, copies, "group").withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.col("number") - 1))
     )
-    pairs = query_blocks.drop("number").join(train_blocks.drop("number"), ["cell", "sub", "copy"])
-    return pairs.select("spread", "ids", "vecs", "bounds", "t_ids", "t_labels", "t_vecs"), _axes(sample)
+    query_blocks = _numbered(query_blocks, copies, "group").withColumn("copy", F.pmod("spread", "number").cast("int"))
+    query_blocks, train_blocks = (
+        side.drop("number").repartition(tasks, "group", "copy") for side in (query_blocks, train_blocks)
+    )
+    pairs = query_blocks.join(train_blocks, ["group", "copy"]).where(F.array_contains("reach", F.col("t_cell")))
+    return pairs.select("spread", "ids", "vecs", "bounds", "t_ids", "t_labels", "t_vecs"), axes
+
+
+def _groups(subs: dict[int, int], place: np.ndarray, together: int) -> tuple[dict[int, int], dict[int, range]]:
+    """Blocks numbered by the place of their cell, so that near ones travel together: the first
+    number of each cell, and the groups that hold its blocks."""
+    order = sorted(subs, key=lambda c: (place[c], c))
+    ends = np.cumsum([subs[c] for c in order]).tolist()
+    begins = {c: end - subs[c] for c, end in zip(order, ends)}
+    return begins, {c: range(b // together, (b + subs[c] - 1) // together + 1) for c, b in begins.items()}
 
 
 def _axes(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -171,11 +211,11 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return sink_stage_table(df, new_work_path(df.sparkSession, name))
 
 
-def _numbered(df: DataFrame, numbers: dict[int, int]) -> DataFrame:
-    """``df`` with the number of its cell, 1 if none is given. A row per pivot is broadcast."""
+def _numbered(df: DataFrame, numbers: dict[int, int], by: str = "cell") -> DataFrame:
+    """``df`` with the number of its cell or group, 1 if none is given. A row per pivot is broadcast."""
     columns = pa.array(numbers.keys(), pa.int32()), pa.array(numbers.values(), pa.int32())
-    listed = df.sparkSession.createDataFrame(pa.Table.from_arrays(columns, ["cell", "number"]))
-    joined = df.drop("number").join(F.broadcast(listed), "cell", "left")
+    listed = df.sparkSession.createDataFrame(pa.Table.from_arrays(columns, [by, "number"]))
+    joined = df.drop("number").join(F.broadcast(listed), by, "left")
     return joined.withColumn("number", F.coalesce("number", F.lit(1)))
 
 
@@ -196,15 +236,9 @@ def _cell_sizes(train: DataFrame, k: int) -> dict[int, dict[str, float]]:
     return {r["cell"]: {c: r[c] for c in ("n", "low", "high", "kth")} for r in rows}
 
 
-def _copies(queries: DataFrame, query_subs: dict[int, int]) -> dict[int, int]:
-    """Copies of a cell's blocks, by the number of query blocks that will visit them. At most
-    pivots x pivots distinct pairs are summed up, and a row per pivot comes back."""
-    visits = (
-        _numbered(queries.select("cell", F.explode("reach").alias("reached")).distinct(), query_subs)
-        .groupBy("reached")
-        .agg(F.sum("number").alias("blocks"))
-    )
-    return {r["reached"]: math.ceil(r["blocks"] / BLOCKS_PER_COPY) for r in visits.collect()}
+def _visits(query_blocks: DataFrame) -> dict[int, int]:
+    """The number of query blocks that will visit each group of training blocks. A row per group."""
+    return {r["group"]: r["count"] for r in query_blocks.groupBy("group").count().collect()}
 
 
 def _blocks(placed: DataFrame, subs: dict[int, int], **extra) -> DataFrame:
@@ -213,7 +247,7 @@ def _blocks(placed: DataFrame, subs: dict[int, int], **extra) -> DataFrame:
         _numbered(placed, subs)
         .withColumn("sub", F.pmod(F.xxhash64("id"), "number").cast("int"))
         .groupBy("cell", "sub")
-        .agg(F.array_sort(F.collect_list(F.struct("id", "label", "vec", *(c for c in ("bound", "reach") if c in placed.columns)))).alias("rows"))
+        .agg(F.array_sort(F.collect_list(F.struct("id", "label", "vec", *(c for c in ("bound",) if c in placed.columns)))).alias("rows"))
     )
     return packed.select(
         "cell",
@@ -232,11 +266,14 @@ def _vectors(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
-def _to_pivots(batch: pa.RecordBatch, pivots: np.ndarray) -> np.ndarray:
-    x = _vectors(batch.column("vec"), batch.num_rows)
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in pivots], axis=1))
 
 
+def _to_pivots(batch: pa.RecordBatch, pivots: np.ndarray) -> np.ndarray:
+    return _distances(_vectors(batch.column("vec"), batch.num_rows), pivots)
+
+
 def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [*batch.columns, *columns.values()], names=[*batch.schema.names, *columns]
@@ -257,27 +294,49 @@ def _place(batches: Iterator[pa.RecordBatch], pivots: np.ndarray) -> Iterator[pa
             yield _with(batch, **_placement(_to_pivots(batch, pivots)))
 
 
-def _products(q: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances in product form, and what rounding may add to a row of them."""
-    sizes = (q**2).sum(axis=1)[:, None] + (t**2).sum(axis=1)[None, :]
-    return sizes - 2 * (q @ t.T), 1e-12 * sizes.max(axis=1) + 1e-300
+def _products(q: np.ndarray, t: np.ndarray, kind=np.float64) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances in product form, and the greatest sum of squares in a row of them."""
+    q_size, t_size = (q**2).sum(axis=1), (t**2).sum(axis=1)
+    left, right = np.column_stack([q, q_size, np.ones(len(q))]), np.column_stack([-2 * t, np.ones(len(t)), t_size])
+    return left.astype(kind, copy=False) @ right.astype(kind, copy=False).T, q_size + t_size.max(initial=0)
+
+
+def _rough_products(q: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of few coordinates in single precision, where they stay in its range, and what
+    rounding may add to a row of them."""
+    if max(np.abs(q).max(initial=0), np.abs(t).max(initial=0)) > 1e12:
+        rough, sizes = _products(q, t)
+        return rough, 1e-12 * sizes + 1e-300
+    rough, sizes = _products(q, t, np.float32)
+    return rough, 8e-6 * sizes + 1e-30
 
 
 def _sample_bound(x: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
     """What the k-th distance of each row cannot exceed."""
     if len(sample) < k:
         return np.full(len(x), np.inf)
-    rough, slack = _products(x, sample)
-    return np.sqrt(np.maximum(np.partition(rough, k - 1, axis=1)[:, k - 1] + slack, 0))
+    bounds = []
+    for i in range(0, len(x), 512):
+        rough, sizes = _products(x[i : i + 512], sample)
+        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        bounds.append(np.sqrt(np.maximum(kth + 1e-12 * sizes + 1e-300, 0)))
+    return np.concatenate(bounds) if bounds else np.zeros(0)
 
 
-def _place_queries(batches, pivots, cells, k, sample):
-    """Adds the cells that may hold one of the k nearest training rows, and a bound of the k-th distance."""
+def _cell_arrays(cells: dict[int, dict[str, float]]) -> tuple[np.ndarray, ...]:
     names = np.array(sorted(cells))
-    n = np.array([cells[c]["n"] for c in names], dtype=float)
-    low = np.array([cells[c]["low"] for c in names])
-    high = np.array([cells[c]["high"] for c in names])
+    n, low, high = (np.array([cells[c][x] for c in names], dtype=float) for x in ("n", "low", "high"))
     kth = np.array([np.inf if cells[c]["kth"] is None else cells[c]["kth"] for c in names])
+    return names, n, low, high, kth
+
+
+def _rounded_up(bound: np.ndarray) -> np.ndarray:
+    return bound * (1 + 1e-9) + 1e-9
+
+
+def _place_queries(batches, pivots, cells, k, sample):
+    """Adds the cell and a bound of the k-th distance."""
+    names, n, _, high, kth = _cell_arrays(cells)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -292,16 +351,33 @@ def _place_queries(batches, pivots, cells, k, sample):
         first = enough.argmax(axis=1)
         whole = np.take_along_axis(far, np.take_along_axis(order, first[:, None], 1), 1)[:, 0]
         bound = np.minimum(bound, np.where(enough[:, -1], whole, np.inf))
-        nearest = np.maximum(d - high, low - d)
-        x = _vectors(batch.column("vec"), batch.num_rows)
-        parts = [_sample_bound(x[i : i + 1_024], sample, k) for i in range(0, len(x), 1_024)]
-        bound = np.minimum(bound, np.concatenate(parts)) * (1 + 1e-9) + 1e-9
-        reach = nearest <= bound[:, None]
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], reach.sum(axis=1).cumsum()]).astype(np.int32)),
-            pa.array(names[np.nonzero(reach)[1]].astype(np.int32)),
-        )
-        yield _with(batch, **_placement(all_distances), bound=pa.array(bound), reach=lists)
+        bound = np.minimum(bound, _sample_bound(_vectors(batch.column("vec"), batch.num_rows), sample, k))
+        yield _with(batch, **_placement(all_distances), bound=pa.array(_rounded_up(bound)))
+
+
+def _reached(batches, pivots, cells, groups, k):
+    """Blocks of queries with bounds that the training rows beside them tighten, the cells that may
+    hold one of the k nearest training rows of any of them, and the groups of these cells."""
+    names, _, low, high, _ = _cell_arrays(cells)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part = batch.slice(i, 1)
+            q = _matrix(part.column("vecs")[0].values, pivots.shape[1])
+            bound = part.column("bounds")[0].values.to_numpy()
+            if part.column("t_vecs")[0].is_valid:
+                t = _matrix(part.column("t_vecs")[0].values, pivots.shape[1])
+                bound = np.minimum(bound, _rounded_up(_sample_bound(q, t, k)))
+            d = _distances(q, pivots)[:, names]
+            reach = names[(np.maximum(d - high, low - d) <= bound[:, None]).any(axis=0)]
+            columns = {
+                "ids": part.column("ids"),
+                "vecs": part.column("vecs"),
+                "bounds": pa.array([bound], pa.list_(pa.float64())),
+                "spread": part.column("spread"),
+                "reach": pa.array([reach], pa.list_(pa.int32())),
+                "groups": pa.array([sorted({g for c in reach.tolist() for g in groups[c]})], pa.list_(pa.int32())),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 HELD_ROWS = 2_000_000
@@ -313,7 +389,8 @@ def _search(batches, k, axes, effort=False):
     number of coordinates; blocks without names or bounds are told apart by their ids and unbounded."""
     if isinstance(axes, int):
         axes = np.zeros(axes), np.eye(axes), math.ceil(LEADING_MOST * axes)
-    held: dict[object, tuple] = {}
+    held: dict[object, list] = {}
+    few = len(axes[0]) <= FEW_COORDINATES
     size, counts = 0, np.zeros(4, np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
@@ -323,36 +400,41 @@ def _search(batches, k, axes, effort=False):
             q_ids = batch.column("ids")[i].values
             q, t = (_matrix(batch.column(c)[i].values, len(axes[0])) for c in ("vecs", "t_vecs"))
             labels = batch.column("t_labels")[i].values.to_numpy()
-            if "bounds" in batch.schema.names:
-                bound = batch.column("bounds")[i].values.to_numpy(zero_copy_only=False)
-            else:
-                bound = np.full(len(q), np.inf)
-            parts = []
-            if block in held:
-                parts.append(held.pop(block)[1])
-                size -= len(parts[0][0])
-                bound = _tightened(bound, parts[0], k)
-            q_low, t_low = _lowered(q, axes), _lowered(t, axes)
+            if block not in held:
+                if "bounds" in batch.schema.names:
+                    bound = batch.column("bounds")[i].values.to_numpy(zero_copy_only=False)
+                else:
+                    bound = np.full(len(q), np.inf)
+                held[block] = [q_ids, [], bound, 0]
+            mine = held[block]
+            bound = mine[2]
+            q_low, t_low = (None, None) if few else (_lowered(q, axes), _lowered(t, axes))
             # Some query rows at a time, to bound the distance matrix.
-            step = max(1, 4_000_000 // max(1, len(t)))
-            measured = 0
+            step = max(1, (CACHED_PAIRS if few else 4_000_000) // max(1, len(t)))
+            measured = found = 0
             for start in range(0, len(q), step):
                 part = slice(start, start + step)
-                rows, cols, distance, n = _nearest(q[part], t, k, bound[part], q_low[part], t_low)
-                parts.append((rows + start, names[cols], labels[cols], distance))
-                measured += n
+                low = None if few else q_low[part]
+                rows, cols, distance, n = _nearest(q[part], t, k, bound[part], low, t_low)
+                if len(rows):
+                    mine[1].append((rows + start, names[cols], labels[cols], distance))
+                measured, found = measured + n, found + len(rows)
             counts += [1, measured == 0, len(q) * len(t), measured]
-            held[block] = q_ids, _best(parts, k)
-            size += len(held[block][1][0])
+            mine[3], size = mine[3] + found, size + found
+            # To sort is dear: only once enough has come together, which then tightens the bounds.
+            if mine[3] > 2 * k * len(q):
+                best = _best(mine[1], k)
+                size += len(best[0]) - mine[3]
+                mine[1:] = [best], _tightened(bound, best, k), len(best[0])
             if size > HELD_ROWS:
                 if not effort:
-                    yield from _send(held)
+                    yield from _send(held, k)
                 held, size = {}, 0
     if effort:
         columns = ["blocks", "skipped", "pairs", "measured"]
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in counts.tolist()], names=columns)
     else:
-        yield from _send(held)
+        yield from _send(held, k)
 
 
 def _names(ids: pa.Array) -> np.ndarray:
@@ -389,16 +471,26 @@ def _best(parts, k):
     return rows[keep], names[keep], labels[keep], distance[keep]
 
 
-def _send(held):
-    for q_ids, (rows, names, labels, distance) in held.values():
+def _send(held, k):
+    for q_ids, parts, _, _ in held.values():
+        if not parts:
+            continue
+        rows, names, labels, distance = _best(parts, k)
         columns = [q_ids.take(pa.array(rows)), pa.array(names), pa.array(labels), pa.array(distance)]
         yield pa.RecordBatch.from_arrays(columns, names=["query", "neighbour", "label", "distance"])
 
 
 def _nearest(q, t, k, bound, q_low, t_low):
     """(query row, training row, distance, pairs measured) of the k nearest within the bounds;
-    equals by training position."""
+    equals by training position. Without the lowered rows all pairs are measured."""
     limit = bound**2
+    if q_low is None:
+        rough, slack = _rough_products(q, t)
+        measured, near = rough.size, rough <= (limit + slack)[:, None].astype(rough.dtype)
+        if k < len(t) and np.count_nonzero(near) > 2 * k * len(q):
+            near &= rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * slack)[:, None].astype(rough.dtype)
+        rows, cols = np.divmod(np.flatnonzero(near), len(t))
+        return *_measured(q, t, k, rows, cols), measured
     low, _ = _products(q_low, t_low)
     slack = 1e-11 * ((q**2).sum(axis=1) + (t**2).sum(axis=1).max(initial=0)) + 1e-300
     near = low <= (limit + slack)[:, None]
@@ -407,13 +499,17 @@ def _nearest(q, t, k, bound, q_low, t_low):
         rows, cols = np.nonzero(near)
     else:
         some_q, some_t = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-        rough, slack = _products(q[some_q], t[some_t])
-        measured, cut = rough.size, limit[some_q]
+        rough, sizes = _products(q[some_q], t[some_t])
+        measured, cut, slack = rough.size, limit[some_q], 1e-12 * sizes + 1e-300
         if k < len(some_t):
             # The product form rounds. What it might have misplaced is measured again below.
             cut = np.minimum(cut, np.partition(rough, k - 1, axis=1)[:, k - 1])
         rows, cols = np.nonzero(rough <= (cut + slack)[:, None])
         rows, cols = some_q[rows], some_t[cols]
+    return *_measured(q, t, k, rows, cols), measured
+
+
+def _measured(q, t, k, rows, cols):
     distance = np.empty(len(rows))
     for start in range(0, len(rows), 100_000):
         part = slice(start, start + 100_000)
@@ -422,7 +518,7 @@ def _nearest(q, t, k, bound, q_low, t_low):
     rows, cols, distance = rows[order], cols[order], distance[order]
     rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
     keep = rank < k
-    return rows[keep], cols[keep], distance[keep], measured
+    return rows[keep], cols[keep], distance[keep]
 
 
 # Tasks get these functions by value, so executors need no installed copy of the package.

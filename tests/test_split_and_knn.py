@@ -94,3 +94,42 @@ def test_many_dimensions(spark, spread):
 def test_effort_without_rows(spark):
     df = spark.createDataFrame([(1, 0, [0.0])], "id long, y int, v array<double>")
     assert knn.search_effort(df.limit(0), df, "id", "v", "y", 1).first() == (0, 0, 0, 0)
+
+
+def test_rows_of_the_own_cell_tighten_the_bounds():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    q, t = rng.normal(size=(6, 4)), rng.normal(size=(300, 4))
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "ids": [list(range(6))] * 2,
+            "vecs": [q.ravel().tolist()] * 2,
+            "bounds": [[50.0] * 6] * 2,
+            "spread": [1, 2],
+            "t_vecs": [t.ravel().tolist(), None],
+        }
+    )
+    pivots = np.array([[0.0] * 4, [30.0] * 4])
+    cells = {0: {"n": 300, "low": 0.0, "high": 10.0, "kth": None}, 1: {"n": 9, "low": 0.0, "high": 1.0, "kth": None}}
+    near, far = knn._reached([batch], pivots, cells, {0: range(1), 1: range(3, 5)}, 20)
+    kth = np.sqrt(((q[:, None] - t[None]) ** 2).sum(axis=2))
+    kth.sort(axis=1)
+    assert near["bounds"][0].as_py() == pytest.approx(kth[:, 19], rel=1e-6)
+    assert (near["reach"][0].as_py(), near["groups"][0].as_py()) == ([0], [0])
+    assert far["bounds"][0].as_py() == [50.0] * 6
+    wide = [0, 1] if (np.linalg.norm(q - 30, axis=1) - 1 <= 50).any() else [0]
+    assert far["reach"][0].as_py() == wide and far["groups"][0].as_py() == ([0, 3, 4] if len(wide) > 1 else [0])
+
+
+@pytest.mark.parametrize("shift,scale", [(0, 1), (4_000, 1), (0, 1e14), (0, 1e-25)])
+def test_rough_distances_lose_no_neighbour(shift, scale):
+    """Single precision only sorts out what is too far; far from the origin it may sort out nothing."""
+    rng = np.random.default_rng(4)
+    q, t = ((rng.normal(size=(n, 5)) + shift) * scale for n in (40, 900))
+    exact = ((q[:, None] - t[None]) ** 2).sum(axis=2)
+    for bound in (np.inf, 1.5 * scale):
+        rows, cols, _, _ = knn._nearest(q, t, 30, np.full(40, bound), None, None)
+        for i in range(40):
+            want = [j for j in np.lexsort((np.arange(900), exact[i]))[:30] if np.sqrt(exact[i, j]) <= bound]
+            assert set(want) <= set(cols[rows == i].tolist())
