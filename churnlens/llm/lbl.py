@@ -44,6 +44,7 @@ SHARD_WORDS = 1 << 18
 _FLUSH_WORDS = 1 << 20
 _SEGMENT = 1 << 18
 _CONTEXTS = 1_024  # a block of logits stays in the cache
+_LONG_RUN = 24  # slopes of a row that are added up apart
 _U64 = np.uint64
 #: The hash that stands for the end of a text; a word's own hash is never even.
 END = _U64(0)
@@ -239,8 +240,11 @@ def start_model(hashes: np.ndarray, counts: np.ndarray, looks: np.ndarray, ends:
 
 def _pulls(good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How far to raise the scores of tokens and to lower those of noise."""
-    up = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-    return up, -1 / (1 + np.exp(np.clip(-bad, -30, 30)))
+    up, down = np.minimum(good, 30), np.minimum(-bad, 30)
+    for x in (up, down):
+        np.exp(x, out=x)
+        x += 1
+    return np.divide(1, up, out=up), np.divide(-1, down, out=down)
 
 
 class Trainer:
@@ -261,10 +265,12 @@ class Trainer:
         m, n = self.model, len(tokens)
         kinds, guess = m.kind[tokens], m.guess(before, last)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), m.classes - 1)
-        good = (guess * m.tops[kinds]).sum(axis=1) + m.top_bias[kinds] - self.log_noise[kinds]
+        own = m.tops[kinds]
+        good = np.einsum("nd,nd->n", guess, own) + m.top_bias[kinds] - self.log_noise[kinds]
         bad = guess @ m.tops[noise].T + m.top_bias[noise] - self.log_noise[noise]
         up, down = _pulls(good, bad)
-        d_guess = up[:, None] * m.tops[kinds] + down @ m.tops[noise]
+        own *= up[:, None]
+        d_guess = own + down @ m.tops[noise]
         drawn = np.concatenate([kinds, noise])
         values, weights = np.concatenate([guess, down.T @ guess]), np.concatenate([up, np.ones(NOISE, np.float32)])
         self._move("tops", drawn, values, np.arange(len(drawn)), weights, 0.1, n)
@@ -274,7 +280,7 @@ class Trainer:
             k, g, word = kinds[at], guess[at], tokens[at] - RARE - 1
             other = m.lows[k][:, None] + (self.rng.random((len(at), INNER_NOISE)) * m.sizes[k][:, None]).astype(np.int64)
             own, others, level = m.words[word], m.words[other], self.inner_noise[k]
-            good = (g * own).sum(axis=1) + m.word_bias[word] - level
+            good = np.einsum("nd,nd->n", g, own) + m.word_bias[word] - level
             bad = np.einsum("nkd,nd->nk", others, g) + m.word_bias[other] - level[:, None]
             up, down = _pulls(good, bad)
             d_guess[at] += up[:, None] * own + np.einsum("nk,nkd->nd", down, others)
@@ -294,16 +300,42 @@ class Trainer:
         order = np.argsort(_short(rows, len(squares)), kind="stable")
         keys = rows[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        slopes = values[order if of is None else of[order]]
-        if weights is not None:
-            slopes *= weights[order][:, None]
-        slope = np.add.reduceat(slopes, first, axis=0)
+        if values.ndim == 1:
+            slope = np.add.reduceat(values[order], first)
+        else:
+            runs, slope = _run_sums(values, order if of is None else of[order], None if weights is None else weights[order], first)
+            first = first[runs]
         slope /= np.float32(n)
         at = keys[first]
-        total = squares[at] + slope * slope
+        total = slope * slope
+        total += squares[at]
         squares[at] = total
         slope *= np.float32(rate)
-        table[at] += slope / np.sqrt(total)
+        slope /= np.sqrt(total, out=total)
+        table[at] += slope
+
+
+def _run_sums(values: np.ndarray, of: np.ndarray, weights, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that begin at ``first``, longest first, and of each the sum of its ``values[of] * weights``.
+    Runs are mostly short: all take their first row at once, then their second, and so on."""
+    sizes = np.diff(first, append=len(of))
+    runs = np.argsort(-np.minimum(sizes, _LONG_RUN + 1).astype(np.int8), kind="stable")
+    begins, sizes = first[runs], sizes[runs]
+    long = int(np.count_nonzero(sizes > _LONG_RUN))
+    out = np.empty((len(runs), values.shape[1]), values.dtype)
+    for i, (a, size) in enumerate(zip(begins[:long].tolist(), sizes[:long].tolist())):
+        rows = values[of[a : a + size]]
+        out[i] = rows.sum(axis=0) if weights is None else weights[a : a + size] @ rows
+    for turn in range(int(sizes[long]) if long < len(sizes) else 0):
+        at = begins[long : len(sizes) if not turn else long + int(np.count_nonzero(sizes[long:] > turn))] + turn
+        rows = values[of[at]]
+        if weights is not None:
+            rows *= weights[at][:, None]
+        if turn:
+            out[long : long + len(at)] += rows
+        else:
+            out[long:] = rows
+    return runs, out
 
 
 def _trainer(start):

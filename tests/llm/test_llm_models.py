@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from brute import words
 from pyspark.sql import functions as F
 
@@ -239,3 +240,17 @@ def test_log_probabilities_do_not_depend_on_the_block(monkeypatch):
     assert np.allclose(whole, wanted, atol=1e-4)
     empty = np.zeros(0, np.int64)
     assert len(model.log_probabilities(empty, empty, empty)) == 0
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_slopes_of_short_and_long_runs(weighted):
+    rng = np.random.default_rng(6)
+    sizes = np.array([1, 3, 100, 1, lbl._LONG_RUN, lbl._LONG_RUN + 1, 2, 5])
+    values = rng.normal(size=(50, 4)).astype(np.float32)
+    of = rng.integers(0, 50, sizes.sum())
+    weights = rng.normal(size=len(of)).astype(np.float32) if weighted else None
+    first = np.cumsum(sizes) - sizes
+    runs, sums = lbl._run_sums(values, of, weights, first)
+    assert sorted(runs.tolist()) == list(range(len(sizes)))
+    rows = values[of] * (weights[:, None] if weighted else 1)
+    np.testing.assert_allclose(sums, np.add.reduceat(rows, first, axis=0)[runs], rtol=1e-4, atol=1e-4)
