@@ -25,6 +25,8 @@ from .text import slices, texts_of
 from .tokens import encoder
 
 RUN_TOKENS = 1 << 20
+#: Pieces of text a task remembers; beside them it holds a batch of texts and a run of ids.
+KEEP_PIECES = 400_000
 
 
 @dataclass(frozen=True)
@@ -189,7 +191,7 @@ def _packer(vocabulary: str, end_id: int, limits: Limits):
         return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in table.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, place = encoder(vocabulary, spaced=False), TaskContext.get().partitionId()
+        tokens, place = encoder(vocabulary, False, KEEP_PIECES), TaskContext.get().partitionId()
         held: dict[int, tuple[int | None, np.ndarray]] = {}
         waiting: list[Piece] = []
         size = number = serial = 0

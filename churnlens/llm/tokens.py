@@ -44,7 +44,7 @@ class PieceTable:
 
     def __init__(self, size: int = 1 << 17):
         self.mask = _U64(size - 1)
-        self.keys, self.numbers = np.zeros(size, _U64), np.full(size, -1, np.int64)
+        self.keys, self.numbers = np.zeros(size, _U64), np.full(size, -1, np.int32)
         self.count = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -86,7 +86,7 @@ class _Lists:
     """Lists of numbers, one after the other in one array."""
 
     def __init__(self, kind):
-        self.begins, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.begins, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.items, self.count, self.used = np.zeros(1 << 18, kind), 0, 0
 
     def add(self, items: np.ndarray, lengths: np.ndarray) -> None:
@@ -125,17 +125,17 @@ class PieceEncoder:
     words start with their space), or white space and the case of A-Z are dropped (vocabularies
     that drop them themselves). Texts that hold the name of a special token, and texts of the
     first kind whose white space is anything but single spaces and line ends between words, are
-    encoded as they are. At most ``KEEP_PIECES`` pieces are remembered; beyond, those met once
-    are forgotten.
+    encoded as they are. About ``keep`` pieces (``KEEP_PIECES`` if left out) are remembered; beyond,
+    those met once are forgotten, and of the others the more frequent stay.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, keep: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
-        self.spaced = spaced
+        self.spaced, self.keep = spaced, keep
         self.bytes_of = _bytes_of(self.tokenizer) if spaced else None
         self._forget_all()
 
@@ -143,11 +143,15 @@ class PieceEncoder:
         self.table, self.hits = PieceTable(), np.zeros(0, np.int64)
         self.ids, self.raw = _Lists(np.uint32), _Lists(np.uint8)
 
+    def _most(self) -> int:
+        return KEEP_PIECES if self.keep is None else self.keep
+
     def _forget_rare(self) -> None:
         used = np.flatnonzero(self.table.numbers >= 0)
-        kept = used[self.hits[self.table.numbers[used]] > 1]
-        if len(kept) > KEEP_PIECES // 2:
-            kept = kept[:0]
+        hits = self.hits[self.table.numbers[used]]
+        kept, hits = used[hits > 1], hits[hits > 1]
+        if len(kept) > self._most() // 2:
+            kept = kept[np.argsort(-hits, kind="stable")[: self._most() // 2]]
         keys, numbers, ids, raw = self.table.keys[kept], self.table.numbers[kept], self.ids, self.raw
         self._forget_all()
         self._keep(keys, ids.get(numbers), ids.lengths[numbers], raw.get(numbers), raw.lengths[numbers])
@@ -223,7 +227,7 @@ class PieceEncoder:
 
     def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, how many each text has, and which texts hold a word whose hash is another's."""
-        if self.table.count > KEEP_PIECES:
+        if self.table.count > self._most():
             self._forget_rare()
         words = words_of(texts, fold=not self.spaced)
         begins, lengths = words.starts, words.ends - words.starts
@@ -265,10 +269,10 @@ class PieceEncoder:
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> PieceEncoder:
+def encoder(path: str, spaced: bool, keep: int | None = None) -> PieceEncoder:
     """The encoder of this process for a tokenizer file."""
     if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = PieceEncoder(path, spaced)
+        _encoders[path, spaced] = PieceEncoder(path, spaced, keep)
     return _encoders[path, spaced]
 
 

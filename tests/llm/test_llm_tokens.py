@@ -206,3 +206,22 @@ def test_a_run_whose_ids_do_not_end_with_its_pieces_is_encoded_piece_by_piece():
     assert [r.tolist() for r in encoder._encoded_in_runs(pieces)] == wanted
     encoder.bytes_of = encoder.bytes_of + 1
     assert [r.tolist() for r in encoder._encoded_in_runs(pieces)] == wanted
+
+
+def test_frequent_pieces_stay_and_few_are_remembered():
+    """A task that has met more pieces than it keeps still knows the most frequent ones."""
+    own = PieceEncoder(public_vocabulary("word_bpe_49k.json"), False, keep=100)
+    often = " ".join(["alpha beta gamma"] * 50)
+    for i in range(40):
+        ids, _ = own.encode(texts_of(pa.array([often + " " + " ".join(f"w{i}x{j} w{i}x{j}" for j in range(30))])))
+        assert own.table.count <= 100 + 33
+    assert ids.tolist() == reference("word_bpe_49k.json")([often + " " + " ".join(f"w39x{j} w39x{j}" for j in range(30))])[0]
+    kept = {own.raw.get(np.array([i])).tobytes() for i in range(own.table.count)}
+    assert {b"alpha", b"beta", b"gamma"} <= kept
+
+
+def test_packing_remembers_few_pieces():
+    from churnlens.llm import packing
+
+    assert packing.KEEP_PIECES <= 400_000 < tokens.KEEP_PIECES
+    assert tokens.encoder(public_vocabulary("word_bpe_49k.json"), False, packing.KEEP_PIECES)._most() >= 1
