@@ -7,6 +7,7 @@ account before any join, and give the same rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,7 +20,7 @@ from ..schemas import (
     dummy_names,
 )
 from ..session import col, literal, quoted
-from .joins import Dealt, deal
+from .joins import DEFAULT_POLICY, Dealt, SkewPolicy, deal, heavy_keys, hot_of, outer_join, own_salt, parts_of, salts_of
 from .projection import project
 
 # Which row of a customer comes first; missing values last.
@@ -88,6 +89,33 @@ def deal_transactions(transactions: DataFrame) -> Dealt:
     return deal(transactions.select([c for c in FIRST_ROW_ORDER if c in transactions.columns]), "account_id")
 
 
+@dataclass(frozen=True)
+class Owners:
+    """How rows are dealt by customer: over parts whose number grows with the accounts and
+    transactions (None: few, left to Spark), and a hot customer's over salts first. ``hot_account``: whether too many rows of
+    the account grain share an account (or have none) for one task."""
+
+    parts: int | None
+    salts: dict[object, int]
+    hot_account: bool
+
+    def salted(self, rows: DataFrame) -> DataFrame:
+        """The rows dealt by customer and by a column ``_salt``."""
+        rows = own_salt(rows, "_salt", F.col("customer_id"), self.salts)
+        return rows.repartition(self.parts, "customer_id", "_salt") if self.parts else rows
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.parts, "customer_id") if self.parts else rows
+
+
+def owners_of(accounts: DataFrame, dealt: Dealt, policy: SkewPolicy = DEFAULT_POLICY) -> Owners:
+    """The layout by customer; one pass over the keys of the account grain."""
+    found = heavy_keys([(c, accounts, c) for c in ("customer_id", "account_id")], policy)
+    parts = parts_of(max(found["customer_id"].rows, dealt.parts * policy.rows_per_part), policy)
+    salts = salts_of(found["customer_id"].counts, policy)
+    return Owners(parts, salts, bool(hot_of(found["account_id"].counts, {}, policy)))
+
+
 def _owned_months(accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None) -> DataFrame:
     """(customer, year, month, n) of each account and month; NULL accounts match."""
     dealt = dealt or deal_transactions(transactions)
@@ -113,11 +141,15 @@ def _owned_months(accounts: DataFrame, transactions: DataFrame, dealt: Dealt | N
 
 
 def monthly_txn_counts_by_account(
-    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None
+    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None, owners: Owners | None = None
 ) -> DataFrame:
     """The same from the account grain: count per account and month, then join."""
-    owned = _owned_months(accounts, transactions, dealt).groupBy("customer_id", "year", "month")
-    return owned.agg(F.sum("n").alias("num_transactions"))
+    dealt = dealt or deal_transactions(transactions)
+    owners = owners or owners_of(accounts, dealt)
+    owned, keys = _owned_months(accounts, transactions, dealt), ["customer_id", "year", "month"]
+    if owners.salts:
+        owned = owners.salted(owned).groupBy(*keys, "_salt").agg(F.sum("n").alias("n"))
+    return owners.dealt(owned).groupBy(keys).agg(F.sum("n").alias("num_transactions"))
 
 
 def avg_txn_per_month(monthly: DataFrame) -> DataFrame:
@@ -139,10 +171,10 @@ def _nulls_last(names: list[str]) -> list[Column]:
     return [F.asc_nulls_last(c) for c in names]
 
 
-def first_row_per_customer(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The first row of each customer; NULL is a customer too. Every task keeps only its own
+def first_row_per_customer(df: DataFrame, order: list[str] | None = None, *salt: str) -> DataFrame:
+    """The first row of each customer (and salt); NULL is a customer too. Every task keeps only its own
     first rows before the shuffle."""
-    w = Window.partitionBy("customer_id").orderBy(*_nulls_last(order or FIRST_ROW_ORDER))
+    w = Window.partitionBy("customer_id", *salt).orderBy(*_nulls_last(order or FIRST_ROW_ORDER))
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
@@ -159,12 +191,17 @@ def first_transactions(transactions: DataFrame, dealt: Dealt | None = None) -> D
 
 
 def first_row_by_account(
-    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None
+    accounts: DataFrame, transactions: DataFrame, dealt: Dealt | None = None, owners: Owners | None = None
 ) -> DataFrame:
     """The same from the account grain."""
-    first = first_transactions(transactions, dealt).withColumnRenamed("account_id", "_account")
-    joined = accounts.join(first, F.col("account_id").eqNullSafe(F.col("_account")), "left")
-    return first_row_per_customer(joined.drop("_account"))
+    dealt = dealt or deal_transactions(transactions)
+    owners = owners or owners_of(accounts, dealt)
+    # One row per account on the right: no product, and adaptive execution may split a hot left.
+    parts = None if owners.hot_account else owners.parts
+    rows = outer_join(accounts, first_transactions(transactions, dealt), "account_id", "left", [], parts=parts)
+    if owners.salts:
+        rows = first_row_per_customer(owners.salted(rows), None, "_salt").drop("_salt")
+    return first_row_per_customer(owners.dealt(rows))
 
 
 def feature_columns(domains: dict[str, list[str]]) -> list[str]:
@@ -194,8 +231,9 @@ def customer_features(
 ) -> DataFrame:
     """One row per customer: keys, numeric features, 0/1 columns."""
     dealt = deal_transactions(transactions)
-    average = avg_txn_per_month(monthly_txn_counts_by_account(accounts, transactions, dealt))
-    first = first_row_by_account(accounts, transactions, dealt)
+    owners = owners_of(accounts, dealt)
+    average = avg_txn_per_month(monthly_txn_counts_by_account(accounts, transactions, dealt, owners))
+    first = first_row_by_account(accounts, transactions, dealt, owners)
     rows = attach_customer_agg(add_monthly_spend(one_hot(first, domains)), average)
     return project(rows, feature_columns(domains))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..fixtures import Tables
 from ..schemas import ACCOUNT_GRAIN_COLUMNS, GOLD_COLUMNS, OPEN_STATUS
-from .joins import DEFAULT_POLICY, HotKey, SkewPolicy, heavy_keys, hot_of, outer_join
+from .joins import DEFAULT_POLICY, HotKey, KeyLoad, SkewPolicy, heavy_keys, hot_of, outer_join, parts_of
 from .projection import fill_constant, missing_sql
 
 
@@ -39,10 +39,13 @@ def join_transactions(joined: DataFrame, transactions: DataFrame, **skew) -> Dat
 # -- the denormalised table ---------------------------------------------------------------
 
 
-def _customer_hot_keys(tables: Tables, policy: SkewPolicy) -> dict[str, list[HotKey]]:
-    names = ("customer", "closed", "account")
-    found = heavy_keys([(n, getattr(tables, n), "customer_id") for n in names], policy)
-    return {n: hot_of({}, found[n].counts, policy) for n in names}
+CUSTOMER_SIDES = ("customer", "closed", "account", "metrics")
+
+
+def _customer_layout(found: dict[str, KeyLoad], policy: SkewPolicy) -> tuple[dict[str, list[HotKey]], int | None]:
+    """Hot keys of the sides joined to the metrics, and a number of parts that grows with the largest."""
+    hot = {n: hot_of({}, found[n].counts, policy) for n in CUSTOMER_SIDES[:3]}
+    return hot, parts_of(max(found[n].rows for n in CUSTOMER_SIDES), policy)
 
 
 def gold_accounts(
@@ -50,14 +53,17 @@ def gold_accounts(
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: dict[str, list[HotKey]] | None = None,
     fill_status: bool = True,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per customer x account, for customers whose metrics are present.
 
     Dropping rows without total_relationship_count leaves exactly the metrics rows of the full
-    outer chain, so the chain is three left joins from metrics. They share one partitioning on
-    customer_id; as full joins each would shuffle the previous result again.
+    outer chain, so the chain is three left joins from metrics. They are dealt by customer_id over
+    ``parts``, whose number is found together with the hot keys where these are not given.
     """
-    hot = _customer_hot_keys(tables, policy) if hot is None else hot
+    if hot is None:
+        found = heavy_keys([(n, getattr(tables, n), "customer_id") for n in CUSTOMER_SIDES], policy)
+        hot, parts = _customer_layout(found, policy)
     count = "total_relationship_count"
     out = tables.metrics.where(~F.expr(missing_sql(tables.metrics, [count])[count]))
     sides = {
@@ -66,7 +72,7 @@ def gold_accounts(
         "account": tables.account,
     }
     for name, side in sides.items():
-        out = outer_join(out, side, "customer_id", "left", hot.get(name, []), policy)
+        out = outer_join(out, side, "customer_id", "left", hot.get(name, []), policy, parts=parts)
     out = out.select(ACCOUNT_GRAIN_COLUMNS)
     return fill_constant(out, "status", OPEN_STATUS) if fill_status else out
 
@@ -88,14 +94,13 @@ def build_gold(
     if null_keys == "drop":
         transactions = transactions.where(F.col("account_id").isNotNull())
     # One sketch job for all joins of the chain.
-    customer_sides = ("customer", "closed", "account", "metrics")
     found = heavy_keys(
-        [(n, getattr(tables, n), "customer_id") for n in customer_sides]
+        [(n, getattr(tables, n), "customer_id") for n in CUSTOMER_SIDES]
         + [("transactions", transactions, "account_id")],
         policy,
     )
-    hot = {n: hot_of({}, found[n].counts, policy) for n in customer_sides[:3]}
-    accounts = gold_accounts(tables, policy, hot, fill_status)
+    hot, parts = _customer_layout(found, policy)
+    accounts = gold_accounts(tables, policy, hot, fill_status, parts)
     right = found["transactions"].counts
     left = {}
     if None in right:

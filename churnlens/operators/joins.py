@@ -71,6 +71,8 @@ class HotKey:
 
 
 DEFAULT_POLICY = SkewPolicy()
+# Up to so many parts a table is left to adaptive execution.
+LEAST_PARTS = 8
 
 
 def _collect_all(frames: list[DataFrame]) -> list:
@@ -118,6 +120,17 @@ def hot_of(
     ]
 
 
+def parts_of(rows: int, policy: SkewPolicy = DEFAULT_POLICY) -> int | None:
+    """Parts for so many rows, so that a part stays as large when the table grows; None for a small table."""
+    parts = math.ceil(rows / policy.rows_per_part)
+    return parts if parts > LEAST_PARTS else None
+
+
+def salts_of(counts: dict[object, int], policy: SkewPolicy = DEFAULT_POLICY) -> dict[object, int]:
+    """Number of salts of each hot key."""
+    return {k.value: k.grid(policy)[1] for k in hot_of({}, counts, policy)}
+
+
 @dataclass(frozen=True)
 class Dealt:
     """Rows in parts of bounded size, each key (and salt, where some key is hot) in one part."""
@@ -133,10 +146,10 @@ def deal(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> Dealt:
     over a column ``_salt``."""
     load = heavy_keys([("rows", df, key)], policy)["rows"]
     parts = max(1, math.ceil(load.rows / policy.rows_per_part))
-    salts = {k.value: k.grid(policy)[1] for k in hot_of({}, load.counts, policy)}
+    salts = salts_of(load.counts, policy)
     if not salts:
         return Dealt(df.repartition(parts, key), [key], parts)
-    rows = _own_salt(df, "_salt", F.col(key), salts)
+    rows = own_salt(df, "_salt", F.col(key), salts)
     return Dealt(rows.repartition(parts, key, "_salt"), [key, "_salt"], parts)
 
 
@@ -186,7 +199,7 @@ def _copies(df: DataFrame, name: str, key: Column, numbers: dict[object, int]) -
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), _lookup(key, numbers, 1) - 1)))
 
 
-def _own_salt(df: DataFrame, name: str, key: Column, numbers: dict[object, int]) -> DataFrame:
+def own_salt(df: DataFrame, name: str, key: Column, numbers: dict[object, int]) -> DataFrame:
     # A hash of the whole row, not rand(): a task that runs again must salt alike.
     salts = _lookup(key, numbers, 1)
     return df.withColumn(name, F.pmod(F.xxhash64(*df.columns), salts).cast("int"))
@@ -201,10 +214,12 @@ def outer_join(
     policy: SkewPolicy = DEFAULT_POLICY,
     null_safe: bool = True,
     hint: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``left`` or ``full`` join on a null-safe key; only ``key`` may be in both sides.
     With plain equality (``null_safe=False``) tables bucketed by the key join without a shuffle.
-    ``hint`` names a join strategy.
+    ``hint`` names a join strategy. ``parts`` deals both inputs over so many parts, in place of the
+    session's number, which doesn't grow with the tables; only a string key is dealt so.
 
     ``hot`` lists the hot keys; left out, they are looked for in both inputs. For a full join
     the counts must tell whether a key is present on each side, for a left join on the right.
@@ -218,16 +233,29 @@ def outer_join(
     right = right.withColumnRenamed(key, "_key")
     lkey, rkey = F.col(key), F.col("_key")
     same_key = lkey.eqNullSafe(rkey) if null_safe else lkey == rkey
-    if not hot:
-        joined = left.join(right.hint(hint) if hint else right, same_key, how)
+    if dict(left.dtypes)[key] != "string" or dict(right.dtypes)["_key"] != "string":
+        parts = None
+    if hot:
+        joined = _salted(left, right, key, same_key, how, hot, policy, hint, null_safe, parts)
     else:
-        joined = _salted(left, right, key, same_key, how, hot, policy, hint)
+        if parts:
+            left = left.repartition(parts, *_dealt_by(left, key, null_safe))
+            right = right.repartition(parts, *_dealt_by(right, "_key", null_safe))
+        joined = left.join(right.hint(hint) if hint else right, same_key, how)
     if how == "full":
         joined = joined.withColumn(key, F.coalesce(key, "_key"))
     return joined.select(columns)
 
 
-def _salted(left, right, key, same_key, how, hot, policy, hint):
+def _dealt_by(df: DataFrame, key: str, null_safe: bool) -> list[Column]:
+    """What a join on ``key`` is partitioned by: under null-safe equality the key with a value in
+    place of NULL, and whether it is NULL. Rows dealt by it are not shuffled again."""
+    if not null_safe:
+        return [F.col(key)]
+    return [F.coalesce(F.col(key), F.lit("")), F.isnull(key)]
+
+
+def _salted(left, right, key, same_key, how, hot, policy, hint, null_safe, parts):
     grid = {k.value: k.grid(policy) for k in hot}
     # A left join needs the left count for balance only, never to decide on copies.
     paired = {k.value for k in hot if k.right_rows and (k.left_rows or how == "left")}
@@ -237,9 +265,12 @@ def _salted(left, right, key, same_key, how, hot, policy, hint):
     right_copies = {v: g[0] if v in paired else 1 for v, g in grid.items()}
 
     lkey, rkey = F.col(key), F.col("_key")
-    a = _copies(_own_salt(left, "_ls", lkey, left_salts), "_rs", lkey, left_copies)
-    b = _copies(_own_salt(right, "_rs2", rkey, right_salts), "_ls2", rkey, right_copies)
+    a = _copies(own_salt(left, "_ls", lkey, left_salts), "_rs", lkey, left_copies)
+    b = _copies(own_salt(right, "_rs2", rkey, right_salts), "_ls2", rkey, right_copies)
     a, b = a.withColumn("_in_left", F.lit(True)), b.withColumn("_in_right", F.lit(True))
+    if parts:
+        a = a.repartition(parts, *_dealt_by(a, key, null_safe), "_ls", "_rs")
+        b = b.repartition(parts, *_dealt_by(b, "_key", null_safe), "_ls2", "_rs2")
     joined = a.join(
         b.hint(hint) if hint else b,
         same_key & (F.col("_ls") == F.col("_ls2")) & (F.col("_rs") == F.col("_rs2")),

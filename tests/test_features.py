@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from churnlens import fixtures
@@ -70,6 +71,28 @@ def test_account_grain_forms_equal_row_forms(spark, data_dir):
     assert set(by_account.agg(*groups).first()) == {1}
 
 
+def test_rows_are_dealt_by_customer_whatever_the_load(spark, data_dir):
+    t = fixtures.load_tables(spark, data_dir)
+    accounts, dealt = gold.gold_accounts(t), features.deal_transactions(t.transactions)
+    # Small parts, and keys hot from 6 rows on: customers salted, their first rows found in two steps.
+    tight = SkewPolicy(rows_per_task=6, rows_per_part=50)
+    owners = features.owners_of(accounts, dealt, tight)
+    assert owners.parts >= accounts.count() / 50 > 8 and owners.salts and not owners.hot_account
+    assert features.owners_of(accounts.union(accounts), dealt, tight).parts > 1.5 * owners.parts
+    plain = features.Owners(None, {}, False)
+    for other in (owners, replace(owners, hot_account=True), replace(owners, salts={})):
+        for made in (features.monthly_txn_counts_by_account, features.first_row_by_account):
+            a, b = (made(accounts, t.transactions, dealt, o) for o in (plain, other))
+            assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_account_grain_is_dealt_by_rows(spark, data_dir):
+    t = fixtures.load_tables(spark, data_dir)
+    dealt = gold.gold_accounts(t, SkewPolicy(rows_per_part=50))
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, gold.gold_accounts(t).collect()))
+    assert "RepartitionByExpression" in dealt._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scalar_functions(spark):
     df = spark.createDataFrame([("a.b@c.d",), ("plain",)], "m string")
     assert [r[0] for r in df.select(scalars.user_prefix(F.col("m"))).collect()] == ["a_b_", "plain_"]

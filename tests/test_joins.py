@@ -1,5 +1,5 @@
 import pytest
-from churnlens.operators.joins import HotKey, SkewPolicy, exact_hot_keys, heavy_keys, hot_of, outer_join
+from churnlens.operators.joins import HotKey, SkewPolicy, exact_hot_keys, heavy_keys, hot_of, outer_join, parts_of
 
 TINY = SkewPolicy(rows_per_task=3, pairs_per_task=10)
 
@@ -71,3 +71,22 @@ def test_grid_makes_few_copies():
         s, t = HotKey(None, rows, rows).grid(p)
         # Left rows are copied t times, right rows s times.
         assert rows * t + rows * s <= 3 * rows * rows / p.pairs_per_task**0.5
+
+
+@pytest.mark.parametrize("how", ["full", "left"])
+def test_dealt_join_equals_plain_join(skewed, how):
+    left, right = skewed
+    plain = rows(outer_join(left, right, "k", how, []))
+    hot = exact_hot_keys(left, right, "k", TINY)
+    for keys in ([], hot):
+        assert rows(outer_join(left, right, "k", how, keys, TINY, parts=11)) == plain
+    dealt = outer_join(left, right, "k", how, [], hint="merge", parts=11)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    # Dealt as the join needs it, hence shuffled once, over a number of parts that the caller sets.
+    assert plan.count("isnull(k") >= 1 and plan.count(", 11), REPARTITION_BY_NUM") == 2
+    assert "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_parts_grow_with_the_rows():
+    p = SkewPolicy(rows_per_part=10)
+    assert parts_of(50, p) is None and parts_of(100, p) == 10 and parts_of(1_000, p) == 100
