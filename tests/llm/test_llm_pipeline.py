@@ -4,8 +4,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import ASCII_LOWER, components
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -148,3 +150,23 @@ def test_empty_table(spark, small, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_send_batches_of_bounded_bytes(spark, small, monkeypatch):
+    folder, _ = small
+    setting, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(setting)
+
+    def bytes_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    def stage(spark, docs, sf_dir):
+        wide = spark.range(0, 4_000, 1, 1).select("id", F.repeat(F.lit("x"), 2_500).alias("text"))
+        seen.extend(r[0] for r in wide.mapInArrow(bytes_of, "bytes long").collect())
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("last", lambda spark, docs, sf_dir: docs)])
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    assert len(seen) > 4 and max(seen) < 1.1 * corpus_pipeline.BATCH_BYTES
+    assert spark.conf.get(setting) == before
