@@ -233,6 +233,15 @@ def test_grid_equals_plain_forests(train, table, bag_rows, monkeypatch):
     assert found.model.score(x[order]) == pytest.approx(total / number)
 
 
+def test_every_bag_is_drawn_from_all_rows_and_as_large(spark):
+    df = spark.range(4_000).select(F.col("id").cast("string").alias("customer_id"), *[noise(i).alias(c) for i, c in enumerate(MODEL_FEATURES)])
+    train = models.features_target(df.withColumn(LABEL, (F.col("avg_monthly_spend") > 0).cast("int")))
+    found = models.grid_search(train, grid={"depth": [14], "leaf": [1], "split": [2], "trees": [3]}, folds=2)
+    # Splits down to pure leaves win half the weight of the bag where half of the labels are ones.
+    won = [found.model.gain[found.model.tree == t].sum() for t in range(3)]
+    assert len(won) == 3 and min(won) > 0.45 * 4_000
+
+
 def test_saved_model_scores_alike(spark, train, rows, tmp_path):
     found = models.grid_search(train, grid={k: v[-1:] for k, v in GRID.items()}, folds=2)
     models.save_model(found.model, str(tmp_path / "m"), spark)
