@@ -1,5 +1,6 @@
 import pytest
 from churnlens.operators.joins import HotKey, SkewPolicy, exact_hot_keys, heavy_keys, hot_of, outer_join, parts_of
+from pyspark.sql import functions as F
 
 TINY = SkewPolicy(rows_per_task=3, pairs_per_task=10)
 
@@ -90,3 +91,15 @@ def test_dealt_join_equals_plain_join(skewed, how):
 def test_parts_grow_with_the_rows():
     p = SkewPolicy(rows_per_part=10)
     assert parts_of(50, p) is None and parts_of(100, p) == 10 and parts_of(1_000, p) == 100
+
+
+def test_pairs_of_a_hot_key_leave_a_full_join_as_they_are_formed(spark):
+    key = F.when(F.col("id") >= 350, F.col("id").cast("string"))
+    left = spark.range(400).select(key.alias("k"), F.col("id").alias("a"))
+    right = spark.range(500).select(key.alias("k"), F.col("id").alias("b"))
+    joined = outer_join(left, right, "k")
+    # Spark's full outer join would hold the 122,500 pairs of NULL at once.
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Join FullOuter" in plan
+    assert rows(joined) == rows(outer_join(left, right, "k", "full", []))
+    assert joined.count() == 350 * 350 + 50 + 100
